@@ -396,6 +396,29 @@ class DriverTables(TableSource):
             ],
         )
 
+    def _empresa_file(self):
+        """The seven text columns of the company file; two files hold bad rows."""
+        key = F.col("c_custkey")
+        plain = F.col("c_acctbal").cast("decimal(16,2)").cast("string")
+        grouped = F.regexp_replace(plain, "^(-?[0-9]+)([0-9]{3})[.]([0-9]{2})$", "$1.$2,$3")
+        return self.raw("customer").select(
+            _pad(key, 8).alias("cnpj_basico"),
+            F.concat(F.lit(" "), F.col("c_name"), F.lit(' ; "Ltda"')).alias("razao_social"),
+            F.when(key % 30 == 7, "")
+            .otherwise(F.substr("c_mktsegment", F.lit(1), F.lit(4)))
+            .alias("cod_natureza_juridica"),
+            F.lit("10").alias("cod_qualificacao_responsavel"),
+            F.when(key % 20 == 13, "abc")
+            .when(key % 3 == 0, plain)
+            .otherwise(F.when(F.col("c_acctbal") < 0, plain).otherwise(grouped))
+            .alias("capital_social"),
+            F.lit("").alias("cod_porte"),
+            F.lit("").alias("ente_federativo_responsavel"),
+            F.concat(F.lit("Empresas"), (key % 10).cast("string"), F.lit(".zip")).alias(
+                "_source_file"
+            ),
+        )
+
     def _pipeline_stats(self):
         """One load run per event; periods lie just after the last orders."""
         key = F.col("event_id")

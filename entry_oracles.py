@@ -525,3 +525,943 @@ def _add(key: str, body: str) -> None:
 
 for _name in [n for n in _CTES if n.startswith("mv_") and not n.endswith("_2000")]:
     _add(_name, f"SELECT * FROM {_name}")
+
+
+# -- shared pieces -------------------------------------------------------------
+
+
+def _chars(codes) -> str:
+    return " || ".join(f"chr({c})" for c in codes)
+
+
+_STRIP_CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+_STRIP = f"({_chars(_STRIP_CODES)})"
+_CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
+def _dirty(col: str) -> str:
+    return (
+        f"(chr(9) || chr(0) || ' ' || {col} || ' ' || chr(145) || ' ' || chr(133) || chr(160))"
+    )
+
+
+def _clean(expr: str) -> str:
+    return (
+        f"regexp_replace(trim(replace({expr}, chr(0), ''), {_STRIP}), "
+        f"'[^\\x00-\\x7F\\x{{A0}}-\\x{{FF}}{_CP1252}]', '', 'g')"
+    )
+
+
+def _zfill(col: str, width: int) -> str:
+    return f"lpad({col}, greatest(length({col}), {width})::INTEGER, '0')"
+
+
+_COMPOSED = (
+    f"rpad(substr({_zfill('cnpj_basico', 8)} || {_zfill('cnpj_ordem', 4)} || "
+    f"{_zfill('cnpj_dv', 2)}, 1, 14), 14, '0')"
+)
+
+
+def _day(col: str) -> str:
+    value = f"trim({col}, {_STRIP})"
+    return (
+        f"CASE WHEN {value} IN ('', '0', '00000000') THEN NULL "
+        f"WHEN regexp_full_match({value}, '[0-9]{{8}}') THEN try_strptime({value}, '%Y%m%d')::DATE "
+        f"WHEN regexp_full_match({value}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
+        f"THEN TRY_CAST({value} AS DATE) END"
+    )
+
+
+_CTES["empresa_file"] = """
+SELECT lpad(c_custkey::VARCHAR, 8, '0') AS cnpj_basico,
+       ' ' || c_name || ' ; "Ltda"' AS razao_social,
+       CASE WHEN c_custkey % 30 = 7 THEN '' ELSE substr(c_mktsegment, 1, 4) END
+           AS cod_natureza_juridica,
+       '10' AS cod_qualificacao_responsavel,
+       CASE WHEN c_custkey % 20 = 13 THEN 'abc'
+            WHEN c_custkey % 3 = 0 OR c_acctbal < 0 THEN plain
+            ELSE regexp_replace(plain, '^(-?[0-9]+)([0-9]{3})[.]([0-9]{2})$', '\\1.\\2,\\3') END
+           AS capital_social,
+       '' AS cod_porte, '' AS ente_federativo_responsavel,
+       'Empresas' || (c_custkey % 10)::VARCHAR || '.zip' AS source_file, c_custkey
+FROM (SELECT *, c_acctbal::DECIMAL(16,2)::VARCHAR AS plain FROM customer) c
+"""
+_CTES["grafias"] = """
+SELECT DISTINCT spelling, cod_cidade_ibge, cod_estado_ibge
+FROM (SELECT cod_municipio AS spelling, cod_cidade_ibge, cod_estado_ibge FROM ibge_cidade
+      UNION ALL
+      SELECT ltrim(cod_municipio, '0'), cod_cidade_ibge, cod_estado_ibge FROM ibge_cidade) s
+"""
+_CTES["colocados"] = """
+SELECT f.*, g.cod_cidade_ibge AS cid, coalesce(g.cod_estado_ibge, u.cod_estado_ibge) AS est_,
+       coalesce(ge.cod_regiao_ibge, u.cod_regiao_ibge) AS reg_,
+       trim(f.cod_pais) IN ('', '105', '0105') AS em_casa
+FROM estabelecimento_file f
+LEFT JOIN grafias g ON g.spelling = trim(f.cod_municipio)
+LEFT JOIN ibge_estado ge ON ge.cod_estado_ibge = g.cod_estado_ibge
+LEFT JOIN ibge_estado u ON u.sigla_uf = upper(trim(f.uf))
+"""
+_OPEN_GEO = "reg_ AS cod_regiao_ibge, est_ AS cod_estado_ibge, cid AS cod_cidade_ibge"
+_HOME_GEO = (
+    "CASE WHEN em_casa THEN reg_ END AS cod_regiao_ibge, "
+    "CASE WHEN em_casa THEN est_ END AS cod_estado_ibge, "
+    "CASE WHEN em_casa THEN cid END AS cod_cidade_ibge"
+)
+_NAME = "strip_accents(upper({0}))"
+_CTES["busca_estabelecimento"] = f"""
+SELECT e.cnpj_completo, e.cnpj_basico, {_NAME.format("c.razao_social")} AS razao_social_norm,
+       {_NAME.format("e.nome_fantasia")} AS nome_fantasia_norm, e.cod_regiao_ibge,
+       e.cod_estado_ibge, e.cod_cidade_ibge, e.cod_cnae_principal, e.cod_situacao_cadastral,
+       e.matriz_filial, c.cod_porte, c.cod_natureza_juridica, e.data_inicio_atividade, e.cep,
+       e.ddd_telefone_1, e.ddd_telefone_2, {_NAME.format("e.bairro")} AS bairro_norm,
+       md5(coalesce(c.razao_social, '') || '|' || coalesce(e.nome_fantasia, '') || '|' ||
+           coalesce(e.cod_cnae_principal, '') || '|' || coalesce(e.cod_situacao_cadastral, '')
+           || '|' || coalesce(e.cod_cidade_ibge::VARCHAR, '') || '|' || coalesce(c.cod_porte, '')
+           || '|' || coalesce(c.cod_natureza_juridica, '') || '|' ||
+           coalesce(e.data_inicio_atividade::VARCHAR, '') || '|' || coalesce(e.cep, '') || '|' ||
+           coalesce(e.matriz_filial, '')) AS row_hash
+FROM estabelecimento e LEFT JOIN empresa c ON c.cnpj_basico = e.cnpj_basico
+"""
+_CTES["geracoes"] = """
+SELECT n.cnpj_completo AS novo, v.cnpj_completo AS vigente, n.row_hash AS hn, v.row_hash AS hv
+FROM (SELECT * FROM busca_estabelecimento WHERE cnpj_completo::BIGINT % 70 <> 3) n
+FULL OUTER JOIN (SELECT cnpj_completo, CASE WHEN cnpj_completo::BIGINT % 40 = 1 THEN 'alterado'
+                        ELSE row_hash END AS row_hash
+                 FROM busca_estabelecimento WHERE cnpj_completo::BIGINT % 50 <> 0) v
+ON n.cnpj_completo = v.cnpj_completo
+"""
+_CTES["delta"] = """
+SELECT count(*) FILTER (WHERE vigente IS NULL) AS novas,
+       count(*) FILTER (WHERE novo IS NULL) AS removidas,
+       count(*) FILTER (WHERE novo IS NOT NULL AND vigente IS NOT NULL
+                          AND hn IS DISTINCT FROM hv) AS alteradas,
+       count(*) FILTER (WHERE vigente IS NOT NULL) AS total_vigente
+FROM geracoes
+"""
+_DELTA_PCT = "100.0 * (novas + removidas + alteradas)::DOUBLE / greatest(total_vigente, 1)"
+
+# -- sources and sinks -----------------------------------------------------------
+
+_FILE_COLUMNS = (
+    "cnpj_basico, razao_social, cod_natureza_juridica, cod_qualificacao_responsavel, "
+    "capital_social, cod_porte, ente_federativo_responsavel"
+)
+_add("src_zip_csv", f"SELECT {_FILE_COLUMNS}, 7 AS _fields FROM empresa_file")
+_add(
+    "src_route",
+    """
+SELECT f.filename, f.stem, s.target
+FROM (SELECT filename, lower(rtrim(regexp_replace(filename, '\\.[^.]*$', ''), '0123456789')) AS stem
+      FROM remote_files) f
+LEFT JOIN (VALUES ('empresas', 'empresa'), ('estabelecimentos', 'estabelecimento'),
+                  ('estabelecimentos', 'estabelecimento_cnae_sec'), ('socios', 'socio'),
+                  ('cnaes', 'cnae')) AS s(stem, target) ON s.stem = f.stem
+""",
+)
+_add("src_fixed_schema", "SELECT * FROM simples")
+_add("src_dim_csv", "SELECT * FROM ibge_estado")
+_add(
+    "sink_table",
+    """SELECT * EXCLUDE (nome_cidade_exterior, cod_cnae_secundario, complemento, ddd_fax, fax,
+    situacao_especial, data_situacao_especial) FROM estabelecimento""",
+)
+_add(
+    "sink_replace_dims",
+    """SELECT c.*, e.sigla_uf, e.nome_estado, e.cod_regiao_ibge, r.sigla_regiao, r.nome_regiao
+    FROM ibge_cidade c JOIN ibge_estado e ON c.cod_estado_ibge = e.cod_estado_ibge
+    JOIN ibge_regiao r ON r.cod_regiao_ibge = e.cod_regiao_ibge""",
+)
+_FORM_BAD = "c_custkey % 30 = 7"
+_CAPITAL_BAD = "c_custkey % 20 = 13"
+_ERRORS = f"""concat_ws(' | ',
+    CASE WHEN {_CAPITAL_BAD} THEN 'capital_social: not a number: abc' END,
+    CASE WHEN {_FORM_BAD} THEN 'cod_natureza_juridica: missing' END,
+    CASE WHEN {_CAPITAL_BAD} THEN 'capital_social: missing' END)"""
+_add(
+    "sink_quarantine",
+    f"""SELECT 'empresa' AS "table", CASE WHEN bad THEN source_file END AS source_file,
+    CASE WHEN bad THEN 'pending' ELSE 'loaded' END AS status, cnpj_basico,
+    CASE WHEN bad THEN errors ELSE '' END AS errors
+    FROM (SELECT *, {_FORM_BAD} OR {_CAPITAL_BAD} AS bad, {_ERRORS} AS errors FROM empresa_file) f""",
+)
+_add(
+    "sink_quarantine_file",
+    f"""SELECT cnpj_basico, CASE WHEN source_file IN (SELECT source_file FROM empresa_file
+        WHERE {_FORM_BAD} OR {_CAPITAL_BAD}) THEN 'parked' ELSE 'loaded' END AS fate
+    FROM empresa_file""",
+)
+_add(
+    "quarantine_list",
+    f"""SELECT 'empresa' AS "table", source_file, count(*) AS "rows" FROM empresa_file
+    WHERE {_FORM_BAD} OR {_CAPITAL_BAD} GROUP BY source_file""",
+)
+_add(
+    "quarantine_retry",
+    f"""SELECT count(*) AS retried, count(*) FILTER (WHERE NOT ({_CAPITAL_BAD})) AS succeeded,
+    count(*) FILTER (WHERE {_CAPITAL_BAD}) AS failed
+    FROM empresa_file WHERE {_FORM_BAD} OR {_CAPITAL_BAD}""",
+)
+_add(
+    "load_metrics",
+    f"""SELECT 'empresa' AS "table", count(*) FILTER (WHERE NOT bad) AS rows_loaded,
+    count(*) FILTER (WHERE bad) AS rows_failed,
+    count(DISTINCT CASE WHEN bad THEN source_file END) AS files_failed, TRUE AS in_total
+    FROM (SELECT *, {_FORM_BAD} OR {_CAPITAL_BAD} AS bad FROM empresa_file) f
+    UNION ALL SELECT 'estabelecimento_cnae_sec', count(*), 0, 0, FALSE
+    FROM estabelecimento_cnae_sec""",
+)
+_add("sink_build_and_swap", "SELECT * FROM busca_estabelecimento")
+_add(
+    "manifest_diff",
+    """SELECT coalesce(l.filename, r.filename) AS filename, l.size_bytes AS local_bytes,
+    r.size_bytes AS remote_bytes,
+    CASE WHEN l.filename IS NULL THEN 'missing' WHEN r.filename IS NULL THEN 'extra'
+         WHEN l.size_bytes <> r.size_bytes THEN 'size_mismatch' ELSE 'ok' END AS status
+    FROM local_files l FULL OUTER JOIN remote_files r ON l.filename = r.filename""",
+)
+_add(
+    "manifest_periods",
+    """SELECT DISTINCT name AS period, substr(name, 6) || '/' || substr(name, 1, 4) AS month_year,
+    name = (SELECT max(name) FROM remote_folders
+            WHERE regexp_full_match(name, '[0-9]{4}-[0-9]{2}')) AS is_latest
+    FROM remote_folders WHERE regexp_full_match(name, '[0-9]{4}-[0-9]{2}')""",
+)
+
+# -- cleaning and scalar functions -----------------------------------------------
+
+_add("clean_sanitize", f"SELECT doc_id, {_clean(_dirty('text'))} AS text FROM documents")
+_add(
+    "clean_all_strings",
+    f"SELECT page_id, {_clean(_dirty('url'))} AS url, {_clean(_dirty('html'))} AS html FROM pages",
+)
+_add(
+    "clean_empty_null",
+    """SELECT conv_id, turn, CASE WHEN turn % 3 <> 0 THEN nullif(role, '') END AS role,
+    CASE WHEN conv_id % 2 <> 0 THEN nullif(text, '') END AS text FROM conversations""",
+)
+_BR = (
+    "CASE WHEN contains(capital_social, ',') AND "
+    "regexp_full_match(replace(replace(capital_social, '.', ''), ',', ''), '[0-9]+') "
+    "THEN replace(replace(capital_social, '.', ''), ',', '.') ELSE capital_social END"
+)
+_add(
+    "parse_decimal_br",
+    f"""SELECT cnpj_basico, capital_social, TRY_CAST({_BR} AS DECIMAL(16,2)) AS valor
+    FROM empresa_file""",
+)
+_add(
+    "parse_date8",
+    f"""SELECT cnpj_basico, cnpj_ordem, texto, {_day("texto")} AS dia, texto = 'abc' AS ilegivel
+    FROM (SELECT *, CASE WHEN cnpj_ordem::INTEGER % 50 = 49 THEN 'abc'
+                         ELSE data_inicio_atividade END AS texto FROM estabelecimento_file) f""",
+)
+_add("date_columns_by_table", "SELECT * FROM simples")
+_add(
+    "compose_cnpj",
+    f"""SELECT cnpj_basico, cnpj_ordem, cnpj_dv, {_COMPOSED} AS cnpj_completo
+    FROM estabelecimento_file""",
+)
+_add(
+    "compose_cnpj_raw",
+    """SELECT cnpj_basico, cnpj_ordem, cnpj_dv, cnpj_basico || cnpj_ordem || cnpj_dv
+    AS cnpj_completo FROM estabelecimento_file""",
+)
+_add(
+    "normalize_name",
+    "SELECT doc_id, strip_accents(upper(replace(text, 'ß', 'ss'))) AS text_norm FROM documents",
+)
+_add(
+    "pad_code",
+    """SELECT cnpj_completo, CASE WHEN length(trim(cod_pais)) = 2 THEN lpad(cod_pais, 3, '0')
+    ELSE cod_pais END AS cod_pais FROM estabelecimento""",
+)
+_add("row_hash", "SELECT cnpj_completo, row_hash FROM busca_estabelecimento")
+_add(
+    "label_codes",
+    """SELECT cnpj_basico, nome_socio, CASE identificador_socio WHEN '1' THEN 'Pessoa Jurídica'
+    WHEN '2' THEN 'Pessoa Física' WHEN '3' THEN 'Estrangeiro' END AS tipo_socio FROM socio""",
+)
+_add(
+    "period_normalize",
+    """SELECT event_id, CASE WHEN event_id % 6 <= 3 THEN strftime(ts, '%Y-%m')
+    WHEN event_id % 6 = 4 THEN strftime(ts, '%Y%m') END AS periodo FROM events""",
+)
+_add(
+    "email_prospect",
+    """SELECT cnpj_completo, coalesce(email <> '' AND email NOT ILIKE '%contab%', FALSE) AS ok
+    FROM estabelecimento""",
+)
+_add("like_prefix", "SELECT page_id, url FROM pages WHERE url LIKE 'https://m.%'")
+_add(
+    "like_substring",
+    """SELECT doc_id, text LIKE '%tion%' AS com, text ILIKE '%TION%' AS com_ilike
+    FROM documents""",
+)
+_add(
+    "null_safe_diff",
+    """SELECT cnpj_completo, ddd_telefone_1 IS DISTINCT FROM ddd_telefone_2 AS difere
+    FROM estabelecimento""",
+)
+_add(
+    "ratio_guard",
+    f"""SELECT cod_natureza, {_share("ativos", "total", "DECIMAL(18,2)")} AS taxa_atividade
+    FROM mv_stats_natureza_juridica""",
+)
+_add(
+    "least_ignore_null",
+    """SELECT cnpj_completo, least(data_situacao_cadastral, CASE WHEN cnpj_completo::BIGINT % 2 = 0
+    THEN data_inicio_atividade END) AS menor FROM estabelecimento""",
+)
+
+# -- enrichment --------------------------------------------------------------------
+
+_P3 = "cnpj_basico, cnpj_ordem, cnpj_dv"
+_add("geo_lookup", f"SELECT {_P3}, cod_municipio, uf, {_OPEN_GEO} FROM colocados")
+_add("geo_foreign_guard", f"SELECT {_P3}, cod_pais, {_HOME_GEO} FROM colocados")
+_SECONDARY = f"""
+SELECT {_COMPOSED} AS cnpj_completo, trim(item) AS cod_cnae, {_OPEN_GEO}, data_inicio_atividade
+FROM (SELECT *, unnest(string_split(cod_cnae_secundario, ',')) AS item FROM colocados) s
+WHERE trim(item) <> ''
+"""
+_add("explode_secondary", _SECONDARY)
+_add(
+    "geo_secondary",
+    f"""SELECT cod_regiao_ibge, cod_estado_ibge, cod_cidade_ibge, count(*) AS atividades
+    FROM ({_SECONDARY}) s GROUP BY 1, 2, 3""",
+)
+_add(
+    "derive_establishment",
+    f"""SELECT {_COMPOSED} AS cnpj_completo, matriz_filial, nome_fantasia, uf, {_HOME_GEO}
+    FROM colocados""",
+)
+_add(
+    "transform_table",
+    f"""SELECT {_COMPOSED} AS cnpj_completo, {_clean("nome_fantasia")} AS nome_fantasia,
+    nullif(trim(cod_pais), '') AS cod_pais, NULL::DATE AS data_situacao_cadastral,
+    {_day("data_inicio_atividade")} AS data_inicio_atividade, logradouro,
+    nullif(complemento, '') AS complemento, {_HOME_GEO}, 0 AS rejeitos FROM colocados""",
+)
+_add("geo_dims_rows", "SELECT * FROM ibge_cidade")
+
+# -- patches -----------------------------------------------------------------------
+
+# The reference rows that are added when missing.
+_COUNTRIES = """(VALUES ('008', 'ABU DHABI'), ('009', 'DIRCE'), ('015', 'ALAND, ILHAS'),
+('150', 'JERSEY'), ('151', 'CANARIAS, ILHAS'), ('200', 'CURACAO'), ('321', 'GUERNSEY'),
+('359', 'MAN, ILHA DE'), ('367', 'INGLATERRA'), ('393', 'JERSEY'),
+('449', 'MACEDONIA (ANTIGA REP. IUGOSLAVA)'), ('452', 'MADEIRA, ILHA DA'), ('498', 'MOLDAVIA'),
+('578', 'PALESTINA'), ('678', 'SAO TOME E PRINCIPE'),
+('699', 'SAO MARTINHO, ILHA DE (PARTE HOLANDESA)'), ('737', 'SERVIA'), ('994', 'AZERBAIJAO'))
+AS x(cod_pais, nome_pais)"""
+_CTES["pais_completo"] = f"""
+SELECT cod_pais, nome_pais FROM pais
+UNION ALL SELECT cod_pais, nome_pais FROM {_COUNTRIES}
+WHERE cod_pais NOT IN (SELECT cod_pais FROM pais)
+"""
+_PADDED = "CASE WHEN length(trim(cod_pais)) = 2 THEN lpad(cod_pais, 3, '0') ELSE cod_pais END"
+_CTES["paises_usados"] = f"""
+SELECT DISTINCT cod_pais FROM (
+  SELECT nullif({_PADDED}, '0') AS cod_pais FROM estabelecimento
+  UNION ALL SELECT cod_pais FROM socio) u WHERE cod_pais IS NOT NULL
+"""
+_add("patch_insert_missing", "SELECT * FROM pais_completo")
+_add("patch_pad_country", f"SELECT cnpj_completo, {_PADDED} AS cod_pais FROM estabelecimento")
+_add("patch_null_zero", "SELECT cnpj_completo, nullif(cod_pais, '0') AS cod_pais FROM estabelecimento")
+_add(
+    "patch_empty_porte",
+    """SELECT cnpj_basico, CASE n % 10 WHEN 0 THEN '00' WHEN 1 THEN NULL ELSE cod_porte END
+    AS cod_porte, CASE WHEN n % 10 <= 1 THEN '00' ELSE cod_porte END AS cod_porte_todos
+    FROM (SELECT cnpj_basico, cod_porte, cnpj_basico::BIGINT AS n FROM empresa) e""",
+)
+_add(
+    "patch_absorb_orphans",
+    """SELECT cod_pais, nome_pais FROM pais
+    UNION ALL SELECT cod_pais, 'CODIGO NAO CONSTANTE NA TABELA RFB' FROM paises_usados
+    WHERE cod_pais NOT IN (SELECT cod_pais FROM pais)""",
+)
+_add(
+    "patch_dedup_company",
+    """SELECT * EXCLUDE (n, ente_federativo_responsavel) FROM (
+      SELECT *, row_number() OVER (PARTITION BY cnpj_basico ORDER BY
+             CASE WHEN razao_social IS NOT NULL AND trim(razao_social) <> '' THEN 0 ELSE 1 END,
+             razao_social, cod_natureza_juridica, cod_qualificacao_responsavel, capital_social,
+             cod_porte) AS n
+      FROM (SELECT * FROM empresa
+            UNION ALL SELECT * REPLACE (' ' AS razao_social) FROM empresa
+                      WHERE cnpj_basico::BIGINT % 2 = 0
+            UNION ALL SELECT * REPLACE ('A ' || razao_social AS razao_social) FROM empresa
+                      WHERE cnpj_basico::BIGINT % 3 = 0) u) r WHERE n = 1""",
+)
+_add(
+    "patch_delete_keys",
+    """SELECT * FROM simples WHERE cnpj_basico NOT IN ('00000001', '00000002', '00000012',
+    '24417449', '24539162', '30721933', '30728066', '30760363', '30847991', '30857441',
+    '30886793', '30972017')""",
+)
+_add(
+    "patch_all",
+    """SELECT * FROM (
+    SELECT 'pais' AS "table", (SELECT count(*) FROM pais_completo) + (SELECT count(*)
+      FROM paises_usados WHERE cod_pais NOT IN (SELECT cod_pais FROM pais_completo)) AS "rows"
+    UNION ALL SELECT 'qualificacao_socio', count(*) +
+      CASE WHEN bool_or(cod_qualificacao = '36') THEN 0 ELSE 1 END FROM qualificacao_socio
+    UNION ALL SELECT 'motivo', count(*) + 3 FROM motivo
+    UNION ALL SELECT 'estabelecimento', count(*) FROM estabelecimento
+    UNION ALL SELECT 'empresa', count(DISTINCT cnpj_basico) FROM empresa
+    UNION ALL SELECT 'simples', count(*) FROM simples
+    UNION ALL SELECT 'socio', count(*) FROM socio) s""",
+)
+
+# -- quality -----------------------------------------------------------------------
+
+_REQUIRED = (
+    "cnpj_basico cnpj_ordem cnpj_dv cnpj_completo matriz_filial cod_situacao_cadastral "
+    "cod_motivo_situacao_cadastral data_inicio_atividade cod_cnae_principal uf"
+).split()
+_add(
+    "check_not_null",
+    " UNION ALL ".join(
+        f"""SELECT 'estabelecimento' AS "table", '{c}' AS "column",
+        count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM estabelecimento"""
+        for c in _REQUIRED
+    ),
+)
+_LENGTHS = {
+    "cnpj_basico": 8, "cnpj_ordem": 4, "cnpj_dv": 2, "cnpj_completo": 14, "matriz_filial": 1,
+    "nome_fantasia": 60, "cod_situacao_cadastral": 2, "cod_motivo_situacao_cadastral": 2,
+    "nome_cidade_exterior": 60, "cod_pais": 3, "cod_cnae_principal": 7, "tipo_logradouro": 20,
+    "logradouro": 60, "numero": 6, "complemento": 200, "bairro": 60, "cep": 8, "uf": 2,
+    "cod_municipio": 7, "ddd_telefone_1": 4, "telefone_1": 10, "ddd_telefone_2": 4,
+    "telefone_2": 10, "ddd_fax": 4, "fax": 10, "situacao_especial": 100,
+}
+_add(
+    "check_length",
+    " UNION ALL ".join(
+        f"""SELECT 'estabelecimento' AS "table", '{c}' AS "column",
+        count(*) FILTER (WHERE length({c}) > {n}) AS too_long FROM estabelecimento"""
+        for c, n in _LENGTHS.items()
+    ),
+)
+_add(
+    "check_unique",
+    """SELECT cnpj_basico, cod_cidade_ibge, count(*) AS copies FROM estabelecimento
+    WHERE cod_cidade_ibge IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+_EDGES = (
+    ("ibge_estado", "cod_regiao_ibge", "ibge_regiao", "cod_regiao_ibge"),
+    ("ibge_cidade", "cod_estado_ibge", "ibge_estado", "cod_estado_ibge"),
+    ("empresa", "cod_natureza_juridica", "natureza_juridica", "cod_natureza"),
+    ("empresa", "cod_qualificacao_responsavel", "qualificacao_socio", "cod_qualificacao"),
+    ("estabelecimento", "cnpj_basico", "empresa", "cnpj_basico"),
+    ("estabelecimento", "cod_cnae_principal", "cnae", "cod_cnae"),
+    ("estabelecimento", "cod_pais", "pais", "cod_pais"),
+    ("estabelecimento", "cod_motivo_situacao_cadastral", "motivo", "cod_motivo"),
+    ("estabelecimento", "cod_regiao_ibge", "ibge_regiao", "cod_regiao_ibge"),
+    ("estabelecimento", "cod_estado_ibge", "ibge_estado", "cod_estado_ibge"),
+    ("estabelecimento", "cod_cidade_ibge", "ibge_cidade", "cod_cidade_ibge"),
+    ("simples", "cnpj_basico", "empresa", "cnpj_basico"),
+    ("socio", "cnpj_basico", "empresa", "cnpj_basico"),
+    ("socio", "cod_pais", "pais", "cod_pais"),
+    ("socio", "cod_qualificacao_socio", "qualificacao_socio", "cod_qualificacao"),
+    ("socio", "cod_qualificacao_representante_legal", "qualificacao_socio", "cod_qualificacao"),
+    ("estabelecimento_cnae_sec", "cnpj_completo", "estabelecimento", "cnpj_completo"),
+    ("estabelecimento_cnae_sec", "cod_cnae", "cnae", "cod_cnae"),
+)
+_add(
+    "check_fk",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", '{p}' AS parent, count(*) AS orphans
+        FROM {t} f WHERE f.{c} IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{k} = f.{c})"""
+        for t, c, p, k in _EDGES
+    ),
+)
+
+
+def _report(name, table, column, parent, key, warning):
+    return f"""SELECT '{name}' AS fk_name, '{table}' AS source_table, count(*) AS orphan_count,
+    CASE WHEN count(*) = 0 THEN 'OK' ELSE '{warning}' END AS status FROM {table} f
+    WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = f.{column})"""
+
+
+_add(
+    "check_fk_report",
+    " UNION ALL ".join(
+        (
+            _report("fk_estab_empresa", "estabelecimento", "cnpj_basico", "empresa", "cnpj_basico",
+                    "AVISO: Registros órfãos"),
+            _report("fk_estab_cnae", "estabelecimento", "cod_cnae_principal", "cnae", "cod_cnae",
+                    "AVISO: CNAEs não encontrados"),
+            _report("fk_socio_empresa", "socio", "cnpj_basico", "empresa", "cnpj_basico",
+                    "AVISO: Sócios órfãos"),
+        )
+    ),
+)
+
+
+def _finding(check, table, where, warning):
+    return f"""SELECT '{check}' AS check_name, '{table}' AS table_name, count(*) AS count,
+    CASE WHEN count(*) = 0 THEN 'OK' ELSE '{warning}' END AS status FROM {table} WHERE {where}"""
+
+
+_NO_ID = "cnpj_completo IS NULL OR cnpj_completo = ''"
+_add(
+    "check_cnpj_nulls",
+    " UNION ALL ".join(
+        _finding("cnpj_completo_nulls", t, _NO_ID, "FALHA: NULLs encontrados")
+        for t in ("estabelecimento", "estabelecimento_cnae_sec")
+    ),
+)
+_add(
+    "check_cnpj_format",
+    _finding("cnpj_completo_format", "estabelecimento", "length(cnpj_completo) <> 14",
+             "FALHA: Formato incorreto"),
+)
+_add(
+    "check_cnpj_consistency",
+    _finding("cnpj_completo_consistency", "estabelecimento",
+             "cnpj_completo <> (cnpj_basico || cnpj_ordem || cnpj_dv)",
+             "AVISO: Inconsistências encontradas"),
+)
+_add(
+    "check_row_floor",
+    """SELECT count(*) AS "rows", 60000000::BIGINT AS minimum, count(*) >= 60000000 AS passed
+    FROM estabelecimento""",
+)
+_add(
+    "check_views_present",
+    """SELECT 'mv_stats_estado' AS "view", count(*) = 0 AS empty FROM mv_stats_estado
+    UNION ALL SELECT 'mv_stats_cnae_estado', count(*) = 0 FROM mv_stats_cnae_estado
+    UNION ALL SELECT 'vazia', TRUE""",
+)
+_add(
+    "check_count_match",
+    """SELECT (SELECT count(*) FROM busca_estabelecimento) AS derived_rows,
+    (SELECT count(*) FROM estabelecimento) AS source_rows,
+    (SELECT count(*) FROM busca_estabelecimento) = (SELECT count(*) FROM estabelecimento) AS passed""",
+)
+_add(
+    "sanity_anchor",
+    """SELECT count(DISTINCT mes_ancora) AS ancoras FROM (
+    SELECT mes_ancora FROM mv_stats_estado UNION SELECT mes_ancora FROM mv_abertura_periodo
+    UNION SELECT mes_ancora FROM mv_movimentacao_mensal_cnae
+    UNION SELECT mes_ancora FROM mv_comparativo_territorio) u""",
+)
+_add(
+    "sanity_12m",
+    """SELECT count(*) FILTER (WHERE c.aberturas_atual <> s.novos_1ano) AS divergentes
+    FROM mv_comparativo_territorio c JOIN mv_stats_estado s ON s.cod_estado_ibge = c.cod_estado_ibge
+    WHERE c.nivel = 'estado' AND c.periodo_meses = 12""",
+)
+_add(
+    "sanity_levels",
+    """SELECT *, brasil <> regiao OR brasil <> estado AS diverge FROM (
+    SELECT periodo_meses, (sum(aberturas_atual) FILTER (WHERE nivel = 'brasil'))::BIGINT AS brasil,
+           (sum(aberturas_atual) FILTER (WHERE nivel = 'regiao'))::BIGINT AS regiao,
+           (sum(aberturas_atual) FILTER (WHERE nivel = 'estado'))::BIGINT AS estado
+    FROM mv_comparativo_territorio GROUP BY 1) t""",
+)
+_add(
+    "sanity_closings",
+    f"""SELECT serie, base, serie - base AS diferenca FROM (
+    SELECT (SELECT sum(baixas)::BIGINT FROM mv_abertura_periodo) AS serie,
+           (SELECT count(*) FROM estabelecimento WHERE cod_situacao_cadastral = '08'
+            AND data_situacao_cadastral >= DATE '{FLOOR}') AS base) t""",
+)
+_add(
+    "sanity_null_variation",
+    """SELECT count(*) AS erradas FROM mv_comparativo_territorio
+    WHERE aberturas_anterior = 0 AND aberturas_variacao_pct IS NOT NULL""",
+)
+
+# -- generations -------------------------------------------------------------------
+
+_add("delta_counts", "SELECT * FROM delta")
+_add(
+    "delta_gate",
+    f"""SELECT *, round({_DELTA_PCT}, 3)::DECIMAL(9,3) AS delta_pct, {_DELTA_PCT} <= 25 AS aprovado
+    FROM delta""",
+)
+_add(
+    "validate_generation",
+    f"""SELECT 'row_floor' AS "check", count(*) >= 1000 AS passed,
+    count(*)::VARCHAR || ' of 1000' AS detail FROM estabelecimento
+    UNION ALL SELECT 'view mv_stats_cnae_estado', count(*) > 0, 'has rows' FROM mv_stats_cnae_estado
+    UNION ALL SELECT 'delta', {_DELTA_PCT} <= 25, 'novas=' || novas || ' removidas=' || removidas
+      || ' alteradas=' || alteradas || ' total_vigente=' || total_vigente FROM delta""",
+)
+_add(
+    "publish_generation",
+    f"""SELECT '200106' AS load_id, 'dados_200106' AS schema_nome, 'publicado' AS etapa,
+    NULL::DECIMAL(6,3) AS delta_pct, FALSE AS vigente
+    UNION ALL SELECT '200107', 'dados_200107', 'publicado',
+      round({_DELTA_PCT}, 3)::DECIMAL(6,3), TRUE FROM delta""",
+)
+_add(
+    "rollback_generation",
+    """SELECT schema_nome, publicado_em FROM ciclos WHERE publicado_em IS NOT NULL
+    ORDER BY publicado_em DESC LIMIT 1 OFFSET 1""",
+)
+_add(
+    "gc_candidates",
+    """SELECT schema_nome FROM ciclos WHERE schema_nome NOT IN (SELECT schema_nome FROM ciclos
+    WHERE publicado_em IS NOT NULL ORDER BY publicado_em DESC LIMIT 2)""",
+)
+_add(
+    "cycle_upsert",
+    """SELECT coalesce(c.load_id, s.load_id) AS load_id,
+    'dados_' || coalesce(c.load_id, s.load_id) AS schema_nome,
+    CASE WHEN s.load_id IS NOT NULL THEN 'carregado' ELSE c.etapa END AS etapa, c.publicado_em,
+    coalesce(s.n, c.linhas_estabelecimento) AS linhas_estabelecimento
+    FROM ciclos c FULL OUTER JOIN (SELECT strftime(l_shipdate, '%Y%m') AS load_id, count(*) AS n
+    FROM lineitem GROUP BY 1) s ON c.load_id = s.load_id""",
+)
+
+# -- anchor and indicators ---------------------------------------------------------
+
+_add("anchor_month", "SELECT mes_ancora FROM ancora")
+_add("anchor_windows", "SELECT * FROM janelas")
+_add("period_windows", "SELECT * FROM periodos")
+_CTES["anos_cliente"] = """
+SELECT o_custkey, count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '2000-06-01') AS atual,
+       count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-06-01') AS anterior,
+       count(*) FILTER (WHERE o_orderstatus = 'O') AS ativos,
+       count(*) FILTER (WHERE o_orderstatus <> 'P') AS aberturas
+FROM orders GROUP BY 1
+"""
+_add(
+    "variation_pct",
+    f"""SELECT o_custkey, {_variation("atual", "anterior")} AS variacao,
+    {_variation("(atual * 12345)", "anterior")} AS variacao_grande,
+    {_variation("(atual * -12345)", "anterior")} AS variacao_negativa FROM anos_cliente""",
+)
+_add(
+    "survival_pct",
+    f"SELECT o_custkey, {_share('ativos', 'aberturas')} AS sobrevivencia FROM anos_cliente",
+)
+
+# -- view graph --------------------------------------------------------------------
+
+
+def _counts(*names):
+    return " UNION ALL ".join(
+        f"""SELECT '{n}' AS "table", count(*) AS "rows" FROM {n}""" for n in names
+    )
+
+
+_add(
+    "build_views",
+    _counts("mv_stats_estado", "mv_abertura_periodo", "mv_porte_cidade", "mv_comparativo_territorio"),
+)
+_REFRESHED = ("mv_stats_estado", "mv_abertura_periodo", "mv_comparativo_territorio")
+_VIEW_NAMES = [n for n in _CTES if n.startswith("mv_") and not n.endswith("_2000")]
+# every refreshed view is OK when its definition yields a result at all
+_add(
+    "refresh_views",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS mv_name, CASE WHEN count(*) >= 0 THEN 'OK' END AS status FROM {n}"
+        if n in _REFRESHED
+        else f"SELECT '{n}', 'AUSENTE'"
+        for n in sorted(_VIEW_NAMES, key=lambda n: n not in _REFRESHED)
+    ),
+)
+_BASE = (
+    "cnae motivo municipio_rfb natureza_juridica pais qualificacao_socio ibge_regiao ibge_estado "
+    "ibge_cidade empresa estabelecimento simples socio estabelecimento_cnae_sec"
+).split()
+_add("table_stats", f"SELECT * FROM ({_counts(*_BASE)}) t WHERE \"rows\" > 0")
+
+# -- search ------------------------------------------------------------------------
+
+_B = "busca_estabelecimento"
+_add(_B, f"SELECT * FROM {_B}")
+_add(
+    "search_name_prefix",
+    f"""SELECT cnpj_completo, razao_social_norm FROM {_B}
+    WHERE razao_social_norm LIKE 'CUSTOMER#0000000%' AND cod_situacao_cadastral = '02'
+    ORDER BY razao_social_norm, cnpj_completo LIMIT 20""",
+)
+_add(
+    "search_name_prefix_count",
+    f"SELECT count(*) AS total FROM {_B} WHERE nome_fantasia_norm LIKE 'CAFE B%'",
+)
+_add(
+    "search_name_substring",
+    f"""SELECT cnpj_completo, nome_fantasia_norm FROM {_B}
+    WHERE nome_fantasia_norm LIKE '%RING%'""",
+)
+_add(
+    "search_city_activity_page",
+    f"""SELECT cnpj_completo, razao_social_norm FROM {_B} WHERE cod_cidade_ibge = 100
+    AND cod_cnae_principal = '0000009' AND cod_situacao_cadastral = '02'
+    ORDER BY cnpj_completo LIMIT 51 OFFSET 1""",
+)
+_add(
+    "search_keyset_page",
+    """SELECT cnpj_completo, cod_estado_ibge, cod_situacao_cadastral FROM estabelecimento
+    WHERE cod_estado_ibge = 3 AND cod_situacao_cadastral = '02' AND cnpj_completo > '00000000000100'
+    ORDER BY cnpj_completo LIMIT 51""",
+)
+_add(
+    "search_area_code",
+    f"""SELECT cnpj_completo, ddd_telefone_1, ddd_telefone_2 FROM {_B}
+    WHERE ddd_telefone_1 = '12' OR ddd_telefone_2 = '12'""",
+)
+_add(
+    "search_filters",
+    f"""SELECT cnpj_completo, cnpj_basico, data_inicio_atividade FROM {_B} WHERE cod_estado_ibge = 5
+    AND cod_situacao_cadastral = '02' AND matriz_filial = '2'
+    AND data_inicio_atividade >= DATE '1996-01-01' AND bairro_norm LIKE '%SAO%'
+    AND cnpj_basico IN (SELECT cnpj_basico FROM empresa WHERE capital_social BETWEEN 0 AND 8000)
+    AND cnpj_basico IN (SELECT cnpj_basico FROM simples WHERE opcao_simples = 'S')""",
+)
+_add(
+    "leads_with_email",
+    """SELECT 'atividade' AS lista, cnpj_completo FROM estabelecimento
+    WHERE cod_cnae_principal = '0000009' AND cod_situacao_cadastral = '02' AND email <> ''
+    UNION ALL SELECT 'cidade', cnpj_completo FROM estabelecimento WHERE cod_cidade_ibge = 201
+    AND cod_situacao_cadastral = '02' AND email <> '' AND email NOT ILIKE '%contab%'""",
+)
+_add(
+    "sitemap_state_companies",
+    """SELECT cnpj_basico, cnpj_completo FROM estabelecimento
+    WHERE cod_estado_ibge = 7 AND matriz_filial = '1'""",
+)
+_add(
+    "sitemap_state_activities",
+    """SELECT cod_cnae_principal, count(*) AS total FROM estabelecimento WHERE cod_estado_ibge = 7
+    GROUP BY 1 HAVING count(*) >= 20""",
+)
+_add(
+    "sitemap_city_activities",
+    """SELECT cod_cidade_ibge, cod_cnae_principal, count(*) AS total FROM estabelecimento
+    WHERE cod_estado_ibge = 7 GROUP BY 1, 2""",
+)
+_add(
+    "secondary_activity_filter",
+    "SELECT * FROM estabelecimento_cnae_sec WHERE cod_cnae = '0000011' AND cod_estado_ibge = 4",
+)
+
+# -- consumer queries --------------------------------------------------------------
+
+_add(
+    "by_full_id",
+    """SELECT e.cnpj_completo, c.razao_social, e.nome_fantasia, e.uf, d.nome_cidade
+    FROM estabelecimento e JOIN empresa c ON e.cnpj_basico = c.cnpj_basico
+    LEFT JOIN ibge_cidade d ON e.cod_cidade_ibge = d.cod_cidade_ibge
+    WHERE e.cnpj_completo = '00000000000123'""",
+)
+_add(
+    "by_root",
+    """SELECT e.cnpj_completo, c.razao_social,
+    CASE e.matriz_filial WHEN '1' THEN 'MATRIZ' WHEN '2' THEN 'FILIAL' END AS tipo
+    FROM estabelecimento e JOIN empresa c ON e.cnpj_basico = c.cnpj_basico
+    WHERE e.cnpj_basico = '00000042'""",
+)
+_add(
+    "partners_of",
+    """SELECT s.nome_socio, q.nome_qualificacao AS qualificacao, s.data_entrada_sociedade,
+    CASE s.identificador_socio WHEN '1' THEN 'Pessoa Jurídica' WHEN '2' THEN 'Pessoa Física'
+    WHEN '3' THEN 'Estrangeiro' END AS tipo_socio
+    FROM socio s JOIN qualificacao_socio q ON s.cod_qualificacao_socio = q.cod_qualificacao
+    WHERE s.cnpj_basico = '00000042'""",
+)
+_add(
+    "per_state",
+    """SELECT u.sigla_uf, u.nome_estado, count(*) AS total_estabelecimentos,
+    count(*) FILTER (WHERE e.cod_situacao_cadastral = '02') AS ativos
+    FROM estabelecimento e JOIN ibge_estado u ON e.cod_estado_ibge = u.cod_estado_ibge GROUP BY 1, 2""",
+)
+_add(
+    "per_city_geo",
+    """SELECT d.nome_cidade, u.sigla_uf, d.latitude, d.longitude, count(*) AS total
+    FROM estabelecimento e JOIN ibge_cidade d ON e.cod_cidade_ibge = d.cod_cidade_ibge
+    JOIN ibge_estado u ON d.cod_estado_ibge = u.cod_estado_ibge
+    WHERE e.cod_situacao_cadastral = '02' GROUP BY 1, 2, 3, 4
+    ORDER BY total DESC, d.nome_cidade, u.sigla_uf LIMIT 20""",
+)
+_add(
+    "per_region",
+    """SELECT r.nome_regiao, count(DISTINCT e.cnpj_basico) AS total_empresas,
+    count(*) AS total_estabelecimentos FROM estabelecimento e
+    JOIN ibge_regiao r ON e.cod_regiao_ibge = r.cod_regiao_ibge
+    WHERE e.cod_situacao_cadastral = '02' GROUP BY 1""",
+)
+_add(
+    "secondary_of",
+    """SELECT s.cnpj_completo, s.cod_cnae, c.nome_cnae FROM estabelecimento_cnae_sec s
+    JOIN cnae c ON s.cod_cnae = c.cod_cnae WHERE s.cnpj_completo = '00000000000123'""",
+)
+_add(
+    "activities_in_state",
+    """SELECT c.cod_cnae, c.nome_cnae, count(*) AS total FROM estabelecimento e
+    JOIN cnae c ON e.cod_cnae_principal = c.cod_cnae
+    WHERE e.cod_estado_ibge = 7 AND e.cod_situacao_cadastral = '02' GROUP BY 1, 2
+    ORDER BY total DESC, c.cod_cnae LIMIT 20""",
+)
+_add(
+    "view_state_rank",
+    """SELECT sigla_uf, nome_estado, total_estabelecimentos, ativos, matrizes_ativas,
+    total_empresas, novos_1ano FROM mv_stats_estado""",
+)
+_add(
+    "view_top_cities",
+    """SELECT nome_cidade, sigla_uf, total_empresas, ativos, novos_6meses FROM mv_stats_municipio
+    ORDER BY total_empresas DESC, nome_cidade, sigla_uf LIMIT 10""",
+)
+_add(
+    "view_top_activities",
+    """SELECT cod_cnae_principal, nome_cnae, total_estabelecimentos, ativos, estados_presentes
+    FROM mv_stats_cnae ORDER BY total_estabelecimentos DESC, cod_cnae_principal LIMIT 20""",
+)
+_add(
+    "series_state",
+    """SELECT mes_abertura, sum(total_aberturas)::BIGINT AS total_aberturas,
+    sum(empresas_unicas)::BIGINT AS empresas_unicas, sum(ainda_ativos)::BIGINT AS ainda_ativos
+    FROM mv_abertura_periodo WHERE cod_estado_ibge = 7 AND mes_abertura >= DATE '1998-01-01'
+    GROUP BY 1""",
+)
+_add(
+    "series_city",
+    """SELECT mes_abertura, total_aberturas, empresas_unicas, ainda_ativos
+    FROM mv_abertura_periodo WHERE cod_cidade_ibge = 703 AND mes_abertura >= DATE '1998-01-01'""",
+)
+_add(
+    "ranking_city",
+    """SELECT cod_cnae_principal, nome_cnae, total, ranking FROM mv_top_cnaes_cidade
+    WHERE cod_cidade_ibge = 604""",
+)
+_add(
+    "form_rank_states",
+    f"""SELECT e.sigla_uf, e.nome_estado, m.total, m.ativos,
+    {_share("m.ativos", "m.total", "DECIMAL(18,2)")} AS taxa_atividade
+    FROM mv_stats_natureza_juridica_estado m JOIN ibge_estado e
+    ON m.cod_estado_ibge = e.cod_estado_ibge WHERE m.cod_natureza = 'BUILDING'""",
+)
+_BY_REGION = """FROM mv_stats_natureza_juridica_estado m JOIN ibge_regiao r
+    ON m.cod_regiao_ibge = r.cod_regiao_ibge WHERE m.cod_natureza = 'BUILDING'"""
+_add(
+    "form_by_region",
+    f"""SELECT r.nome_regiao, r.sigla_regiao, sum(m.total)::BIGINT AS total,
+    sum(m.ativos)::BIGINT AS ativos {_BY_REGION} GROUP BY 1, 2""",
+)
+_add(
+    "form_regions_in",
+    f"""SELECT r.nome_regiao, sum(m.total)::BIGINT AS total {_BY_REGION}
+    AND m.cod_regiao_ibge IN (3, 4) GROUP BY 1""",
+)
+_add(
+    "forms_of_state",
+    """SELECT n.nome_natureza, m.total, m.ativos FROM mv_stats_natureza_juridica_estado m
+    JOIN natureza_juridica n ON m.cod_natureza = n.cod_natureza WHERE m.cod_estado_ibge = 7""",
+)
+_add(
+    "forms_of_city",
+    """SELECT n.nome_natureza, m.total, m.ativos FROM mv_stats_natureza_juridica_municipio m
+    JOIN natureza_juridica n ON m.cod_natureza = n.cod_natureza WHERE m.cod_cidade_ibge = 703""",
+)
+_add(
+    "top_cities_by_form",
+    """SELECT c.nome_cidade, e.sigla_uf, m.total, m.ativos
+    FROM mv_stats_natureza_juridica_municipio m
+    JOIN ibge_cidade c ON m.cod_cidade_ibge = c.cod_cidade_ibge
+    JOIN ibge_estado e ON m.cod_estado_ibge = e.cod_estado_ibge WHERE m.cod_natureza = 'BUILDING'
+    ORDER BY m.total DESC, c.nome_cidade, e.sigla_uf LIMIT 10""",
+)
+_add(
+    "capitals_compare",
+    """SELECT c.nome_cidade, e.sigla_uf, sum(m.total)::BIGINT AS total,
+    sum(m.ativos)::BIGINT AS ativos FROM mv_stats_natureza_juridica_municipio m
+    JOIN ibge_cidade c ON m.cod_cidade_ibge = c.cod_cidade_ibge
+    JOIN ibge_estado e ON m.cod_estado_ibge = e.cod_estado_ibge WHERE c.capital GROUP BY 1, 2""",
+)
+_add(
+    "form_search",
+    """SELECT * FROM mv_stats_natureza_juridica
+    WHERE cod_natureza ILIKE '%mach%' OR nome_natureza ILIKE '%forma b%'""",
+)
+_add(
+    "form_summary",
+    """SELECT count(*) AS total_naturezas, sum(total)::BIGINT AS total_empresas,
+    sum(ativos)::BIGINT AS total_ativas FROM mv_stats_natureza_juridica""",
+)
+_add(
+    "form_top_rate",
+    f"""SELECT cod_natureza, nome_natureza, total, ativos,
+    {_share("ativos", "total", "DECIMAL(18,2)")} AS taxa_atividade
+    FROM mv_stats_natureza_juridica WHERE total > 10
+    ORDER BY taxa_atividade DESC NULLS FIRST, cod_natureza LIMIT 5""",
+)
+_add(
+    "comparison_lookup",
+    "SELECT * FROM mv_comparativo_territorio WHERE nivel = 'estado' AND cod_estado_ibge = 7",
+)
+_add(
+    "activity_growth_rank",
+    "SELECT * FROM mv_comparativo_cnae WHERE nivel = 'brasil' AND periodo_meses = 12",
+)
+
+# -- run history -------------------------------------------------------------------
+
+_add(
+    "run_start",
+    """SELECT run_id, CASE WHEN event_id % 2 = 0 THEN reference_period ELSE '2001-09' END
+    AS reference_period, CASE WHEN event_id % 2 = 0 THEN status ELSE 'in_progress' END AS status,
+    CASE WHEN event_id % 2 = 0 THEN started_at ELSE finished_at END AS started_at
+    FROM pipeline_stats""",
+)
+_add(
+    "run_finish",
+    """SELECT run_id, CASE WHEN d THEN started_at + to_seconds(90) ELSE finished_at END AS finished_at,
+    CASE WHEN d THEN 'completed' ELSE status END AS status,
+    CASE WHEN d THEN 90::DECIMAL(18,2) ELSE duration_seconds END AS duration_seconds,
+    CASE WHEN d AND event_id % 2 = 0 THEN 7 ELSE records_inserted_total END
+        AS records_inserted_total,
+    CASE WHEN NOT d THEN error END AS error
+    FROM (SELECT *, event_id % 3 = 0 AS d FROM pipeline_stats) p""",
+)
+_LAST = """(SELECT run_id FROM pipeline_stats {0} ORDER BY started_at DESC, run_id DESC LIMIT 1)"""
+_add(
+    "run_mark_refresh",
+    f"""SELECT run_id, CASE WHEN run_id = {_LAST.format("WHERE reference_period = '2001-08'")}
+    THEN TIMESTAMP '2024-02-01 03:00:00' END AS views_refreshed_at FROM pipeline_stats""",
+)
+_add(
+    "run_status",
+    """SELECT user_id::VARCHAR AS run_id,
+    CASE WHEN bool_or(event_type = 'error' AND user_id % 5 = 0) THEN 'failed'
+         WHEN count(DISTINCT CASE WHEN event_type <> 'signup' AND event_id % 9 <> 0
+                             AND NOT (event_type = 'error' AND user_id % 5 = 0)
+                             THEN event_id % 9 END) = 8 THEN 'completed'
+         ELSE 'partial' END AS run_status FROM events GROUP BY user_id""",
+)
+_add(
+    "run_last",
+    f"""SELECT reference_period, started_at, finished_at, duration_seconds, status
+    FROM pipeline_stats WHERE run_id = {_LAST.format("")}""",
+)
+_add(
+    "run_files_of_period",
+    f"""SELECT files_downloaded_count FROM pipeline_stats
+    WHERE run_id = {_LAST.format("WHERE reference_period = '2001-08'")}""",
+)
+_add(
+    "run_monthly_volume",
+    """SELECT reference_period, records_inserted_total,
+    (((duration_seconds::BIGINT * 200 + 3600) // 7200)::DECIMAL(16,0) * 0.01::DECIMAL(3,2))
+        ::DECIMAL(18,2) AS horas
+    FROM pipeline_stats WHERE status = 'completed'""",
+)
+_add(
+    "run_big_files",
+    f"""SELECT 'Empresas' || (event_id % 10) || '.zip' AS arquivo, k * 21474837 AS tamanho
+    FROM pipeline_stats WHERE run_id = {_LAST.format("")} AND k * 21474837 > 1073741824
+    UNION ALL SELECT 'Socios' || (event_id % 10) || '.zip', k * 1000000
+    FROM pipeline_stats WHERE run_id = {_LAST.format("")} AND k * 1000000 > 1073741824""",
+)
+_add(
+    "run_files_summary",
+    """SELECT run_id, 2::BIGINT AS files_downloaded, k * 21474837 + k * 1000000 AS total_bytes
+    FROM pipeline_stats""",
+)
