@@ -17,6 +17,28 @@ from pyspark.sql import functions as F
 
 from civitas.model.source import TableSource
 
+# Layout of the test tables (FIXTURES.md section 3).  Stated here so
+# that reading a table starts no schema inference job.
+LAYOUTS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 CITIES_PER_STATE = 8
 ACTIVITY_SPREAD = 200
 
@@ -32,7 +54,7 @@ class DriverTables(TableSource):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def raw(self, name: str, *columns: str) -> DataFrame:
-        frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        frame = self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
         return frame.select(*columns) if columns else frame
 
     def has(self, name):
@@ -218,48 +240,48 @@ class DriverTables(TableSource):
         status = F.col("o_orderstatus")
         none = F.lit(None).cast("string")
         columns = {
-            "cnpj_basico": _pad(customer_key, 8),
-            "cnpj_ordem": F.substr(ident, F.lit(9), F.lit(4)),
-            "cnpj_dv": F.substr(ident, F.lit(13), F.lit(2)),
-            "cnpj_completo": ident,
-            "matriz_filial": F.when(F.col("is_first"), "1").otherwise("2"),
-            "nome_fantasia": F.concat(F.lit("Café "), F.col("p_name")),
-            "cod_situacao_cadastral": F.when(status == "O", "02")
+            "cnpj_basico": lambda: _pad(customer_key, 8),
+            "cnpj_ordem": lambda: F.substr(ident, F.lit(9), F.lit(4)),
+            "cnpj_dv": lambda: F.substr(ident, F.lit(13), F.lit(2)),
+            "cnpj_completo": lambda: ident,
+            "matriz_filial": lambda: F.when(F.col("is_first"), "1").otherwise("2"),
+            "nome_fantasia": lambda: F.concat(F.lit("Café "), F.col("p_name")),
+            "cod_situacao_cadastral": lambda: F.when(status == "O", "02")
             .when(status == "F", "08")
             .otherwise("04"),
-            "data_situacao_cadastral": F.col("last_ship"),
-            "cod_motivo_situacao_cadastral": F.when(order_key % 101 == 0, "99").otherwise(
+            "data_situacao_cadastral": lambda: F.col("last_ship"),
+            "cod_motivo_situacao_cadastral": lambda: F.when(order_key % 101 == 0, "99").otherwise(
                 F.lpad(F.substr("o_orderpriority", F.lit(1), F.lit(1)), 2, "0")
             ),
-            "nome_cidade_exterior": none,
-            "cod_pais": F.when(order_key % 11 == 0, "105")
+            "nome_cidade_exterior": lambda: none,
+            "cod_pais": lambda: F.when(order_key % 11 == 0, "105")
             .when(order_key % 13 == 0, "23")
             .when(order_key % 17 == 0, "0"),
-            "data_inicio_atividade": F.col("o_orderdate").cast("date"),
-            "cod_cnae_principal": self._activity("p_brand"),
-            "cod_cnae_secundario": none,
-            "tipo_logradouro": F.lit("RUA"),
-            "logradouro": F.concat(F.lit("Rua "), (order_key % 500).cast("string")),
-            "numero": (order_key % 1000).cast("string"),
-            "complemento": none,
-            "bairro": F.concat(F.lit("São "), F.col("o_orderpriority")),
-            "cep": _pad(order_key % 100000, 8),
-            "uf": F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")),
-            "cod_municipio": F.when(~lacks_city, _pad(state * 100 + customer_key % 8, 4)),
-            "ddd_telefone_1": F.when(order_key % 4 != 0, (order_key % 89 + 11).cast("string")),
-            "telefone_1": F.when(order_key % 4 != 0, "999"),
-            "ddd_telefone_2": F.when(order_key % 3 == 0, (order_key % 7 + 11).cast("string")),
-            "telefone_2": F.when(order_key % 3 == 0, "888"),
-            "ddd_fax": none,
-            "fax": none,
-            "email": F.when(order_key % 5 == 0, none)
+            "data_inicio_atividade": lambda: F.col("o_orderdate").cast("date"),
+            "cod_cnae_principal": lambda: self._activity("p_brand"),
+            "cod_cnae_secundario": lambda: none,
+            "tipo_logradouro": lambda: F.lit("RUA"),
+            "logradouro": lambda: F.concat(F.lit("Rua "), (order_key % 500).cast("string")),
+            "numero": lambda: (order_key % 1000).cast("string"),
+            "complemento": lambda: none,
+            "bairro": lambda: F.concat(F.lit("São "), F.col("o_orderpriority")),
+            "cep": lambda: _pad(order_key % 100000, 8),
+            "uf": lambda: F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")),
+            "cod_municipio": lambda: F.when(~lacks_city, _pad(state * 100 + customer_key % 8, 4)),
+            "ddd_telefone_1": lambda: F.when(order_key % 4 != 0, (order_key % 89 + 11).cast("string")),
+            "telefone_1": lambda: F.when(order_key % 4 != 0, "999"),
+            "ddd_telefone_2": lambda: F.when(order_key % 3 == 0, (order_key % 7 + 11).cast("string")),
+            "telefone_2": lambda: F.when(order_key % 3 == 0, "888"),
+            "ddd_fax": lambda: none,
+            "fax": lambda: none,
+            "email": lambda: F.when(order_key % 5 == 0, none)
             .when(order_key % 7 == 0, "x@CONTABil.com")
             .otherwise("u@e.com"),
-            "situacao_especial": none,
-            "data_situacao_especial": F.lit(None).cast("date"),
-            "cod_regiao_ibge": F.when(~lacks_state, (F.col("n_regionkey") + 1).cast("int")),
-            "cod_estado_ibge": F.when(~lacks_state, state),
-            "cod_cidade_ibge": F.when(~lacks_city, (state * 100 + customer_key % 8).cast("int")),
+            "situacao_especial": lambda: none,
+            "data_situacao_especial": lambda: F.lit(None).cast("date"),
+            "cod_regiao_ibge": lambda: F.when(~lacks_state, (F.col("n_regionkey") + 1).cast("int")),
+            "cod_estado_ibge": lambda: F.when(~lacks_state, state),
+            "cod_cidade_ibge": lambda: F.when(~lacks_city, (state * 100 + customer_key % 8).cast("int")),
         }
         wanted = set(columns) if wanted is None else wanted
         frame = self.raw(
@@ -296,7 +318,7 @@ class DriverTables(TableSource):
                     nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
                 )
             frame = frame.join(customers, customer_key == F.col("c_custkey"), "left")
-        return frame.select(*[expr.alias(c) for c, expr in columns.items() if c in wanted])
+        return frame.select(*[build().alias(c) for c, build in columns.items() if c in wanted])
 
     def secondary_lists(self) -> DataFrame:
         """Comma list of the activities of each order's lines, with a blank item."""

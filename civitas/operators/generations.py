@@ -7,7 +7,7 @@ comparison; the rest works on the small table of load cycles.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -260,6 +260,15 @@ class GenerationStore:
             "_vigente", self.spark.createDataFrame([(generation,)], "schema_nome string")
         )
 
+    def serve(self, database: str, names: Iterable[str]) -> None:
+        """Views of a serving database over the tables of the current generation."""
+        served = self.current()
+        for name in names:
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {database}.{name} AS "
+                f"SELECT * FROM parquet.`{self.root}/{served}/{name}`"
+            )
+
     def publish(
         self,
         load_id: str,

@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 
 
-def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+def hot_keys(
+    fact: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = 1_000_000
+) -> list:
     """Keys holding more than ``share`` of all rows; at most ``1 / share`` of them.
 
+    A key of fewer than ``min_rows`` rows fits a task whatever its share.
+
     One narrow aggregate over the key column, combined map side.  The short
     list is fixed here once, so that both sides of a join agree on it even when
     a lost executor makes Spark compute either side again.
     """
     counts = fact.groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(1, int(total * share))
-    found = counts.filter((F.col("n") > limit) & F.col(key).isNotNull())
+    limit = max(min_rows, int(total * share))
+    found = counts.filter((F.col("n") >= limit) & F.col(key).isNotNull())
     return [r[0] for r in found.select(key).collect()]
 
 

@@ -35,44 +35,38 @@ def month_of(col: Column) -> Column:
     return F.trunc(col, "MM")
 
 
-def runs_arm(runs: DataFrame) -> DataFrame:
-    """Month before the reference period of the latest run that has a valid one."""
-    latest = F.max(F.struct("started_at", "run_id", "reference_period"))
-    return (
-        runs.filter(F.col("reference_period").rlike(VALID_PERIOD))
-        .agg(latest.alias("r"))
-        .select(
-            F.add_months(F.to_date("r.reference_period", "yyyy-MM"), -1).alias("mes"),
-        )
-    )
-
-
-def data_arm(establishments: DataFrame) -> DataFrame:
-    """Month before the month of the latest opening."""
-    return establishments.agg(F.max("data_inicio_atividade").alias("d")).select(
-        F.add_months(month_of(F.col("d")), -1).alias("mes")
-    )
-
-
 def anchor_frame(
     runs: DataFrame | None, establishments: DataFrame | None, today: dt.date | None = None
 ) -> DataFrame:
-    """One row, one column ``mes_ancora``: the earlier of the arms present.
+    """One row, one column ``mes_ancora``: the earlier of two months.
 
-    Each arm guards the other: the run history lies when views are rebuilt
-    without a load, the data lies when the source has openings in the future.
+    One is the month before the reference period of the latest run that has a
+    valid one, the other the month before that of the latest opening.  Each
+    guards the other: the run history lies when views are rebuilt without a
+    load, the data lies when the source has openings in the future.  Both
+    tables go through one aggregate, which ignores the side a row has not got.
     """
-    arms = [
-        build(frame)
-        for build, frame in ((runs_arm, runs), (data_arm, establishments))
-        if frame is not None
-    ]
-    if not arms:
+    sides = []
+    if runs is not None:
+        run = F.struct("started_at", "run_id", "reference_period")
+        valid = runs.filter(F.col("reference_period").rlike(VALID_PERIOD))
+        sides.append(valid.select(run.alias("run"), F.lit(None).cast("date").alias("opened")))
+    if establishments is not None:
+        no_run = F.lit(None).cast(
+            "struct<started_at:timestamp,run_id:string,reference_period:string>"
+        )
+        sides.append(
+            establishments.select(no_run.alias("run"), F.col("data_inicio_atividade").alias("opened"))
+        )
+    if not sides:
         raise ValueError("an anchor needs the run history or the establishments")
-    both = arms[0] if len(arms) == 1 else arms[0].unionByName(arms[1])
+    both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+    latest = both.agg(F.max("run").alias("run"), F.max("opened").alias("opened"))
+    by_run = F.add_months(F.to_date("run.reference_period", "yyyy-MM"), -1)
+    by_data = F.add_months(month_of(F.col("opened")), -1)
     now = F.lit(today) if today else F.current_date()
     fallback = F.add_months(month_of(now), -1)
-    return both.agg(F.coalesce(F.min("mes"), fallback).alias("mes_ancora"))
+    return latest.select(F.coalesce(F.least(by_run, by_data), fallback).alias("mes_ancora"))
 
 
 def anchor_month(

@@ -359,8 +359,15 @@ def refresh_views(
 
     anchor = anchor or anchor_of(source)
     present = set(existing)
-    fresh = _WrittenSource(spark, target, ())
-    build = Build(OverlaySource(source, fresh), anchor, floor)
+    bare = Build(source, anchor, floor)
+    readable = set(present)  # a dependant reads the series in place, new or old
+    for name in {r for v in present & set(VIEWS) for r in VIEWS[v].reads if r in ROLLUPS}:
+        try:
+            _write(ROLLUPS[name](bare), f"{target}/{name}")
+            readable.add(name)
+        except Exception:  # its views then fail or succeed on their own
+            continue
+    build = Build(OverlaySource(source, _WrittenSource(spark, target, readable)), anchor, floor)
     results = []
     for name in REFRESH_ORDER:
         if name not in present:
@@ -373,7 +380,6 @@ def refresh_views(
                 publish(name, frame)
             else:
                 build_and_swap(frame, f"{target}/{name}")
-                fresh.names.add(name)
             status = "OK"
         except Exception as failure:  # one broken view must not hide the rest
             status = f"ERRO: {failure}"
@@ -381,6 +387,47 @@ def refresh_views(
     return spark.createDataFrame(results, "mv_name string, status string, duration_seconds double")
 
 
+# What the shared columns of the views mean.
+COLUMN_COMMENTS = {
+    "ativos": "Registration status 02",
+    "matrizes_ativas": "Active head offices",
+    "filiais_ativas": "Active branches",
+    "novos_1mes": "Openings in the anchor month",
+    "novos_6meses": "Openings in the 6 months ending at the anchor, inclusive",
+    "novos_1ano": "Openings in the 12 months ending at the anchor, inclusive",
+    "novos_2anos": "Openings in the 24 months ending at the anchor, inclusive",
+    "novos_4anos": "Openings in the 48 months ending at the anchor, inclusive",
+    "mes_ancora": "Last complete month of the load",
+    "mes_abertura": "Month of the movement, opening or closing",
+    "mes_parcial": "True for months after the anchor, still being filled",
+    "ainda_ativos": "How many of those openings still have status 02",
+    "baixas": "Closings (status 08) in the month",
+    "saldo": "Openings minus closings",
+    "empresas_unicas": "Distinct companies inside city and month; not additive over cities",
+    "nivel": "Which geographic column holds the code; the others are 0",
+    "periodo_meses": "Window length in months: 1, 6, 12, 24 or 48",
+    "aberturas_variacao_pct": "NULL when the previous period had no openings",
+    "sobrevivencia_delta_pp": "Difference of the two rounded rates; NULL if either is NULL",
+}
+
+
+def register_views(
+    spark: SparkSession, database: str, target: str, names: Iterable[str]
+) -> None:
+    """Catalog tables, with table and column comments, over the written views."""
+    for name in names:
+        fields = [
+            f"`{f.name}` {f.dataType.simpleString()}"
+            + (f" COMMENT '{COLUMN_COMMENTS[f.name]}'" if f.name in COLUMN_COMMENTS else "")
+            for f in spark.read.parquet(f"{target}/{name}").schema.fields
+        ]
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(
+            f"CREATE TABLE {database}.{name} ({', '.join(fields)}) USING parquet "
+            f"COMMENT '{VIEWS[name].comment}' LOCATION '{target}/{name}'"
+        )
+
+
 def table_stats(source: TableSource, names: Iterable[str]) -> DataFrame:
     """Rows per table, largest first; empty tables are left out."""
     counts = None

@@ -110,10 +110,10 @@ def movements(est: DataFrame, floor: dt.date = SERIES_FLOOR) -> DataFrame:
     in front so that it is pushed to the scan.
     """
     start = F.lit(floor)
-    opens = F.coalesce(F.col("data_inicio_atividade") >= start, F.lit(False))
-    closes = F.coalesce(
-        (F.col("cod_situacao_cadastral") == CLOSED) & (F.col("data_situacao_cadastral") >= start),
-        F.lit(False),
+    # NULL dates make these NULL, which both the filter and WHEN take as no
+    opens = F.col("data_inicio_atividade") >= start
+    closes = (F.col("cod_situacao_cadastral") == CLOSED) & (
+        F.col("data_situacao_cadastral") >= start
     )
 
     def movement(happened: Column, day: str, opening: int, still_active: Column, closing: int):

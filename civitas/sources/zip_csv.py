@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
@@ -65,6 +67,7 @@ class ZipCsvReader(DataSourceReader):
         self.path_glob = options["path"]
         self.sep = options.get("sep", ";")
         self.encoding = options.get("encoding", "latin1")
+        self.on_error = options.get("on_error", "fail")
 
     def partitions(self) -> list[Member]:
         members = []
@@ -79,6 +82,19 @@ class ZipCsvReader(DataSourceReader):
         return members
 
     def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+        name = partition.archive.rsplit("/", 1)[-1]
+        read = 0
+        try:
+            for rows in self._chunks(partition):
+                yield self._batch(rows, name, partition.member, read + 1)
+                read += len(rows)
+        except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, csv.Error):
+            if self.on_error != "quarantine":
+                raise
+            # an empty row that breaks every required column parks the file
+            yield self._batch([[]], name, partition.member, read + 1)
+
+    def _chunks(self, partition: Member) -> Iterator[list[list[str]]]:
         system, path = _open_fs(partition.archive)
         with (
             system.open_input_file(path) as handle,
@@ -86,17 +102,9 @@ class ZipCsvReader(DataSourceReader):
             archive_file.open(partition.member) as raw,
         ):
             text = io.TextIOWrapper(raw, encoding=self.encoding)
-            name = partition.archive.rsplit("/", 1)[-1]
-            rows: list[list[str]] = []
-            first = 1
-            for row in csv.reader(text, delimiter=self.sep):
-                rows.append(row)
-                if len(rows) == BATCH_ROWS:
-                    yield self._batch(rows, name, partition.member, first)
-                    first += len(rows)
-                    rows = []
-            if rows:
-                yield self._batch(rows, name, partition.member, first)
+            rows = csv.reader(text, delimiter=self.sep)
+            while chunk := list(itertools.islice(rows, BATCH_ROWS)):
+                yield chunk
 
     def _batch(self, rows, archive, member, first) -> pa.RecordBatch:
         """Columns by position; a short row is NULL at its end, ``_fields`` tells."""
@@ -133,11 +141,14 @@ def read_zip_csv(
     sep: str = ";",
     encoding: str = "latin1",
     spread: int | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """All rows of all members as text, with file, member, line and field count.
 
     A compressed member can only be read from its start, so one large archive
     is one long task; ``spread`` redistributes its rows for the work after it.
+    A damaged member fails the load; with ``on_error='quarantine'`` it ends in a
+    row without values instead, which the quarantine turns into a parked file.
     """
     # Travels with the job, so executors need not have this package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -148,6 +159,7 @@ def read_zip_csv(
         .schema(full)
         .option("sep", sep)
         .option("encoding", encoding)
+        .option("on_error", on_error)
         .load(path_glob)
     )
     return frame.repartition(spread) if spread else frame

@@ -1330,7 +1330,7 @@ _add(
 _add(
     "ranking_city",
     """SELECT cod_cnae_principal, nome_cnae, total, ranking FROM mv_top_cnaes_cidade
-    WHERE cod_cidade_ibge = 604""",
+    WHERE cod_cidade_ibge = 301""",
 )
 _add(
     "form_rank_states",

@@ -17,6 +17,7 @@ from civitas.operators import generations, patches, quality, search
 from civitas.operators import runs as runs_
 from civitas.operators.geo import add_geo, geo_dimensions
 from civitas.operators.ingest import derive_establishment, explode_secondary, transform_table
+from civitas.operators.joins import hot_keys
 from civitas.operators.quarantine import (
     list_quarantine,
     load_metrics,
@@ -220,7 +221,8 @@ def _(t):
 def _(t):
     target = fresh_path(t.spark, "busca")
     est = t.table("estabelecimento", SEARCH_READS)
-    built = build_search_table(est, t.table("empresa"))
+    hot = hot_keys(t.table("estabelecimento", ("cnpj_basico",)), "cnpj_basico")
+    built = build_search_table(est, t.table("empresa"), hot)
     expected = t.raw("orders", "o_orderkey").count()
     sinks.build_and_swap(built, target, expected)
     return sinks.build_and_swap(built, target, expected)
@@ -1002,7 +1004,7 @@ def _(t):
 
 @query("ranking_city")
 def _(t):
-    return lookups.ranking_city(view_of(t, "mv_top_cnaes_cidade"), 604)
+    return lookups.ranking_city(view_of(t, "mv_top_cnaes_cidade"), 301)
 
 
 _FORM = "BUILDING"
