@@ -45,7 +45,7 @@ def empty_to_null(df: DataFrame) -> DataFrame:
     """``''`` becomes NULL in every text column."""
     texts = _text_columns(df)
     return df.select(
-        *[F.nullif(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in df.columns]
+        *[F.when(F.col(c) != "", F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns]
     )
 
 

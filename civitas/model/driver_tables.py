@@ -62,10 +62,15 @@ class DriverTables(TableSource):
 
     def load(self, name, columns):
         build = getattr(self, f"_{name}")
-        if name == "estabelecimento":
+        if name in ("estabelecimento", "pipeline_stats"):  # only build what is asked for
             return build(None if columns is None else set(columns))
         return build()
 
+    @staticmethod
+    def _pick(frame: DataFrame, columns: dict, wanted: set[str] | None) -> DataFrame:
+        chosen = columns if wanted is None else [c for c in columns if c in wanted]
+        return frame.select(*[columns[c]().alias(c) for c in chosen])
+
     # -- geography ---------------------------------------------------------
 
     def _ibge_regiao(self):
@@ -318,7 +323,7 @@ class DriverTables(TableSource):
                     nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
                 )
             frame = frame.join(customers, customer_key == F.col("c_custkey"), "left")
-        return frame.select(*[build().alias(c) for c, build in columns.items() if c in wanted])
+        return self._pick(frame, columns, wanted)
 
     def secondary_lists(self) -> DataFrame:
         """Comma list of the activities of each order's lines, with a blank item."""
@@ -441,37 +446,39 @@ class DriverTables(TableSource):
             ),
         )
 
-    def _pipeline_stats(self):
+    def _pipeline_stats(self, wanted: set[str] | None = None):
         """One load run per event; periods lie just after the last orders."""
-        key = F.col("event_id")
+        key, kind = F.col("event_id"), F.col("event_type")
         started = F.col("ts").cast("timestamp")
-        month = F.date_format(F.add_months(F.col("ts").cast("date"), -269), "yyyy-MM")
+        seconds = F.col("value").cast("int") * 60
         k = F.get_json_object("props", "$.k").cast("long")
-        end = F.timestamp_add("SECOND", F.col("value").cast("int") * 60, started)
-        return self.raw("events").select(
-            key.cast("string").alias("run_id"),
-            F.when(key % 10 == 3, "13/2001").otherwise(month).alias("reference_period"),
-            F.when(F.col("event_type") == "error", "failed")
-            .when(F.col("event_type") == "signup", "partial")
-            .otherwise("completed")
-            .alias("status"),
-            started.alias("started_at"),
-            end.alias("finished_at"),
-            (F.col("value").cast("int") * 60).cast("decimal(18,2)").alias("duration_seconds"),
-            (k * 1000).alias("records_inserted_total"),
-            F.array(
+        month = F.date_format(F.add_months(F.col("ts").cast("date"), -269), "yyyy-MM")
+        detail = (
+            '[{"filename":"Empresas%d.zip","size_bytes":%d},'
+            '{"filename":"Socios%d.zip","size_bytes":%d}]'
+        )
+        columns = {
+            "run_id": lambda: key.cast("string"),
+            "reference_period": lambda: F.when(key % 10 == 3, "13/2001").otherwise(month),
+            "status": lambda: F.when(kind == "error", "failed")
+            .when(kind == "signup", "partial")
+            .otherwise("completed"),
+            "started_at": lambda: started,
+            "finished_at": lambda: F.timestamp_add("SECOND", seconds, started),
+            "duration_seconds": lambda: seconds.cast("decimal(18,2)"),
+            "records_inserted_total": lambda: k * 1000,
+            "tables_populated": lambda: F.array(
                 F.struct(F.lit("empresa").alias("table"), k.alias("rows")),
                 F.struct(F.lit("socio").alias("table"), (k * 2).alias("rows")),
-            ).alias("tables_populated"),
-            F.lit(2).alias("files_downloaded_count"),
-            F.format_string(
-                '[{"filename":"Empresas%d.zip","size_bytes":%d},'
-                '{"filename":"Socios%d.zip","size_bytes":%d}]',
-                key % 10, k * 21474837, key % 10, k * 1000000,
-            ).alias("files_downloaded_detail"),
-            F.lit(None).cast("timestamp").alias("views_refreshed_at"),
-            F.when(F.col("event_type") == "error", "boom").alias("error"),
-        )
+            ),
+            "files_downloaded_count": lambda: F.lit(2),
+            "files_downloaded_detail": lambda: F.format_string(
+                detail, key % 10, k * 21474837, key % 10, k * 1000000
+            ),
+            "views_refreshed_at": lambda: F.lit(None).cast("timestamp"),
+            "error": lambda: F.when(kind == "error", "boom"),
+        }
+        return self._pick(self.raw("events"), columns, wanted)
 
     def _ciclos(self):
         """One load cycle per month of orders; every third one unpublished."""

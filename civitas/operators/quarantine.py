@@ -42,22 +42,39 @@ def judge(df: DataFrame, table: TableSpec) -> DataFrame:
     found = violations(table, df.columns)
     if REJECTS in df.columns:
         found = F.concat(F.col(REJECTS), found)
-    return df.withColumn("errors", found)
+    # As a generated column the list is computed once per row.  As a plain one a
+    # filter on it would be rewritten in terms of the raw text, and deriving
+    # constraints from that takes the optimizer minutes on a wide table.
+    return df.select("*", F.explode(F.array(found)).alias("errors"))
 
 
 def split_valid(
-    df: DataFrame, table: TableSpec, granularity: str = "row", source_file: str = "_source_file"
+    df: DataFrame,
+    table: TableSpec,
+    granularity: str = "row",
+    source_file: str = "_source_file",
+    staging: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: rows to load and quarantine rows.
 
-    Together they hold every input row exactly once.
+    Together they hold every input row exactly once.  With a ``staging`` path
+    the judged rows are written there and both results read them back, so the
+    work before this point is done once instead of once per result.
     """
     if granularity not in ("row", "file"):
         raise ValueError(f"granularity must be row or file, not {granularity}")
     judged = judge(df, table)
     if source_file not in judged.columns:
         judged = judged.withColumn(source_file, F.lit(None).cast("string"))
-    failed = F.size("errors") > 0
+    if staging:
+        judged.withColumn("_failed", F.size("errors") > 0).write.partitionBy("_failed").parquet(
+            staging
+        )
+        schema = judged.schema.add("_failed", "boolean")
+        judged = judged.sparkSession.read.schema(schema).parquet(staging)
+    else:
+        judged = judged.withColumn("_failed", F.size("errors") > 0)
+    failed = F.col("_failed")
     if granularity == "file":
         # files with a bad row: one row per file, collapsed map side first
         tainted = (

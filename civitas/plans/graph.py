@@ -281,7 +281,11 @@ def view(source: TableSource, name: str, anchor: dt.date, floor: dt.date = SERIE
 
 
 def anchor_of(source: TableSource) -> dt.date:
-    runs = source.table("pipeline_stats") if source.has("pipeline_stats") else None
+    runs = (
+        source.table("pipeline_stats", ("run_id", "reference_period", "started_at"))
+        if source.has("pipeline_stats")
+        else None
+    )
     opened = (
         source.table("estabelecimento", ("data_inicio_atividade",))
         if source.has("estabelecimento")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import io
 import itertools
+import json
 import sys
 import zipfile
 import zlib
@@ -64,14 +65,14 @@ class Member(InputPartition):
 class ZipCsvReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.names = [f.name for f in schema.fields if f.name not in SOURCE_COLUMNS]
-        self.path_glob = options["path"]
+        self.archives = json.loads(options["archives"])
         self.sep = options.get("sep", ";")
         self.encoding = options.get("encoding", "latin1")
         self.on_error = options.get("on_error", "fail")
 
     def partitions(self) -> list[Member]:
         members = []
-        for archive in list_archives(self.path_glob):
+        for archive in self.archives:
             system, path = _open_fs(archive)
             with system.open_input_file(path) as handle, zipfile.ZipFile(handle) as archive_file:
                 members += [
@@ -136,7 +137,7 @@ class ZipCsvSource(DataSource):
 
 def read_zip_csv(
     spark: SparkSession,
-    path_glob: str,
+    paths: str | list[str],
     schema: T.StructType,
     sep: str = ";",
     encoding: str = "latin1",
@@ -145,6 +146,7 @@ def read_zip_csv(
 ) -> DataFrame:
     """All rows of all members as text, with file, member, line and field count.
 
+    ``paths`` is a glob over one folder or a list of archives.
     A compressed member can only be read from its start, so one large archive
     is one long task; ``spread`` redistributes its rows for the work after it.
     A damaged member fails the load; with ``on_error='quarantine'`` it ends in a
@@ -153,6 +155,7 @@ def read_zip_csv(
     # Travels with the job, so executors need not have this package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(ZipCsvSource)
+    archives = list_archives(paths) if isinstance(paths, str) else list(paths)
     full = T.StructType([*schema.fields, *PROVENANCE.fields])
     frame = (
         spark.read.format(FORMAT)
@@ -160,6 +163,7 @@ def read_zip_csv(
         .option("sep", sep)
         .option("encoding", encoding)
         .option("on_error", on_error)
-        .load(path_glob)
+        .option("archives", json.dumps(archives))
+        .load()
     )
     return frame.repartition(spread) if spread else frame
