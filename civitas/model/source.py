@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,7 +43,7 @@ class PathSource(TableSource):
     def has(self, name):
         try:
             self.spark.read.parquet(self.path(name))
-        except Exception:
+        except AnalysisException:
             return False
         return True
 

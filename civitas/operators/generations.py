@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,11 +220,10 @@ class GenerationStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        path = f"{self.root}/{name}"
         try:
-            return self.spark.read.parquet(path)
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
+            return self.spark.read.parquet(f"{self.root}/{name}")
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 

@@ -65,26 +65,29 @@ for _name in VIEWS:
 
 def write_zips(frame: DataFrame, folder: str) -> None:
     """Write text rows as quoted Latin-1 CSV inside one ZIP per partition."""
-    from pyspark import TaskContext
 
     def write(rows):
         import csv
         import io
-        import os
         import zipfile
 
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        remote = "://" in folder
+        system, base = fs.FileSystem.from_uri(folder) if remote else (fs.LocalFileSystem(), folder)
         number = TaskContext.get().partitionId()
-        os.makedirs(folder, exist_ok=True)
+        system.create_dir(base, recursive=True)
         with (
-            zipfile.ZipFile(f"{folder}/Empresas{number}.zip", "w", zipfile.ZIP_DEFLATED) as archive,
+            system.open_output_stream(f"{base}/Empresas{number}.zip") as out,
+            zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive,
             archive.open(f"K{number}.EMPRECSV", "w", force_zip64=True) as raw,
         ):
             text = io.TextIOWrapper(raw, encoding="latin1", newline="")
-            writer = csv.writer(text, delimiter=";", quoting=csv.QUOTE_ALL)
-            writer.writerows(tuple(r) for r in rows)
+            csv.writer(text, delimiter=";", quoting=csv.QUOTE_ALL).writerows(tuple(r) for r in rows)
             text.flush()
 
-    frame.rdd.foreachPartition(write)
+    frame.foreachPartition(write)
 
 
 @query("src_zip_csv")

@@ -37,3 +37,11 @@ def test_query_equals_its_sql(spark, con, key):
 def test_flagship(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0 and "mes_ancora" in frame.columns
+
+
+def test_scratch_tables_go_to_the_configured_folder(spark):
+    from civitas.scratch import SETTING, fresh_path
+
+    configured = spark.sparkContext.getConf().get(SETTING)
+    first, second = fresh_path(spark, "x"), fresh_path(spark, "x")
+    assert first.startswith(configured) and first != second
