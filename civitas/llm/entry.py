@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civitas.llm.common import read
+from civitas.llm import chat, warc
+from civitas.llm.common import read, stage
 from civitas.llm.packing import pack
 from civitas.llm.tiling import contamination
 from civitas.llm.toxicity import toxicity
+from civitas.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +28,37 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(read(spark, sf_dir, "conversations"))
+
+
+ORACLES["op1_chat_perspectives"] = chat.ORACLE
+
+
+@query
+def op2_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "archives")
+    rows = warc.with_originals(read(spark, sf_dir, "pages"))
+    manifest = stage(warc.write_archives(rows, folder), "manifest")
+    return warc.read_archives(spark, folder).drop("payload", "url").join(
+        manifest.select("archive"), "archive", "left_semi"
+    ).drop("archive")
+
+
+ORACLES["op2_warc_zstd"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS size
+  FROM pages),
+shared AS (
+  SELECT payload, max(page_id) AS original FROM payloads WHERE size >= 1000 GROUP BY payload)
+SELECT p.page_id, CAST(p.size AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN s.original <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN s.original <> p.page_id THEN s.original END AS refers_to
+FROM payloads p LEFT JOIN shared s ON p.size >= 1000 AND s.payload = p.payload
+"""
+
+
 @query
 def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
