@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from civitas.llm import chat, warc
 from civitas.llm.common import read, stage
 from civitas.llm.embeddings import near_vectors
+from civitas.llm.order_minhash import near_texts
 from civitas.llm.packing import pack
 from civitas.llm.tiling import contamination
 from civitas.llm.toxicity import toxicity
@@ -70,6 +71,11 @@ def op5_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_texts(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
