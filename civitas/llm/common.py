@@ -12,11 +12,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Shuffle files of a staged step are not needed once it is written.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: the lineage ends there."""
     spark = frame.sparkSession
     path = fresh_path(spark, label)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

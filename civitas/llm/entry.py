@@ -13,6 +13,7 @@ from civitas.llm.order_minhash import near_texts
 from civitas.llm.packing import pack
 from civitas.llm.tiling import contamination
 from civitas.llm.toxicity import toxicity
+from civitas.llm.wrappers import extract
 from civitas.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +67,11 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 @query
 def op5_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
