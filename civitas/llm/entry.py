@@ -11,6 +11,7 @@ from civitas.llm.common import read, stage
 from civitas.llm.embeddings import near_vectors
 from civitas.llm.order_minhash import near_texts
 from civitas.llm.packing import pack
+from civitas.llm.substrings import remove_repeats
 from civitas.llm.tiling import contamination
 from civitas.llm.toxicity import toxicity
 from civitas.llm.wrappers import extract
@@ -87,6 +88,12 @@ def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op9_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).drop("text")
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path())
