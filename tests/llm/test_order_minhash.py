@@ -3,16 +3,7 @@ import random
 import numpy as np
 
 from civitas.llm.order_minhash import GRAM, edit_distance, grams, near_texts, similar, sketch
-
-
-def plain_distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
+from tests_llm_plain import classes, plain_distance
 
 
 def test_banded_distance_equals_full_table():
@@ -38,24 +29,6 @@ def test_sketches_keep_text_order_and_label_occurrences():
     assert (sketch(grams(words)) == sketch(grams(words.copy()))).all()
 
 
-def classes(texts):
-    root = {d: d for d, _ in texts}
-
-    def find(n):
-        while root[n] != n:
-            n = root[n]
-        return n
-
-    for n, (a, x) in enumerate(texts):
-        for b, y in texts[:n]:
-            u, v = x.lower().split(), y.lower().split()
-            longest = max(len(u), len(v))
-            if x == y or (longest and 1 - plain_distance(u, v) / longest >= 0.8 - 1e-12):
-                p, q = sorted((find(a), find(b)))
-                root[q] = p
-    return {d: find(d) for d, _ in texts}
-
-
 def test_whole_query_against_brute_force(spark):
     chance = random.Random(3)
     vocabulary = [f"w{n}" for n in range(3000)]
