@@ -12,6 +12,7 @@ from civitas.llm.embeddings import near_vectors
 from civitas.llm.order_minhash import near_texts
 from civitas.llm.packing import pack
 from civitas.llm.substrings import remove_repeats
+from civitas.llm.suffix_tree import suffix_tree_scores
 from civitas.llm.tiling import contamination
 from civitas.llm.toxicity import toxicity
 from civitas.llm.wrappers import extract
@@ -88,6 +89,11 @@ def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_scores(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
