@@ -40,7 +40,6 @@ LAYOUTS = {
 }
 
 CITIES_PER_STATE = 8
-ACTIVITY_SPREAD = 200
 
 
 def _pad(col, width: int):
@@ -300,21 +299,21 @@ class DriverTables(TableSource):
                 .select("first_key", F.lit(True).alias("is_first"))
             )
             frame = frame.join(first, order_key == F.col("first_key"), "left")
-        if "data_situacao_cadastral" in wanted:
-            shipped = (
-                self.raw("lineitem", "l_orderkey", "l_shipdate")
+        activity = bool(wanted & {"cod_cnae_principal", "nome_fantasia"})
+        if activity or "data_situacao_cadastral" in wanted:
+            first_line = F.min(F.struct("l_linenumber", "l_partkey"))["l_partkey"]
+            lines = (
+                self.raw("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
                 .groupBy("l_orderkey")
-                .agg(F.max("l_shipdate").cast("date").alias("last_ship"))
-            )
-            frame = frame.join(shipped, order_key == F.col("l_orderkey"), "left")
-        if wanted & {"cod_cnae_principal", "nome_fantasia"}:
-            # at most ACTIVITY_SPREAD rows whatever the scale
-            parts = self.raw("part", "p_partkey", "p_brand", "p_name").filter(
-                F.col("p_partkey") < ACTIVITY_SPREAD
-            )
-            frame = frame.join(
-                F.broadcast(parts), order_key % ACTIVITY_SPREAD == F.col("p_partkey"), "left"
+                .agg(
+                    F.max("l_shipdate").cast("date").alias("last_ship"),
+                    first_line.alias("first_part"),
+                )
             )
+            frame = frame.join(lines, order_key == F.col("l_orderkey"), "left")
+        if activity:
+            parts = self.raw("part", "p_partkey", "p_brand", "p_name")
+            frame = frame.join(parts, F.col("first_part") == F.col("p_partkey"), "left")
         if wanted & {"cod_regiao_ibge", "cod_estado_ibge", "cod_cidade_ibge", "uf", "cod_municipio"}:
             customers = self.raw("customer", "c_custkey", "c_nationkey")
             if "cod_regiao_ibge" in wanted:

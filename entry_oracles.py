@@ -131,7 +131,12 @@ SELECT lpad(o_custkey::VARCHAR, 8, '0') AS cnpj_basico,
 FROM orders
 LEFT JOIN (SELECT l_orderkey, max(l_shipdate)::DATE AS last_ship FROM lineitem GROUP BY 1) sh
        ON l_orderkey = o_orderkey
-LEFT JOIN part ON p_partkey = o_orderkey % 200
+LEFT JOIN (SELECT l_orderkey AS line_of, min(l_partkey) AS first_part
+           FROM (SELECT l_orderkey, l_partkey,
+                        rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place
+                 FROM lineitem) ranked
+           WHERE place = 1 GROUP BY l_orderkey) lines ON line_of = o_orderkey
+LEFT JOIN part ON p_partkey = first_part
 LEFT JOIN customer ON c_custkey = o_custkey
 LEFT JOIN nation ON n_nationkey = c_nationkey
 """
