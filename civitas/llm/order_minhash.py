@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civitas.llm.common import clean_text, stage
+from civitas.llm.common import clean_text, parts, stage
 from civitas.llm.components import components
 
 GRAM = 5
@@ -39,6 +39,8 @@ SKETCHES = 48
 THRESHOLD = 0.8
 CACHED_WORDS = 400_000
 SLICE = 1 << 16
+#: Edits up to which the band alone decides.
+NARROW = 24
 
 _SKETCHED = "doc_id long, text_key string, words long, keys array<long>"
 _PRIMES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -137,6 +139,38 @@ def edit_distance(a: Sequence, b: Sequence, most: int) -> int | None:
     return None
 
 
+def bit_distance(a: Sequence, b: Sequence, most: int) -> int | None:
+    """Edit distance if at most ``most``: a column of the table in two bit rows.
+
+    Costs the same however far apart the texts are, where the band grows with
+    the square of the edits.
+    """
+    if not a or not b:
+        return max(len(a), len(b)) if max(len(a), len(b)) <= most else None
+    rows: dict = {}
+    for at, word in enumerate(a):
+        rows[word] = rows.get(word, 0) | 1 << at
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, distance = full, 0, len(a)
+    for left, word in enumerate(b, 1 - len(b)):
+        equal = rows.get(word, 0)
+        vertical = equal | down
+        horizontal = (((equal & up) + up) ^ up) | equal
+        rises = down | (full & ~(horizontal | up))
+        falls = up & horizontal
+        if rises & top:
+            distance += 1
+        elif falls & top:
+            distance -= 1
+        if distance + left > most:  # each column left takes off one at most
+            return None
+        rises = (rises << 1 | 1) & full
+        falls = falls << 1 & full
+        up = falls | (full & ~(vertical | rises))
+        down = rises & vertical
+    return distance if distance <= most else None
+
+
 def _run(a: Sequence, b: Sequence, i: int, j: int) -> int:
     """Length of the common run from a[i] and b[j]."""
     start, step = i, 8
@@ -164,7 +198,9 @@ def similar(a: str, b: str, threshold: float = THRESHOLD) -> bool:
     shared = sum((Counter(x) & Counter(y)).values())
     if longest - shared > most:  # the words alone, in any order, are too few
         return False
-    return edit_distance(x, y, most) is not None
+    if most <= NARROW:
+        return edit_distance(x, y, most) is not None
+    return edit_distance(x, y, NARROW) is not None or bit_distance(x, y, most) is not None
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +233,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
+        # the pairs of one leader are aligned by many tasks
+        .repartition(parts(pairs), "a", "b")
         .mapInArrow(align, "a long, b long")
     )
 
@@ -228,7 +266,6 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     least = int(round(threshold * 1_000_000))
     links, classes = None, None
-    tested = 0
     while True:
         leaders = members.groupBy("key").agg(
             F.min(F.struct("node", "words")).alias("low"), F.max(F.struct("node", "words")).alias("high")
@@ -251,7 +288,6 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             "texts",
         )
         new = stage(_verified(pairs, texts, threshold), "links")
-        tested += 1
         if new.isEmpty():
             break
         links = new if links is None else links.unionByName(new)

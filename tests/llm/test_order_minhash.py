@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from civitas.llm.order_minhash import GRAM, edit_distance, grams, near_texts, similar, sketch
+from civitas.llm.order_minhash import GRAM, bit_distance, edit_distance, grams, near_texts, similar, sketch
 from tests_llm_plain import classes, plain_distance
 
 
@@ -16,7 +16,9 @@ def test_banded_distance_equals_full_table():
             b[at : at + chance.randint(0, 2)] = [chance.randrange(4)] * chance.randint(0, 2)
         exact = plain_distance(a, b)
         for most in (0, 1, 3, 20):
-            assert edit_distance(a, b, most) == (exact if exact <= most else None), (a, b, most)
+            expected = exact if exact <= most else None
+            assert edit_distance(a, b, most) == expected, (a, b, most)
+            assert bit_distance(a, b, most) == expected, (a, b, most)
 
 
 def test_sketches_keep_text_order_and_label_occurrences():
