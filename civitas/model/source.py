@@ -43,8 +43,10 @@ class PathSource(TableSource):
     def has(self, name):
         try:
             self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return False
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise  # there, but unreadable
         return True
 
 

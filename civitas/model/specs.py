@@ -13,6 +13,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 
+# Fixed value: this table is cut from the lines of another one, so its rows are
+# left out of totals.
+DERIVED_TABLE = "estabelecimento_cnae_sec"
+SOURCE_OF_DERIVED = "estabelecimento"
+
+
 @dataclass(frozen=True)
 class Column:
     name: str
@@ -276,3 +282,8 @@ TABLES: dict[str, TableSpec] = {spec.name: spec for spec in _SPECS}
 
 def spec(name: str) -> TableSpec:
     return TABLES[name]
+
+
+def file_fields(name: str) -> int:
+    """Cells in a line of the file that feeds a table."""
+    return len(spec(SOURCE_OF_DERIVED if name == DERIVED_TABLE else name).file_schema)

@@ -12,11 +12,12 @@ from civitas.functions.values import (
     parse_date8,
     parse_decimal_br,
 )
-from civitas.model.specs import TableSpec, spec
+from civitas.model.specs import DERIVED_TABLE, TableSpec, spec
 from civitas.operators.geo import GEO_COLUMNS, add_geo
 
 REJECTS = "_rejects"  # reasons found while parsing, before the table rules
-PROVENANCE = ("_source_file", "_member", "_line", "_fields")
+CELLS = "_cells"  # the row's file cells as they came
+PROVENANCE = ("_source_file", "_member", "_line", "_fields", "_payload", CELLS)
 
 
 def provenance_of(df: DataFrame) -> list[str]:
@@ -106,16 +107,29 @@ def transform_table(
 ) -> DataFrame:
     """Whole chain of one table: clean, place and identify, parse, empty to NULL.
 
-    The result carries the table's columns in order, the provenance of the row
+    The result carries the table's columns in order, the provenance of the row,
+    its untouched cells (not for the derived table, whose rows are no file rows)
     and ``_rejects`` for :func:`civitas.operators.quarantine.split_valid`.
     """
     table = spec(name)
+    if name != DERIVED_TABLE:
+        cells = [c for c in table.file_schema.fieldNames() if c in df.columns]
+        df = df.withColumn(CELLS, F.struct(*cells))
     out = sanitize_df(df, keep=PROVENANCE)
     if name == "estabelecimento":
         out = derive_establishment(out, cities, states)
-    elif name == "estabelecimento_cnae_sec":
+    elif name == DERIVED_TABLE:
         out = explode_secondary(out, cities, states)
-    out = empty_to_null(_typed(out, table))
+    return _finish(out, table)
+
+
+def retype_table(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a table as text to its types, without deriving anything."""
+    return _finish(sanitize_df(df, keep=PROVENANCE), spec(name))
+
+
+def _finish(df: DataFrame, table: TableSpec) -> DataFrame:
+    out = empty_to_null(_typed(df, table))
     casts = [F.col(c.name).cast(c.dtype).alias(c.name) for c in table.columns]
     return out.select(*casts, REJECTS, *provenance_of(out))
 

@@ -7,6 +7,7 @@ memory, so a lost executor costs a task and a lost driver costs one step.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from civitas.operators.ingest import transform_table
 from civitas.operators.joins import hot_keys
 from civitas.operators.patches import apply_patches
 from civitas.operators.quality import check_fk
-from civitas.operators.quarantine import load_metrics, split_valid
+from civitas.operators.quarantine import load_metrics, retry_quarantine, split_valid
 from civitas.operators.search import build_search_table
 from civitas.plans.graph import build_views
 from civitas.plans.rollups import SERIES_FLOOR
@@ -61,15 +62,20 @@ def load_month(
     granularity: str = "row",
     on_error: str = "fail",
     spread: int | None = None,
+    quarantine: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Load every known archive of ``folder`` into tables under ``root``.
 
+    Parked rows go to ``quarantine`` (``<root>/_quarentena`` by default); with
+    ``on_error='quarantine'`` a damaged archive is parked as a whole.
+
     Returns the load metrics and the archives of unknown stems.  Raw rows are
     first written as Parquet to the shared folder: each archive is unpacked
     once however many tables it feeds, and one long single-task member is read
     back in even splits.
     """
     routes, unknown = _routes(spark, folder)
+    quarantine = quarantine or f"{root}/{QUARANTINE}"
     good: dict[str, DataFrame] = {}
     mode = "overwrite"
     for stem, (paths, targets) in sorted(routes.items()):
@@ -83,13 +89,23 @@ def load_month(
         for target in sorted(targets):
             rows = transform_table(raw, target, cities, states)
             judged = fresh_path(spark, f"judged-{target}")
-            kept, parked = split_valid(rows, spec(target), granularity, staging=judged)
+            kept, parked = split_valid(
+                rows,
+                spec(target),
+                granularity,
+                staging=judged,
+                park_damaged=on_error == "quarantine",
+            )
             good[target] = write_table(kept, root, target)
-            parked.write.mode(mode).parquet(f"{root}/{QUARANTINE}")
+            parked.write.mode(mode).parquet(quarantine)
             mode = "append"
     if not good:
         raise FileNotFoundError(f"no known archive in {folder}")
-    return load_metrics(good, spark.read.parquet(f"{root}/{QUARANTINE}")), unknown
+    return load_metrics(good, spark.read.parquet(quarantine)), unknown
+
+
+class MissingArchive(RuntimeError):
+    """A month without the archive of a table that it must have."""
 
 
 def complete_month(
@@ -100,10 +116,14 @@ def complete_month(
     runs: DataFrame | None = None,
     anchor: dt.date | None = None,
     floor: dt.date = SERIES_FLOOR,
+    optional: Collection[str] = (),
     **load_options,
 ) -> tuple[DataFrame, list[str]]:
     """Archives to a whole generation: tables, key report, search table, views.
 
+    A table without an archive fails the month unless ``optional`` names it;
+    then it is empty.  Parked rows stay with the generation.
+
     Returns what :func:`load_month` returns.  Publishing is a separate step
     (``generations.GenerationStore``), so an unfinished generation is never
     served.
@@ -113,13 +133,19 @@ def complete_month(
         name: write_table(dimensions[name], generation, name) for name in DIMENSIONS
     }
     metrics, unknown = load_month(
-        spark, folder, loaded, dims["ibge_cidade"], dims["ibge_estado"], **load_options
+        spark, folder, loaded, dims["ibge_cidade"], dims["ibge_estado"],
+        quarantine=f"{generation}/{QUARANTINE}", **load_options,
     )
     staged = PathSource(spark, loaded)
+    wanted = [name for name in TABLES if name not in DIMENSIONS]
+    absent = [name for name in wanted if not staged.has(name)]
+    if lacking := sorted(set(absent) - set(optional)):
+        raise MissingArchive(f"no archive in {folder} for {', '.join(lacking)}")
     tables = {
-        name: staged.table(name) if staged.has(name) else spark.createDataFrame([], table.schema)
-        for name, table in TABLES.items()
-        if name not in DIMENSIONS
+        name: spark.createDataFrame([], TABLES[name].schema)
+        if name in absent
+        else staged.table(name)
+        for name in wanted
     }
     for name, frame in apply_patches(tables).items():
         write_table(frame, generation, name)
@@ -135,3 +161,21 @@ def complete_month(
     )
     build_views(spark, source, generation, anchor=anchor, floor=floor)
     return metrics, unknown
+
+
+def retry_parked(spark: SparkSession, generation: str, name: str) -> DataFrame:
+    """Load the corrected parked rows of one table into a generation.
+
+    Good rows are appended to their table and the quarantine is rewritten with
+    those marked processed.  Returns the counts of the retry.
+    """
+    source = PathSource(spark, generation)
+    loaded, marked, counts = retry_quarantine(
+        source.table(QUARANTINE), spec(name), source.table("ibge_cidade"), source.table("ibge_estado")
+    )
+    staged = fresh_path(spark, f"retried-{name}")
+    loaded.write.parquet(staged)
+    numbers = counts.collect()
+    build_and_swap(marked, f"{generation}/{QUARANTINE}")
+    write_table(spark.read.schema(loaded.schema).parquet(staged), generation, name, mode="append")
+    return spark.createDataFrame(numbers, counts.schema)

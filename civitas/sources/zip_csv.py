@@ -92,8 +92,8 @@ class ZipCsvReader(DataSourceReader):
         except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, csv.Error):
             if self.on_error != "quarantine":
                 raise
-            # an empty row that breaks every required column parks the file
-            yield self._batch([[]], name, partition.member, read + 1)
+            # a row without values, and fewer than no cells, marks the file
+            yield self._batch([[]], name, partition.member, read + 1, damaged=True)
 
     def _chunks(self, partition: Member) -> Iterator[list[list[str]]]:
         system, path = _open_fs(partition.archive)
@@ -107,7 +107,7 @@ class ZipCsvReader(DataSourceReader):
             while chunk := list(itertools.islice(rows, BATCH_ROWS)):
                 yield chunk
 
-    def _batch(self, rows, archive, member, first) -> pa.RecordBatch:
+    def _batch(self, rows, archive, member, first, damaged=False) -> pa.RecordBatch:
         """Columns by position; a short row is NULL at its end, ``_fields`` tells."""
         arrays = [
             pa.array([r[i] if i < len(r) else None for r in rows], pa.string())
@@ -118,7 +118,7 @@ class ZipCsvReader(DataSourceReader):
             pa.array([archive] * size, pa.string()),
             pa.array([member] * size, pa.string()),
             pa.array(range(first, first + size), pa.int64()),
-            pa.array([len(r) for r in rows], pa.int32()),
+            pa.array([-1 if damaged else len(r) for r in rows], pa.int32()),
         ]
         return pa.RecordBatch.from_arrays(arrays, names=[*self.names, *SOURCE_COLUMNS])
 

@@ -1,3 +1,4 @@
+import json
 """Archives to tables: reading, cleaning, quarantine and retry."""
 
 import csv
@@ -173,7 +174,43 @@ def test_unreadable_date_is_parked_and_an_impossible_one_is_null(spark):
 def test_short_line_is_null_at_its_end(spark, tmp_path):
     make_zip(tmp_path / "Cnaes.zip", {"a": [("0111301",)]})
     rows = transform_table(read_cnaes(spark, tmp_path), "cnae")
-    assert split_valid(rows, spec("cnae"))[1].first()["errors"] == ["nome_cnae: missing"]
+    assert split_valid(rows, spec("cnae"))[1].first()["errors"] == [
+        "fields: 1 instead of 2", "nome_cnae: missing"]
+
+
+def test_long_line_is_parked_with_its_text(spark, tmp_path):
+    make_zip(tmp_path / "Cnaes.zip", {"a": [("0111301", " Arroz\x91", "x"), ("0111302", "Milho")]})
+    good, bad = split_valid(transform_table(read_cnaes(spark, tmp_path), "cnae"), spec("cnae"))
+    assert values(good) == [("0111302", "Milho")]
+    row = bad.first()
+    assert row["errors"] == ["fields: 3 instead of 2"]
+    assert json.loads(row["payload"]) == {"cod_cnae": "0111301", "nome_cnae": " Arroz\x91"}
+
+
+def test_retry_runs_the_whole_chain(spark):
+    columns = spec("empresa").file_schema.fieldNames()
+    row = ("1", "A", "2062", "10", "x", "01", None)
+    frame = spark.createDataFrame([row], ", ".join(f"{c} string" for c in columns))
+    _, bad = split_valid(transform_table(frame, "empresa"), spec("empresa"))
+    fixed = bad.withColumn("payload", F.replace("payload", F.lit('"x"'), F.lit('"1.234,56"')))
+    loaded, _, counts = retry_quarantine(fixed, spec("empresa"))
+    assert loaded.first()["capital_social"] == Decimal("1234.56")
+    assert counts.first() == (1, 1, 0)
+    columns = spec("simples").file_schema.fieldNames()
+    frame = spark.createDataFrame([("1", "S", "abc", "", "N", "", "")], ", ".join(f"{c} string" for c in columns))
+    _, bad = split_valid(transform_table(frame, "simples"), spec("simples"))
+    fixed = bad.withColumn("payload", F.replace("payload", F.lit('"abc"'), F.lit('"20240105"')))
+    loaded, _, _ = retry_quarantine(fixed, spec("simples"))
+    assert loaded.first()["data_opcao_simples"] == dt.date(2024, 1, 5)
+
+
+def test_damaged_file_is_parked_as_a_whole(spark):
+    frame = spark.createDataFrame(
+        [("0111301", "a", "F", 2), (None, None, "F", -1), ("0111302", "b", "G", 2)],
+        "cod_cnae string, nome_cnae string, _source_file string, _fields int")
+    good, bad = split_valid(transform_table(frame, "cnae"), spec("cnae"), park_damaged=True)
+    assert values(good) == [("0111302", "b")]
+    assert values(bad, "source_file") == [("F",), ("F",)]
 
 
 def test_extracted_file(spark, tmp_path):

@@ -101,6 +101,31 @@ def test_month_to_generation(spark, tmp_path, dimensions):
     assert spark.table(f"vigente.{load.SEARCH_TABLE}").count() == 3
 
 
+def test_parked_rows_of_a_month_load_after_correction(spark, tmp_path, dimensions):
+    (tmp_path / "zips").mkdir()
+    write_month(tmp_path / "zips")
+    generation = f"{tmp_path}/g"
+    load.complete_month(spark, str(tmp_path / "zips"), generation, dimensions, anchor=dt.date(2024, 1, 1))
+    parked = spark.read.parquet(f"{generation}/_quarentena")
+    fixed = parked.withColumn("payload", F.replace("payload", F.lit('"1234567"'), F.lit('"12"')))
+    fixed.write.parquet(f"{tmp_path}/fixed")
+    spark.read.parquet(f"{tmp_path}/fixed").write.mode("overwrite").parquet(f"{generation}/_quarentena")
+    assert load.retry_parked(spark, generation, "estabelecimento").first() == (1, 1, 0)
+    table = spark.read.parquet(f"{generation}/estabelecimento")
+    assert values(table.filter("numero = '12'"), "cnpj_completo", "cod_cidade_ibge") == [
+        ("00000002000200", 3550308)]
+    after = spark.read.parquet(f"{generation}/_quarentena")
+    assert values(after, "table", "status") == [("empresa", "pending"), ("estabelecimento", "processed")]
+    assert load.retry_parked(spark, generation, "estabelecimento").first() == (0, 0, 0)
+
+
+def test_a_missing_archive_fails_the_month(spark, tmp_path, dimensions):
+    write_month(tmp_path)
+    (tmp_path / "Simples.zip").unlink()
+    with pytest.raises(load.MissingArchive, match="simples"):
+        load.complete_month(spark, str(tmp_path), f"{tmp_path}/g", dimensions, anchor=dt.date(2024, 1, 1))
+
+
 def test_whole_file_mode(spark, tmp_path, dimensions):
     write_month(tmp_path)
     metrics, _ = load.load_month(
