@@ -9,11 +9,13 @@ into contexts, maximal stretches whose windows have one anchor.
 2. Each block sends the distinct anchors it has, four bytes each, to the
    anchors' buckets and gets one bit back for each: whether another document
    has it.
-3. Contexts with such anchors become rows (anchor, fingerprint of the context,
-   place).  A context that a smaller document has whole is removed whole.
-4. Where an anchor has several different contexts, their bytes are brought
-   together and sorted by suffix groups (:mod:`suffix_groups`); windows that
-   are equal get the smallest document that has them.
+3. Contexts with such anchors go, as fingerprints and with the block's smallest
+   document, to the anchors' buckets as well.  A context that a smaller document
+   has whole is removed whole.
+4. Where an anchor has several different contexts, their bytes (one document's
+   for each) are brought together and sorted by suffix groups
+   (:mod:`suffix_groups`); windows that are equal get the smallest document
+   that has them.
 5. Back at the blocks, the spans of each document are merged and cut out.
 
 An anchor with very many contexts is not one group: its contexts are sent as
@@ -37,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civitas.llm.blocks import SENT, answered, received, send
 from civitas.llm.common import parts, stage
 from civitas.llm.order_minhash import mix
 from civitas.llm.suffix_groups import shared_windows
@@ -47,17 +50,11 @@ BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 8_000_000
 BATCH_BYTES = 1_000_000
 HOT_CONTEXTS = 20_000
+CHUNK = 1 << 17
 LAST = (1 << 63) - 1
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
-CONTEXT = "block long, row int, doc long, start int, size int, anchor int, key long, print long"
-_CONTEXT = pa.schema(
-    [
-        ("block", pa.int64()), ("row", pa.int32()), ("doc", pa.int64()), ("start", pa.int32()),
-        ("size", pa.int32()), ("anchor", pa.int32()), ("key", pa.int64()), ("print", pa.int64()),
-    ]
-)
 SPAN = "block long, row int, start int, size int"
 
 
@@ -111,16 +108,23 @@ class Block:
         self.docs, self.sizes = docs, sizes
         self.offsets = np.cumsum(sizes, dtype=np.int64) - sizes
         total = int(sizes.sum())
-        padded = np.zeros(total + 64, np.uint8)
-        padded[:total] = np.frombuffer(data, np.uint8, total)
-        self.eights = _eights(padded)
-        hashed = mix(self.eights[: total + 40] ^ mix(self.eights[8 : total + 48]))
-        self.hashed, self.total = hashed, total
-        least, width, goal = hashed, 1, WINDOW - GRAM + 1
-        while width < goal:
-            step = min(width, goal - width)
-            least = np.minimum(least[:-step], least[step:])
-            width += step
+        self.total = total
+        self.padded = np.zeros(total + 2 * WINDOW, np.uint8)
+        self.padded[:total] = np.frombuffer(data, np.uint8, total)
+        self.hashed = np.empty(total, np.uint64)
+        least = np.empty(total, np.uint64)
+        reach = WINDOW - GRAM + 1
+        for at in range(0, total, CHUNK):  # pieces that fit the processor's cache
+            stop = min(total, at + CHUNK)
+            eights = _eights(self.padded[at : stop + reach - 1 + GRAM])
+            hashed = mix(eights[: stop - at + reach - 1] ^ mix(eights[8 : stop - at + reach + 7]))
+            self.hashed[at:stop] = hashed[: stop - at]
+            width = 1
+            while width < reach:
+                step = min(width, reach - width)
+                hashed = np.minimum(hashed[:-step], hashed[step:])
+                width += step
+            least[at:stop] = hashed
         lengths = np.maximum(sizes - WINDOW + 1, 0)
         self.rows = np.repeat(np.arange(len(sizes)), lengths)
         starts = np.repeat(self.offsets - (np.cumsum(lengths) - lengths), lengths)
@@ -147,35 +151,106 @@ class Block:
         return distinct, inverse, low != high_doc
 
     def contexts(self, block: int, chosen: np.ndarray) -> pa.RecordBatch:
-        """Rows for the chosen contexts."""
+        """The chosen contexts: one row of arrays."""
         first, last, rows = self.first[chosen], self.last[chosen], self.rows[chosen]
         keys = self.keys[chosen]
-        odd = np.full(self.total + 1, _ODD, np.uint64)
-        odd[0] = 1
-        powers = np.cumprod(odd)
-        odd[1:] = _INVERSE
-        back = np.cumprod(odd)
+        powers, back = _powers(self.total + 1)
         sums = np.zeros(self.total + 1, np.uint64)
-        np.cumsum(mix(self.eights[: self.total]) * powers[: self.total], out=sums[1:])
-        end = last + WINDOW - 7
+        for at in range(0, self.total, CHUNK):
+            stop = min(self.total, at + CHUNK)
+            eights = mix(_eights(self.padded[at : stop + 7])) * powers[at:stop]
+            eights[0] += sums[at]
+            np.cumsum(eights, out=sums[at + 1 : stop + 1])
         size = (last - first + WINDOW).astype(np.uint64)
-        prints = mix((sums[end] - sums[first]) * back[first] + mix(size))
-        anchor = np.full(len(first), -1, np.int64)
+        prints = mix((sums[last + WINDOW - 7] - sums[first]) * back[first] + mix(size))
+        anchor = np.full(len(first), NO_ANCHOR, np.uint8)
+        open_ = np.arange(len(first))
         for step in range(WINDOW - GRAM + 1):
-            at = last + step
-            found = (anchor < 0) & (at < first + WINDOW - GRAM + 1) & (self.hashed[at] == keys)
-            anchor[found] = at[found]
+            at = last[open_] + step
+            inside = at <= first[open_] + WINDOW - GRAM
+            open_, at = open_[inside], at[inside]
+            found = self.hashed[at] == keys[open_]
+            anchor[open_[found]] = at[found] - first[open_[found]]
+            open_ = open_[~found]
         columns = [
-            np.full(len(first), block, np.int64),
-            rows.astype(np.int32),
-            self.docs[rows],
-            (first - self.offsets[rows]).astype(np.int32),
-            size.astype(np.int32),
-            np.where(anchor < 0, -1, anchor - first).astype(np.int32),
-            keys.view(np.int64),
-            prints.view(np.int64),
+            keys, prints, first.astype("<u4"), last.astype("<u4"), rows.astype("<u4"), anchor,
         ]
-        return pa.record_batch([pa.array(c) for c in columns], schema=_CONTEXT)
+        return pa.record_batch(
+            [pa.array([block], pa.int64()), pa.array([len(first)], pa.int64())]
+            + [pa.array([c.tobytes()], pa.binary()) for c in columns],
+            names=["block", "contexts", *CONTEXT_KINDS],
+        )
+
+
+#: Arrays of a block's contexts; the anchor's place in it, or none.
+CONTEXT_KINDS = {
+    "keys": "<u8", "prints": "<u8", "first": "<u4", "last": "<u4", "rows": "<u4", "anchors": "<u1",
+}
+CONTEXTS = "block long, contexts long, " + ", ".join(f"{n} binary" for n in CONTEXT_KINDS)
+NO_ANCHOR = 255
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse, remembered by the process."""
+    if len(_POWERS[0]) < size:
+        for at, factor in enumerate((_ODD, _INVERSE)):
+            odd = np.full(size + size // 4, factor, np.uint64)
+            odd[0] = 1
+            _POWERS[at] = np.cumprod(odd)
+    return _POWERS
+
+
+class Contexts:
+    """A block's contexts as its buckets know them: distinct, with the smallest document."""
+
+    def __init__(self, row: dict, docs: np.ndarray, buckets: int):
+        self.keys, self.prints, self.first, self.last, self.rows, self.anchors = (
+            np.frombuffer(row[n], kind) for n, kind in CONTEXT_KINDS.items()
+        )
+        self.docs = docs[self.rows]
+        order = np.lexsort((self.prints, self.keys))
+        keys, prints = self.keys[order], self.prints[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (prints[1:] != prints[:-1])
+        heads = np.flatnonzero(fresh)
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.cumsum(fresh) - 1
+        least = np.minimum.reduceat(self.docs[order], heads) if len(heads) else self.docs
+        bucket = ((keys[heads] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        self.sent = np.argsort(bucket, kind="stable")
+        self.bucket = bucket[self.sent]
+        self.columns = [keys[heads][self.sent], prints[heads][self.sent], least[self.sent]]
+        self.least = least
+
+    def verdicts(self, answers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per context: whether a smaller document has it whole, and its answer."""
+        code = np.empty(len(self.sent), np.uint8)
+        code[self.sent] = answers
+        code = code[self.of]
+        return (self.docs > self.least[self.of]) | (code == ELSEWHERE), code
+
+
+#: Answers of the buckets.
+ALONE, ELSEWHERE, SEVERAL, CROWDED = range(4)
+SENT_KINDS = ("<u8", "<u8", "<i8")
+
+
+def _judge_contexts(columns: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Who has a context first, and whether its anchor has others."""
+    keys, prints, docs = columns
+    order = np.lexsort((prints, keys))
+    keys, prints = keys[order], prints[order]
+    new_key = np.ones(len(order), bool)
+    new_key[1:] = keys[1:] != keys[:-1]
+    fresh = new_key.copy()
+    fresh[1:] |= prints[1:] != prints[:-1]
+    least = np.minimum.reduceat(docs[order], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+    kinds = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
+    code = np.where(kinds > HOT_CONTEXTS, CROWDED, np.where(kinds > 1, SEVERAL, ALONE))
+    result = np.empty(len(order), np.uint8)
+    result[order] = np.where(least < docs[order], ELSEWHERE, code)
+    return [result], 0
 
 
 def _eights(data: np.ndarray) -> np.ndarray:
@@ -264,33 +339,78 @@ def _contexts(buckets: int):
 # -- different contexts of one anchor ----------------------------------------------
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the wanted contexts of each block."""
-    names = ["key", "block", "row", "start", "doc", "anchor", "text"]
-    for batch in batches:
-        for at in range(batch.num_rows):
-            data = batch.column("data")[at].as_buffer()
-            sizes = batch.column("sizes")[at].values.to_numpy(zero_copy_only=False).astype(np.int64)
-            offsets = (np.cumsum(sizes) - sizes).tolist()
-            number = batch.column("block")[at].as_py()
-            view = memoryview(data)
-            rows: list[tuple] = []
-            for w in batch.column("wanted")[at].as_py() or ():
-                text = bytes(view[offsets[w["row"]] + w["start"] :][: w["size"]])
-                if not w["hot"]:
-                    rows.append((w["key"], number, w["row"], w["start"], w["doc"], w["anchor"], text))
-                    continue
-                for o in range(len(text) - WINDOW + 1):
-                    own = text[o : o + WINDOW]
-                    key = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
-                    rows.append((key, number, w["row"], w["start"] + o, w["doc"], -1, own))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-                columns = zip(*rows, strict=True)
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+CUT = "block long, spans binary, key long, row int, start int, doc long, anchor int, text binary"
+_CUT = pa.schema(
+    [
+        ("block", pa.int64()), ("spans", pa.binary()), ("key", pa.int64()), ("row", pa.int32()),
+        ("start", pa.int32()), ("doc", pa.int64()), ("anchor", pa.int32()), ("text", pa.binary()),
+    ]
+)
 
 
-CUT = "key long, block long, row int, start int, doc long, anchor int, text binary"
+def _sends(buckets: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {n: batch.column(n)[at].as_py() for n in batch.schema.names}
+                own = Contexts(row, np.asarray(row["docs"], np.int64), buckets)
+                yield send(row["block"], own.bucket, own.columns)
+
+    return ask
+
+
+def _cut(buckets: int):
+    """Spans of what a smaller document has whole; bytes of contexts to compare."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {n: batch.column(n)[at].as_py() for n in batch.schema.names if n != "data"}
+                sizes = np.asarray(row["sizes"], np.int64)
+                offsets = np.cumsum(sizes) - sizes
+                own = Contexts(row, np.asarray(row["docs"], np.int64), buckets)
+                whole, code = own.verdicts(received(row["codes"], ("<u1",))[0])
+                first, last = own.first.astype(np.int64), own.last.astype(np.int64) + WINDOW
+                yield _span_row(row["block"], first[whole], last[whole], own.rows[whole], offsets)
+                wanted = np.flatnonzero(~whole & (code >= SEVERAL))
+                view = memoryview(batch.column("data")[at].as_buffer())
+                rows = []
+                places = (first - offsets[own.rows])[wanted].tolist()
+                for n, a, b, place in zip(
+                    wanted.tolist(), first[wanted].tolist(), last[wanted].tolist(), places, strict=True
+                ):
+                    text, key, doc = bytes(view[a:b]), int(own.keys[n]), int(own.docs[n])
+                    key -= 1 << 64 if key >= 1 << 63 else 0
+                    anchor = int(own.anchors[n])
+                    if code[n] == SEVERAL:
+                        anchor = -1 if anchor == NO_ANCHOR else anchor
+                        rows.append((key, int(own.rows[n]), place, doc, anchor, text))
+                        continue
+                    for o in range(len(text) - WINDOW + 1):
+                        window = text[o : o + WINDOW]
+                        digest = hashlib.blake2b(window, digest_size=8).digest()
+                        key = int.from_bytes(digest, "little", signed=True)
+                        rows.append((key, int(own.rows[n]), place + o, doc, -1, window))
+                if rows:
+                    columns = list(zip(*rows, strict=True))
+                    fixed = [[row["block"]] * len(rows), [None] * len(rows)]
+                    yield pa.record_batch(
+                        [pa.array(c, f.type) for c, f in zip([*fixed, *columns], _CUT, strict=True)],
+                        schema=_CUT,
+                    )
+
+    return cut
+
+
+def _span_row(block: int, first, last, rows, offsets) -> pa.RecordBatch:
+    """Overlapping contexts as (row, start, size) runs, in one row."""
+    fresh = np.ones(len(first), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]) | (first[1:] > last[:-1])
+    heads = np.flatnonzero(fresh)
+    ends = last[np.append(heads[1:], len(first)) - 1] if len(heads) else last
+    runs = np.column_stack([rows[heads], first[heads] - offsets[rows[heads]], ends - first[heads]])
+    columns = [[block], [runs.astype("<u4").tobytes()]] + [[None]] * 6
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _CUT, strict=True)], schema=_CUT)
 
 
 def trim(contexts: list[tuple[int, bytes]]) -> list[tuple[int, int]]:
@@ -327,26 +447,28 @@ def trim(contexts: list[tuple[int, bytes]]) -> list[tuple[int, int]]:
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of windows that a smaller document has; rows come sorted by key."""
     texts: list[bytes] = []
-    owners: list[int] = []
-    places: list[tuple[int, int, int]] = []
+    owners: list[int] = []  # the smallest document of each different text
+    places: list[tuple[int, int, int, int, int]] = []  # with document and text number
     held = 0
 
     def finish() -> pa.RecordBatch:
         least = shared_windows(texts, owners, WINDOW)
-        counts = np.asarray([len(t) - WINDOW + 1 for t in texts])
-        taken = least < np.repeat(np.asarray(owners, np.int64), counts)
-        text = np.repeat(np.arange(len(texts)), counts)
-        inside = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-        at = np.flatnonzero(taken)
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = (np.diff(at) > 1) | (np.diff(text[at]) > 0)
-        heads = np.flatnonzero(fresh)
-        runs = np.diff(np.append(heads, len(at)))
-        place = np.asarray(places, np.int64).reshape(-1, 3)[text[at[heads]]]
+        place = np.asarray(places, np.int64).reshape(-1, 5)
+        sizes = np.asarray([len(t) - WINDOW + 1 for t in texts])
+        heads = np.cumsum(sizes) - sizes
+        counts = sizes[place[:, 4]]
+        owner = np.repeat(np.arange(len(place)), counts)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        taken = np.flatnonzero(least[heads[place[owner, 4]] + inside] < place[owner, 3])
+        fresh = np.ones(len(taken), bool)
+        fresh[1:] = (np.diff(taken) > 1) | (np.diff(owner[taken]) > 0)
+        starts = np.flatnonzero(fresh)
+        runs = np.diff(np.append(starts, len(taken)))
+        found = place[owner[taken[starts]]]
         columns = [
-            place[:, 0],
-            place[:, 1].astype(np.int32),
-            (place[:, 2] + inside[at[heads]]).astype(np.int32),
+            found[:, 0],
+            found[:, 1].astype(np.int32),
+            (found[:, 2] + inside[taken[starts]]).astype(np.int32),
             (runs + WINDOW - 1).astype(np.int32),
         ]
         texts.clear(), owners.clear(), places.clear()
@@ -354,13 +476,21 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     def take(group: list[dict]) -> int:
         added = 0
+        numbers: dict[bytes, int] = {}
         spans = trim([(g["anchor"], g["text"]) for g in group])
         for g, (low, high) in zip(group, spans, strict=True):
-            if high - low >= WINDOW:
-                texts.append(g["text"][low:high])
+            if high - low < WINDOW:
+                continue
+            text = g["text"][low:high]
+            number = numbers.get(text)
+            if number is None:
+                number = numbers[text] = len(texts)
+                texts.append(text)
                 owners.append(g["doc"])
-                places.append((g["block"], g["row"], g["start"] + low))
-                added += high - low
+                added += len(text)
+            else:
+                owners[number] = min(owners[number], g["doc"])
+            places.append((g["block"], g["row"], g["start"] + low, g["doc"], number))
         return added
 
     group: list[dict] = []
@@ -400,6 +530,9 @@ def _kept(schema: list[str]):
                 view = memoryview(batch.column("data")[at].as_buffer())
                 others = pa.ipc.open_stream(batch.column("others")[at].as_buffer()).read_all()
                 spans: dict[int, list[tuple[int, int]]] = {}
+                whole = np.frombuffer(batch.column("whole")[at].as_py() or b"", "<u4")
+                for row, start, size in whole.reshape(-1, 3).tolist():
+                    spans.setdefault(row, []).append((start, size))
                 for s in batch.column("spans")[at].as_py() or ():
                     spans.setdefault(s["row"], []).append((s["start"], s["size"]))
                 offset = 0
@@ -460,35 +593,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     contexts = stage(
         blocks.join(answers, "block")
         .select("block", "docs", "sizes", "data", "answers")
-        .mapInArrow(_contexts(buckets), CONTEXT),
+        .mapInArrow(_contexts(buckets), CONTEXTS),
         "contexts",
     )
-    firsts = contexts.groupBy("key", "print").agg(F.min("doc").alias("first"))
-    kinds = firsts.groupBy("key").agg(F.count("*").alias("kinds"))
-    judged = contexts.join(firsts, ["key", "print"])
-    whole = stage(judged.filter("first < doc").select("block", "row", "start", "size"), "spans")
-    wanted = (
-        judged.filter("first = doc")
-        .join(kinds.filter("kinds > 1"), "key")
-        .groupBy("block")
-        .agg(
-            F.collect_list(
-                F.struct("key", "row", "start", "size", "doc", "anchor", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))
-            ).alias("wanted")
-        )
+    numbered = contexts.join(blocks.select("block", "docs"), "block")
+    codes = answered(numbered.mapInArrow(_sends(buckets), SENT), SENT_KINDS, _judge_contexts, "codes")
+    cut = stage(
+        blocks.select("block", "docs", "sizes", "data")
+        .join(contexts, "block")
+        .join(codes.select("block", "codes"), "block")
+        .mapInArrow(_cut(buckets), CUT),
+        "cut",
     )
-    wanted = stage(wanted, "wanted")
-    cut = blocks.join(wanted, "block").select("block", "sizes", "data", "wanted").mapInArrow(_cut, CUT)
     partial = stage(
-        cut.repartition(parts(docs), "key").sortWithinPartitions("key").mapInArrow(_sorted_windows, SPAN),
-        "windows",
-    )
-    spans = stage(
-        whole.unionByName(partial)
+        cut.filter("spans is null")
+        .drop("spans")
+        .repartition(parts(docs), "key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_sorted_windows, SPAN)
         .groupBy("block")
         .agg(F.collect_list(F.struct("row", "start", "size")).alias("spans")),
         "spans",
     )
+    whole = cut.filter("spans is not null").select("block", F.col("spans").alias("whole"))
     fields = [f for f in given.schema.fields if f.name not in ("text", "doc_id")]
     kinds_of = {f.name: f.dataType.simpleString() for f in fields} | {
         "doc_id": "long", "text": "string", "n_bytes": "long", "n_removed": "long",
@@ -496,7 +623,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     }
     names = [*given.columns, *MADE]
     return (
-        blocks.join(spans, "block", "left")
-        .select("block", "sizes", "data", "others", "spans")
+        blocks.join(whole, "block", "left")
+        .join(partial, "block", "left")
+        .select("block", "sizes", "data", "others", "whole", "spans")
         .mapInArrow(_kept(names), ", ".join(f"`{n}` {kinds_of[n]}" for n in names))
     )
