@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from civitas.functions.values import is_distinct
 from civitas.operators.quality import MINIMUM_ESTABLISHMENTS, check_row_floor, check_views
-from civitas.sources.sinks import build_and_swap
+from civitas.plans.graph import VIEWS
 
 # Fixed value: highest share of changed rows that still publishes, in percent.
 MAX_DELTA_PCT = 25.0
 GENERATION_PREFIX = "dados_"
 PUBLISHED, VALIDATED = "publicado", "validado"
+SEARCH_TABLE = "busca_estabelecimento"
 
 
 class CycleAborted(RuntimeError):
@@ -213,23 +214,42 @@ class GenerationStore:
     """Pointer and cycle table of the generations under one root folder.
 
     ``<root>/_ciclos`` holds the cycles, ``<root>/_vigente`` one row naming the
-    served generation.  Both are switched as whole folders, so a reader sees
-    either the old or the new state.
+    served generation.  A change writes a new version, one file that appears by
+    one rename, and nothing is ever moved or removed: an interrupted change
+    leaves the version before it in force, and the history whole.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _read(self, name: str, schema: str) -> DataFrame:
+    def _versions(self, name: str) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(f"{self.root}/{name}")
+            return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(
+                f"{self.root}/{name}"
+            )
         except AnalysisException as failure:
-            if failure.getCondition() != "PATH_NOT_FOUND":
+            # no folder yet, or no version that was completed
+            if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
+            return None
+
+    @staticmethod
+    def _latest(versions: DataFrame | None) -> int:
+        found = None if versions is None else versions.agg(F.max("versao")).first()[0]
+        return -1 if found is None else found
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        versions = self._versions(name)
+        latest = self._latest(versions)
+        if latest < 0:
             return self.spark.createDataFrame([], schema)
+        return versions.filter(F.col("versao") == latest).drop("versao")
 
     def _put(self, name: str, frame: DataFrame) -> None:
-        build_and_swap(frame, f"{self.root}/{name}")
+        """Write the next version; two writers of one version can't both succeed."""
+        number = self._latest(self._versions(name)) + 1
+        # a few rows at most: one per load, or one
+        frame.coalesce(1).write.parquet(f"{self.root}/{name}/versao={number}")
 
     def cycles(self) -> DataFrame:
         return self._read("_ciclos", CYCLE_SCHEMA)
@@ -247,6 +267,8 @@ class GenerationStore:
             **fields,
         }
         known = self.cycles()
+        if known.filter(F.col("load_id") == load_id).isEmpty():
+            values.setdefault("iniciado_em", dt.datetime.now())
         names = [f for f in known.schema.fieldNames() if f in values]
         schema = "load_id string, " + ", ".join(
             f"{n} {known.schema[n].dataType.simpleString()}" for n in names if n != "load_id"
@@ -268,6 +290,25 @@ class GenerationStore:
                 f"SELECT * FROM parquet.`{self.root}/{served}/{name}`"
             )
 
+    def _stored(self, name: str, table: str) -> DataFrame:
+        try:
+            return self.spark.read.parquet(f"{self.root}/{name}/{table}")
+        except AnalysisException as failure:
+            raise CycleAborted(f"{name}/{table} cannot be read: {failure}") from failure
+
+    def stored(self, name: str) -> Generation:
+        """A generation as its tables lie under the root."""
+        return Generation(
+            self._stored(name, "estabelecimento"),
+            {view: self._stored(name, view) for view in VIEWS},
+            self._stored(name, SEARCH_TABLE),
+        )
+
+    def adopt(self, cycles: DataFrame, served: str) -> None:
+        """Take over a history and the generation it serves."""
+        self._put("_ciclos", cycles)
+        self.point_to(served)
+
     def publish(
         self,
         load_id: str,
@@ -281,12 +322,21 @@ class GenerationStore:
         """Validate now and switch the pointer; False when already published.
 
         The gates run at this moment and not earlier, because the data may have
-        changed since the load ended.
+        changed since the load ended.  Both generations are read from the store
+        unless they are given; the verdict of a first load is only for a store
+        that serves nothing.
         """
         name = generation_name(load_id)
-        if self.current() == name:
+        served = self.current()
+        if served == name:
             return False
         if not skip_validation:
+            if new is None:
+                new = self.stored(name)
+            if current is None and served is not None:
+                # the gate compares search tables only
+                search = self._stored(served, SEARCH_TABLE)
+                current = Generation(search, {}, search)
             report = validate_generation(new, current, minimum, max_pct)
             pct = next(r["value"] for r in report if r["check"] == "delta")
             self.record(load_id, VALIDATED, delta_pct=Decimal(str(round(pct, 3))))
@@ -301,5 +351,9 @@ class GenerationStore:
             if row is None:
                 raise CycleAborted("no earlier published generation to return to")
             to = row["schema_nome"]
+        elif self.cycles().filter(
+            (F.col("schema_nome") == to) & F.col("publicado_em").isNotNull()
+        ).isEmpty():
+            raise CycleAborted(f"{to} was never published")
         self.point_to(to)
         return to

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from civitas.model.source import PathSource
 from civitas.model.specs import TABLES, spec
+from civitas.operators.generations import SEARCH_TABLE
 from civitas.operators.ingest import transform_table
 from civitas.operators.joins import hot_keys
 from civitas.operators.patches import apply_patches
@@ -27,7 +28,6 @@ from civitas.sources.files import route_files
 from civitas.sources.sinks import build_and_swap, write_table
 from civitas.sources.zip_csv import list_archives, read_zip_csv
 
-SEARCH_TABLE = "busca_estabelecimento"
 QUARANTINE = "_quarentena"
 CHECKS = "_chaves"
 DIMENSIONS = ("ibge_regiao", "ibge_estado", "ibge_cidade")

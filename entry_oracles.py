@@ -707,6 +707,21 @@ _add(
     count(*) FILTER (WHERE {_CAPITAL_BAD}) AS failed
     FROM empresa_file WHERE {_FORM_BAD} OR {_CAPITAL_BAD}""",
 )
+_add(
+    "quarantine_retry_rows",
+    f"""SELECT cnpj_basico,
+    CASE WHEN {_FORM_BAD} THEN '2062' ELSE cod_natureza_juridica END AS cod_natureza_juridica,
+    CASE WHEN {_CAPITAL_BAD} THEN 1234.56::DECIMAL(16,2)
+         ELSE replace(replace(capital_social, '.', ''), ',', '.')::DECIMAL(16,2) END AS capital_social
+    FROM empresa_file WHERE {_FORM_BAD} OR {_CAPITAL_BAD}""",
+)
+_add(
+    "src_zip_csv_field_count",
+    f"""SELECT cnpj_basico, CASE cnpj_basico::INTEGER % 3 WHEN 0 THEN 'fields: 6 instead of 7'
+         WHEN 2 THEN 'fields: 8 instead of 7'
+         ELSE CASE WHEN {_FORM_BAD} OR {_CAPITAL_BAD} THEN 'parked' ELSE 'loaded' END END AS fate
+    FROM empresa_file""",
+)
 _add(
     "load_metrics",
     f"""SELECT 'empresa' AS "table", count(*) FILTER (WHERE NOT bad) AS rows_loaded,
@@ -1103,6 +1118,11 @@ _add(
     UNION ALL SELECT '200107', 'dados_200107', 'publicado',
       round({_DELTA_PCT}, 3)::DECIMAL(6,3), TRUE FROM delta""",
 )
+_add(
+    "publish_truncated",
+    """SELECT '200106' AS load_id, 'publicado' AS etapa, TRUE AS vigente, TRUE AS iniciado,
+    count(*) FILTER (WHERE o_orderkey % 2 <> 0) > 0.25 * count(*) AS recusado FROM orders""",
+)
 _add(
     "rollback_generation",
     """SELECT schema_nome, publicado_em FROM ciclos WHERE publicado_em IS NOT NULL

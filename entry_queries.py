@@ -203,15 +203,57 @@ def _(t):
 def _(t):
     fixed = company_split(t)[1].withColumn(
         "payload",
-        F.replace(
-            F.col("payload"),
-            F.lit('"cod_natureza_juridica":null'),
-            F.lit('"cod_natureza_juridica":"2062"'),
+        F.regexp_replace(
+            "payload", '"cod_natureza_juridica":(null|" *")', '"cod_natureza_juridica":"2062"'
         ),
     )
     return retry_quarantine(fixed, spec("empresa"))[2]
 
 
+@query("quarantine_retry_rows")
+def _(t):
+    """What a retry loads: form and capital were put right in the parked text."""
+    fixed = company_split(t)[1].withColumn(
+        "payload",
+        F.regexp_replace(
+            F.regexp_replace(
+                "payload", '"cod_natureza_juridica":(null|" *")', '"cod_natureza_juridica":"2062"'
+            ),
+            '"capital_social":"abc"',
+            '"capital_social":"1.234,56"',
+        ),
+    )
+    loaded = retry_quarantine(fixed, spec("empresa"))[0]
+    return loaded.select("cnpj_basico", "cod_natureza_juridica", "capital_social")
+
+
+@query("src_zip_csv_field_count")
+def _(t):
+    """Lines of the archives that have a cell too many or too few are parked."""
+    layout = spec("empresa").file_schema
+    folder = fresh_path(t.spark, "zips")
+    number = F.col("cnpj_basico").cast("int")
+    wide = t.table("empresa_file", layout.fieldNames()).withColumn("extra", F.lit("x"))
+    for rest, columns in enumerate((layout.fieldNames()[:-1], layout.fieldNames(), wide.columns)):
+        write_zips(
+            wide.filter(number % 3 == rest).select(*columns).repartition("cnpj_basico"),
+            f"{folder}/{rest}",
+        )
+    good = bad = None
+    for rest in range(3):
+        raw = read_zip_csv(t.spark, f"{folder}/{rest}/*.zip", layout)
+        kept, parked = split_valid(transform_table(raw, "empresa"), spec("empresa"))
+        good = kept if good is None else good.unionByName(kept)
+        bad = parked if bad is None else bad.unionByName(parked)
+    width = F.filter("errors", lambda e: e.startswith("fields"))
+    return good.select("cnpj_basico", F.lit("loaded").alias("fate")).unionByName(
+        bad.select(
+            F.get_json_object("payload", "$.cnpj_basico").alias("cnpj_basico"),
+            F.coalesce(F.try_element_at(width, F.lit(1)), F.lit("parked")).alias("fate"),
+        )
+    )
+
+
 @query("load_metrics")
 def _(t):
     good, bad = company_split(t)
@@ -717,13 +759,43 @@ def _(t):
     )
 
 
+@query("publish_truncated")
+def _(t):
+    """Half of the served rows are gone: refused, though nobody names what is served."""
+    new, current = generation_pair(t)
+    root = fresh_path(t.spark, "geracoes")
+    store = generations.GenerationStore(t.spark, root)
+    served = generations.generation_name("200106")
+    current.search.write.parquet(f"{root}/{served}/{generations.SEARCH_TABLE}")
+    store.publish("200106", current, skip_validation=True)
+    half = current.search.filter(F.col("cnpj_completo").cast("decimal(14,0)") % 2 == 0)
+    cut = generations.Generation(new.establishments, new.views, half)
+    try:
+        store.publish("200107", cut, minimum=1)
+        refused = False
+    except generations.CycleAborted:
+        refused = True
+    return store.cycles().select(
+        "load_id",
+        "etapa",
+        (F.col("schema_nome") == store.current()).alias("vigente"),
+        F.col("iniciado_em").isNotNull().alias("iniciado"),
+        F.lit(refused).alias("recusado"),
+    )
+
+
 def latest_cycle(t):
     return generations.previous_published(t.table("ciclos"), None).first()["schema_nome"]
 
 
 @query("rollback_generation")
 def _(t):
-    return generations.previous_published(t.table("ciclos"), latest_cycle(t))
+    cycles = t.table("ciclos")
+    store = generations.GenerationStore(t.spark, fresh_path(t.spark, "geracoes"))
+    store.adopt(cycles, latest_cycle(t))
+    store.rollback()
+    served = F.col("schema_nome") == store.current()
+    return store.cycles().filter(served).select("schema_nome", "publicado_em")
 
 
 @query("gc_candidates")

@@ -196,3 +196,29 @@ def test_last_and_volume(spark):
     assert r.files_of(runs, "2026-07").first()[0] == 3
     assert values(r.monthly_volume(runs)) == [("2026-07", 10, Decimal("1.50"))]
     assert r.last_run(runs.limit(0)).count() == 0
+
+
+def test_an_interrupted_change_keeps_the_history(spark, tmp_path):
+    store = g.GenerationStore(spark, str(tmp_path))
+    store.record("202606", g.PUBLISHED, publicado_em=dt.datetime(2026, 6, 1))
+    started = store.cycles().first()["iniciado_em"]
+    assert started is not None
+    # a writer that died before its file appeared leaves an unfinished version
+    (tmp_path / "_ciclos" / "versao=1" / "_temporary").mkdir(parents=True)
+    assert [r["load_id"] for r in g.GenerationStore(spark, str(tmp_path)).cycles().collect()] == ["202606"]
+
+
+def test_rollback_refuses_what_was_never_published(spark, tmp_path):
+    store = g.GenerationStore(spark, str(tmp_path))
+    store.record("202606", g.PUBLISHED, publicado_em=dt.datetime(2026, 6, 1))
+    with pytest.raises(g.CycleAborted):
+        store.rollback("dados_202605")
+    assert store.current() is None
+
+
+def test_publish_without_the_served_tables_is_refused(spark, tmp_path):
+    store = g.GenerationStore(spark, str(tmp_path))
+    store.point_to("dados_202606")
+    with pytest.raises(g.CycleAborted, match="cannot be read"):
+        store.publish("202607")
+    assert store.current() == "dados_202606"
