@@ -28,13 +28,36 @@ def order_of(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, bucket[order].astype(np.int64)
 
 
+def packed(columns: Sequence[np.ndarray]) -> bytes:
+    """Compressed columns; equal bytes of the numbers lie together."""
+    import zstandard
+
+    raw = b"".join(
+        np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns
+    )
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unpacked(blob: bytes, kinds: Sequence[str]) -> list[np.ndarray]:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    widths = [np.dtype(k).itemsize for k in kinds]
+    entries, at, out = len(raw) // sum(widths), 0, []
+    for kind, width in zip(kinds, widths, strict=True):
+        part = raw[at : at + entries * width].reshape(width, entries)
+        out.append(np.ascontiguousarray(part.T).view(kind).reshape(entries))
+        at += entries * width
+    return out
+
+
 def send(block: int, bucket: np.ndarray, columns: Sequence[np.ndarray]) -> pa.RecordBatch:
     """Rows for columns that are in sending order already."""
     cuts = np.flatnonzero(np.diff(bucket)) + 1
     heads = np.append(0, cuts) if len(bucket) else np.zeros(0, np.int64)
     stops = np.append(cuts, len(bucket)) if len(bucket) else heads
     blobs = [
-        b"".join(c[a:b].tobytes() for c in columns)
+        packed([c[a:b] for c in columns])
         for a, b in zip(heads.tolist(), stops.tolist(), strict=True)
     ]
     return pa.record_batch(
@@ -48,19 +71,9 @@ def send(block: int, bucket: np.ndarray, columns: Sequence[np.ndarray]) -> pa.Re
     )
 
 
-def _columns(blobs: list[bytes], sizes: list[int], kinds: Sequence[str]) -> list[np.ndarray]:
+def _columns(blobs: list[bytes], kinds: Sequence[str]) -> list[np.ndarray]:
     """Columns of several blobs, end to end."""
-    out = []
-    offset = [0] * len(blobs)
-    for kind in kinds:
-        width = np.dtype(kind).itemsize
-        out.append(
-            np.concatenate(
-                [np.frombuffer(b, kind, n, o) for b, n, o in zip(blobs, sizes, offset, strict=True)]
-            )
-        )
-        offset = [o + n * width for o, n in zip(offset, sizes, strict=True)]
-    return out
+    return [np.concatenate(c) for c in zip(*[_unpacked(b, kinds) for b in blobs], strict=True)]
 
 
 def answered(
@@ -74,14 +87,14 @@ def answered(
     def reduce(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         sizes = table.column("entries").to_pylist()
-        columns, total = answer(_columns(table.column("blob").to_pylist(), sizes, kinds))
+        columns, total = answer(_columns(table.column("blob").to_pylist(), kinds))
         cuts = np.cumsum(sizes)[:-1]
         parts = zip(*[np.split(c, cuts) for c in columns], strict=True)
         return pa.table(
             {
                 "block": table.column("block"),
                 "bucket": table.column("bucket"),
-                "blob": pa.array([b"".join(c.tobytes() for c in p) for p in parts], pa.binary()),
+                "blob": pa.array([packed(p) for p in parts], pa.binary()),
                 "total": pa.array([total] + [0] * (len(sizes) - 1), pa.int64()),
             }
         )
@@ -100,8 +113,6 @@ def answered(
 def received(answers: list[dict] | None, kinds: Sequence[str]) -> list[np.ndarray]:
     """A block's answers in sending order."""
     rows = sorted(answers or (), key=lambda a: a["bucket"])
-    width = sum(np.dtype(k).itemsize for k in kinds)
     if not rows:
         return [np.zeros(0, k) for k in kinds]
-    blobs = [r["blob"] for r in rows]
-    return _columns(blobs, [len(b) // width for b in blobs], kinds)
+    return _columns([r["blob"] for r in rows], kinds)

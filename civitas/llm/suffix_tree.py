@@ -43,7 +43,6 @@ FOLDS = 10
 SMOOTHING = 0.1
 BLOCK_TOKENS = 300_000
 BUCKET_ENTRIES = 1_000_000
-CACHED_WORDS = 400_000
 
 BLOCKS = (
     "block long, tokens long, trained long, docs array<long>, sizes array<int>, held array<boolean>, "
@@ -59,30 +58,32 @@ _SCORE = pa.schema(
         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
     ]
 )
-#: The end of a document; its hash is fixed.
-END = xxhash.xxh3_64_intdigest(b"\n")
+#: The end of a document; no word is a line break.
+END = b"\n"
 
 
-class _Hashes(dict):
+class _Numbers(dict):
+    """Numbers of a block's words, in the order they come."""
+
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHED_WORDS:
-            self[word] = value
-        return value
+        self[word] = number = len(self)
+        return number
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == 0
 
 
-def _block(number: int, docs: list, sizes: list[int], hashes: list[int]) -> pa.RecordBatch:
-    words, numbers = np.unique(np.asarray(hashes, np.uint64), return_inverse=True)
+def _block(number: int, docs: list, sizes: list[int], parts: list, seen: dict) -> pa.RecordBatch:
+    hashes = np.asarray([xxhash.xxh3_64_intdigest(w) for w in seen], np.uint64)
+    words, place = np.unique(hashes, return_inverse=True)
+    numbers = place[np.concatenate(parts)]
     held = [held_out(d) for d in docs]
     trained = sum(n for n, h in zip(sizes, held, strict=True) if not h)
     return pa.record_batch(
         [
             pa.array([number], pa.int64()),
-            pa.array([len(hashes)], pa.int64()),
+            pa.array([len(numbers)], pa.int64()),
             pa.array([trained], pa.int64()),
             pa.array([docs], pa.list_(pa.int64())),
             pa.array([sizes], pa.list_(pa.int32())),
@@ -98,22 +99,23 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents to blocks; only A-Z are lowered, only ASCII blanks separate."""
     from pyspark import TaskContext
 
-    number, known = TaskContext.get().partitionId() << 32, _Hashes()
-    docs: list = []
-    sizes: list[int] = []
-    hashes: list[int] = []
+    number = TaskContext.get().partitionId() << 32
+    docs, sizes, parts, seen = [], [], [], _Numbers()
+    held = 0
     for batch in batches:
         for doc, text in zip(batch.column(0), batch.column(1), strict=True):
             words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
-            if hashes and len(hashes) + len(words) > BLOCK_TOKENS:
-                yield _block(number, docs, sizes, hashes)
-                number, docs, sizes, hashes = number + 1, [], [], []
+            if docs and held + len(words) > BLOCK_TOKENS:
+                yield _block(number, docs, sizes, parts, seen)
+                number, docs, sizes, parts, seen = number + 1, [], [], [], _Numbers()
+                held = 0
+            words.append(END)
             docs.append(doc.as_py())
-            sizes.append(len(words) + 1)
-            hashes.extend(map(known.__getitem__, words))
-            hashes.append(END)
+            sizes.append(len(words))
+            parts.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
+            held += len(words)
     if docs:
-        yield _block(number, docs, sizes, hashes)
+        yield _block(number, docs, sizes, parts, seen)
 
 
 class Tree:
