@@ -32,8 +32,8 @@ WINDOW = 2048
 END_ID = 1
 OPEN_WINDOWS = 64
 LEAST_CUT = 8
-MERGE_WIDTH = 32
-CACHE_ENTRIES = 400_000
+MERGE_WIDTH = 8
+CACHE_ENTRIES = 1_000_000
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -76,11 +76,13 @@ def encoder(path: str):
         stretches = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
         if len(seen) > CACHE_ENTRIES:
             seen.clear()
-        new = [s for s in set(stretches) if s not in seen]
-        if new:
+        found = list(map(seen.get, stretches))
+        if None in found:
+            new = list({s for s, f in zip(stretches, found, strict=True) if f is None})
             encoded = tokenizer.encode_batch_fast(new, add_special_tokens=False)
             seen.update(zip(new, map(ids_of, encoded), strict=True))
-        return b"".join([seen[s] for s in stretches])
+            found = map(seen.__getitem__, stretches)
+        return b"".join(found)
 
     return encode
 
