@@ -43,6 +43,7 @@ class TableSpec:
     columns: tuple[Column, ...]
     primary_key: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = field(default=())
+    unique_keys: tuple[tuple[str, ...], ...] = ()
 
     @property
     def column_names(self) -> list[str]:
@@ -101,6 +102,7 @@ def _code_table(name, stem, code, code_len, label, label_len) -> TableSpec:
     )
 
 
+# Names, lengths and keys are the registry's contract.
 _SPECS = (
     _code_table("cnae", "Cnaes", "cod_cnae", 7, "nome_cnae", 200),
     _code_table("motivo", "Motivos", "cod_motivo", 2, "nome_motivo", 100),
@@ -119,6 +121,7 @@ _SPECS = (
             text("nome_regiao", 50, required=True),
         ),
         primary_key=("cod_regiao_ibge",),
+        unique_keys=(("sigla_regiao",),),
     ),
     TableSpec(
         "ibge_estado",
@@ -132,6 +135,7 @@ _SPECS = (
             integer("cod_regiao_ibge", required=True),
         ),
         primary_key=("cod_estado_ibge",),
+        unique_keys=(("sigla_uf",),),
         foreign_keys=(ForeignKey("cod_regiao_ibge", "ibge_regiao", "cod_regiao_ibge"),),
     ),
     TableSpec(
@@ -149,6 +153,7 @@ _SPECS = (
             text("fuso_horario", 50),
         ),
         primary_key=("cod_cidade_ibge",),
+        unique_keys=(("cod_municipio",),),
         foreign_keys=(ForeignKey("cod_estado_ibge", "ibge_estado", "cod_estado_ibge"),),
     ),
     TableSpec(

@@ -79,8 +79,16 @@ def add_geo(
             F.col("_region").alias("_city_region"),
         )
     )
-    by_uf = known.select(
-        "_uf", F.col("_code").alias("_uf_state"), F.col("_region").alias("_uf_region")
+    # one row per abbreviation, whatever the dimension holds: a repeated one must
+    # not multiply the rows that use it
+    by_uf = (
+        known.groupBy("_uf")
+        .agg(F.min(F.struct("_code", "_region")).alias("_state"))
+        .select(
+            "_uf",
+            F.col("_state._code").alias("_uf_state"),
+            F.col("_state._region").alias("_uf_region"),
+        )
     )
     at_home = F.lit(True)
     if guard_foreign:

@@ -51,6 +51,28 @@ def check_unique(df: DataFrame, keys: Iterable[str], strict_nulls: bool = False)
     return present.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
+def check_keys(source: TableSource, tables: Mapping[str, TableSpec] = TABLES) -> DataFrame:
+    """Repeated values per declared primary and unique key, and NULLs in primary keys."""
+    found = []
+    for table in tables.values():
+        for keys in filter(None, (table.primary_key, *table.unique_keys)):
+            frame = source.table(table.name, keys)
+            lacking = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda c: c)
+            null_rows = F.count_if(lacking) if keys == table.primary_key else F.lit(0)
+            repeated = check_unique(frame, keys).agg(F.count("*").alias("repeated"))
+            found.append(
+                frame.agg(null_rows.cast("bigint").alias("nulls"))
+                .crossJoin(repeated)  # one row each
+                .select(
+                    F.lit(table.name).alias("table"),
+                    F.lit(",".join(keys)).alias("key"),
+                    "repeated",
+                    "nulls",
+                )
+            )
+    return _stack(found)
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Counts of the child rows whose value has no parent.
 

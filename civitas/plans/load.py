@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from civitas.model.source import PathSource
 from civitas.model.specs import TABLES, spec
 from civitas.operators.generations import SEARCH_TABLE
+from civitas.operators.geo import geo_dimensions
 from civitas.operators.ingest import transform_table
 from civitas.operators.joins import hot_keys
 from civitas.operators.patches import apply_patches
-from civitas.operators.quality import check_fk
+from civitas.operators.quality import check_fk, check_keys
 from civitas.operators.quarantine import load_metrics, retry_quarantine, split_valid
 from civitas.operators.search import build_search_table
 from civitas.plans.graph import build_views
@@ -104,6 +105,10 @@ def load_month(
     return load_metrics(good, spark.read.parquet(quarantine)), unknown
 
 
+class KeysBroken(RuntimeError):
+    """A declared key does not hold; views over such tables would count rows twice."""
+
+
 class MissingArchive(RuntimeError):
     """A month without the archive of a table that it must have."""
 
@@ -129,9 +134,8 @@ def complete_month(
     served.
     """
     loaded = fresh_path(spark, "loaded")
-    dims = {
-        name: write_table(dimensions[name], generation, name) for name in DIMENSIONS
-    }
+    unique = geo_dimensions(*[dimensions[name] for name in DIMENSIONS])
+    dims = {name: write_table(unique[name], generation, name) for name in DIMENSIONS}
     metrics, unknown = load_month(
         spark, folder, loaded, dims["ibge_cidade"], dims["ibge_estado"],
         quarantine=f"{generation}/{QUARANTINE}", **load_options,
@@ -152,6 +156,9 @@ def complete_month(
     if runs is not None:
         runs.write.mode("overwrite").parquet(f"{generation}/pipeline_stats")
     source = PathSource(spark, generation)
+    broken = check_keys(source).filter("repeated > 0 or nulls > 0").collect()  # one row per key
+    if broken:
+        raise KeysBroken("; ".join(f"{r['table']}({r['key']})" for r in broken))
     check_fk(source).write.mode("overwrite").parquet(f"{generation}/{CHECKS}")
     est = source.table("estabelecimento")
     build_and_swap(

@@ -999,6 +999,35 @@ _add(
 )
 
 
+_KEYS = (
+    ("cnae", "cod_cnae", True),
+    ("motivo", "cod_motivo", True),
+    ("municipio_rfb", "cod_municipio", True),
+    ("natureza_juridica", "cod_natureza", True),
+    ("pais", "cod_pais", True),
+    ("qualificacao_socio", "cod_qualificacao", True),
+    ("ibge_regiao", "cod_regiao_ibge", True),
+    ("ibge_regiao", "sigla_regiao", False),
+    ("ibge_estado", "cod_estado_ibge", True),
+    ("ibge_estado", "sigla_uf", False),
+    ("ibge_cidade", "cod_cidade_ibge", True),
+    ("ibge_cidade", "cod_municipio", False),
+    ("empresa", "cnpj_basico", True),
+    ("estabelecimento", "cnpj_completo", True),
+    ("simples", "cnpj_basico", True),
+)
+_add(
+    "check_keys",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{k}' AS "key", count(*) FILTER (WHERE n > 1 AND v IS NOT NULL)
+          AS repeated,
+        {"coalesce(sum(n) FILTER (WHERE v IS NULL), 0)::BIGINT" if primary else "0::BIGINT"} AS nulls
+        FROM (SELECT {k} AS v, count(*) AS n FROM {t} GROUP BY {k}) g"""
+        for t, k, primary in _KEYS
+    ),
+)
+
+
 def _report(name, table, column, parent, key, warning):
     return f"""SELECT '{name}' AS fk_name, '{table}' AS source_table, count(*) AS orphan_count,
     CASE WHEN count(*) = 0 THEN 'OK' ELSE '{warning}' END AS status FROM {table} f

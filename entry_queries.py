@@ -624,6 +624,11 @@ def _(t):
     return quality.check_fk(t)
 
 
+@query("check_keys")
+def _(t):
+    return quality.check_keys(t)
+
+
 @query("check_fk_report")
 def _(t):
     return quality.referential_report(t)

@@ -114,3 +114,12 @@ def test_explode_secondary(spark, dims):
         ("00000003000203", "5", None, None, None, "20200101"),
         ("00000003000203", "5", None, None, None, "20200101"),
     ]
+
+
+def test_a_repeated_abbreviation_does_not_multiply_rows(spark):
+    cities = spark.createDataFrame([], spec("ibge_cidade").schema)
+    states = spark.createDataFrame(
+        [(36, "SP", "b", None, None, 4), (35, "SP", "a", None, None, 3)], spec("ibge_estado").schema)
+    rows = spark.createDataFrame([("x", "SP", None)], "cod_municipio string, uf string, cod_pais string")
+    found = add_geo(rows, cities, states)
+    assert values(found, "cod_estado_ibge", "cod_regiao_ibge") == [(35, 3)]

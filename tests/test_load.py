@@ -126,6 +126,14 @@ def test_a_missing_archive_fails_the_month(spark, tmp_path, dimensions):
         load.complete_month(spark, str(tmp_path), f"{tmp_path}/g", dimensions, anchor=dt.date(2024, 1, 1))
 
 
+def test_a_repeated_regime_row_fails_the_month(spark, tmp_path, dimensions):
+    write_month(tmp_path)
+    row = ("1", "S", "20240105", "00000000", "N", "", "")
+    make_zip(tmp_path / "Simples.zip", {"a": [row, row]})
+    with pytest.raises(load.KeysBroken, match="simples"):
+        load.complete_month(spark, str(tmp_path), f"{tmp_path}/g", dimensions, anchor=dt.date(2024, 1, 1))
+
+
 def test_whole_file_mode(spark, tmp_path, dimensions):
     write_month(tmp_path)
     metrics, _ = load.load_month(
