@@ -32,7 +32,6 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(least.filter("u != m").select("u", F.col("m").alias("v")))
             .filter("u != v").distinct()
         )
-        large = stage(large, "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stage(

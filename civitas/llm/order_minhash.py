@@ -239,6 +239,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     )
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node within two links, which is enough to tell
+    most texts that a leader's class took in; the rest are compared once more."""
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
+    )
+    near = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("near"))
+    further = near.select(F.col("node").alias("near"), F.col("near").alias("label"))
+    return near.join(further, "near").select("node", "label")
+
+
 def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id, kept`` per row; one document of each class is kept."""
     given = docs.select(
@@ -265,7 +276,7 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         buckets.join(shared.filter("low < high").select("key"), "key"), "members"
     )
     least = int(round(threshold * 1_000_000))
-    links, classes = None, None
+    links = None
     while True:
         leaders = members.groupBy("key").agg(
             F.min(F.struct("node", "words")).alias("low"), F.max(F.struct("node", "words")).alias("high")
@@ -291,15 +302,14 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if new.isEmpty():
             break
         links = new if links is None else links.unionByName(new)
-        classes = stage(components(links), "classes")
-        named = members.join(classes, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
+        named = members.join(_labels(links), "node", "left").withColumn(
+            "label", F.coalesce("label", "node")
         )
         ends = named.groupBy("key").agg(
-            F.min(F.struct("node", "component")).alias("low"), F.max(F.struct("node", "component")).alias("high")
+            F.min(F.struct("node", "label")).alias("low"), F.max(F.struct("node", "label")).alias("high")
         )
         rest = named.join(ends, "key").filter(
-            (F.col("component") != F.col("low.component")) & (F.col("component") != F.col("high.component"))
+            (F.col("label") != F.col("low.label")) & (F.col("label") != F.col("high.label"))
         )
         members = stage(rest.select("node", "words", "key"), "members")
         if members.isEmpty():
