@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civitas.llm.common import parts as partitions
 from civitas.llm.common import stage
 from civitas.llm.components import components
 
@@ -35,6 +36,10 @@ RECALL = 0.99
 SPARE_BITS = 4
 CONFIDENCE = 4.0
 BLOCK = 1000
+#: Keys of up to so many vectors are compared together; pairs and rows at a time.
+SMALL = 32
+PAIRS = 50_000
+ROWS = 10_000
 
 CODED = "rep long, copies long, vector array<double>, code binary, factor double, keys array<long>"
 PART = "a long, b long, links long"
@@ -79,43 +84,125 @@ def upper_bounds(
     return estimate + CONFIDENCE * spread[:, None]
 
 
-def link_block(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Link sums and edges of one block pair (``salt`` against ``salt``)."""
-    rows = rows.sort_values(["rep"], kind="stable")
-    table, low, high = (int(rows[c].iloc[0]) for c in ("table", "low", "high"))
-    left = rows[rows["salt"] == low]
-    right = rows[rows["salt"] == high]
-    if not len(left) or not len(right):
-        return pd.DataFrame({"a": [], "b": [], "links": []}, dtype=np.int64)
-    x, y = (np.stack(side["vector"].to_numpy()) for side in (left, right))
-    kx, ky = (np.stack(side["keys"].to_numpy()) for side in (left, right))
-    code = np.stack([np.frombuffer(c, np.uint8) for c in left["code"]])
-    i, j = np.nonzero(upper_bounds(x, code, left["factor"].to_numpy(), y) >= threshold)
-    if low == high:
-        i, j = i[i < j], j[i < j]
-    exact = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
+def pair_bounds(turned: np.ndarray, factors: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The same bounds for single pairs of rows, from their turned vectors."""
+    size = turned.shape[1]
+    spread = np.sqrt(np.maximum(0, 1 - factors**2)) / factors / math.sqrt(max(1, size - 1))
+    out = np.empty(len(i))
+    for at in range(0, len(i), PAIRS):
+        a, b = i[at : at + PAIRS], j[at : at + PAIRS]
+        signs = np.where(turned[a] >= 0, 1.0, -1.0)
+        estimate = np.einsum("ij,ij->i", signs, turned[b]) / math.sqrt(size) / factors[a]
+        out[at : at + PAIRS] = estimate + CONFIDENCE * spread[a]
+    return out
+
+
+def candidates(rows: pd.DataFrame, x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of one block pair whose bound reaches the threshold.
+
+    ``rows`` are sorted by block pair; the blocks of a pair meet each other, or
+    one block meets itself.
+    """
+    group = rows["group"].to_numpy()
+    salt, apart = rows["salt"].to_numpy(), (rows["low"] != rows["high"]).to_numpy()
+    factor = rows["factor"].to_numpy()
+    code = np.stack([np.frombuffer(c, np.uint8) for c in rows["code"]])
+    heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    sizes = np.diff(np.append(heads, len(rows)))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    small = np.repeat(sizes <= SMALL, sizes)
+    turned = x @ rotation(0, x.shape[1]).T
+    for step in range(1, SMALL):
+        i = np.flatnonzero(small[:-step] & (group[:-step] == group[step:]))
+        if not len(i):
+            break
+        j = i + step
+        meet = ~apart[i] | (salt[i] != salt[j])
+        i, j = i[meet], j[meet]
+        near = pair_bounds(turned, factor, i, j) >= threshold
+        found.append((i[near], j[near]))
+    for head, size in zip(heads[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        own = np.arange(head, head + size)
+        left, right = own, own
+        if apart[head]:
+            left = own[salt[own] == rows["low"].iloc[head]]
+            right = own[salt[own] == rows["high"].iloc[head]]
+        i, j = np.nonzero(upper_bounds(x[left], code[left], factor[left], x[right]) >= threshold)
+        i, j = left[i], right[j]
+        keep = slice(None) if apart[head] else i < j
+        found.append((i[keep], j[keep]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(side) for side in zip(*found, strict=True))
+
+
+def link_rows(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Link sums and one edge per linked vector, of whole block pairs."""
+    x = np.stack(rows["vector"].to_numpy())
+    i, j = candidates(rows, x, threshold)
+    exact = np.concatenate(
+        [np.zeros(0, bool)]
+        + [
+            np.einsum("ij,ij->i", x[i[at : at + PAIRS]], x[j[at : at + PAIRS]]) >= threshold
+            for at in range(0, len(i), PAIRS)
+        ]
+    )
     i, j = i[exact], j[exact]
-    if table:
-        first = np.ones(len(i), bool)
-        for at in range(0, len(i), 100_000):
-            part = slice(at, at + 100_000)
-            first[part] = ~(kx[i[part], :table] == ky[j[part], :table]).any(axis=1)
-        i, j = i[first], j[first]
-    a, b = left["rep"].to_numpy()[i], right["rep"].to_numpy()[j]
-    wa, wb = left["copies"].to_numpy()[i], right["copies"].to_numpy()[j]
-    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    sums = np.bincount(place, np.concatenate([wb, wa]), len(nodes)).astype(np.int64)
-    pa, pb = place[: len(a)], place[len(a) :]
-    root = np.arange(len(nodes))
-    while True:  # smallest label over the links of this block pair
+    # a pair that shares an earlier key as well was counted there
+    keys, table = np.stack(rows["keys"].to_numpy()), rows["table"].to_numpy()
+    first = np.ones(len(i), bool)
+    for at in range(0, len(i), PAIRS):
+        a, b = i[at : at + PAIRS], j[at : at + PAIRS]
+        earlier = np.arange(keys.shape[1])[None, :] < table[a][:, None]
+        first[at : at + PAIRS] = ~((keys[a] == keys[b]) & earlier).any(axis=1)
+    i, j = i[first], j[first]
+    copies, reps = rows["copies"].to_numpy(), rows["rep"].to_numpy()
+    sums = np.bincount(i, copies[j], len(rows)) + np.bincount(j, copies[i], len(rows))
+    root = np.arange(len(rows))
+    while True:  # smallest row over the links of this task's block pairs
         new = root.copy()
-        np.minimum.at(new, pa, root[pb])
-        np.minimum.at(new, pb, root[pa])
+        np.minimum.at(new, i, root[j])
+        np.minimum.at(new, j, root[i])
         new = new[new]
         if (new == root).all():
             break
         root = new
-    return pd.DataFrame({"a": nodes, "b": nodes[root], "links": sums})
+    linked = np.flatnonzero(sums)
+    return pd.DataFrame(
+        {"a": reps[linked], "b": reps[root[linked]], "links": sums[linked].astype(np.int64)}
+    )
+
+
+GROUP = ["n", "table", "key", "low", "high"]
+
+
+def _linked(threshold: float):
+    """Takes rows sorted by block pair; works on whole pairs, many at a time."""
+
+    def link(batches):
+        held: list[pd.DataFrame] = []
+        count = 0
+        for rows in batches:
+            held.append(rows)
+            count += len(rows)
+            if count < ROWS:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            last = (rows[GROUP] != rows[GROUP].iloc[-1]).any(axis=1).to_numpy()
+            whole = int(last.nonzero()[0][-1]) + 1 if last.any() else 0
+            yield from _by_size(rows.iloc[:whole], threshold)
+            held, count = [rows.iloc[whole:]], len(rows) - whole
+        if count:
+            yield from _by_size(pd.concat(held, ignore_index=True), threshold)
+
+    return link
+
+
+def _by_size(rows: pd.DataFrame, threshold: float):
+    for _, part in rows.groupby("n"):
+        part = part.sort_values([*GROUP, "rep"], ignore_index=True)
+        change = (part[GROUP] != part[GROUP].shift()).any(axis=1)
+        yield link_rows(part.assign(group=change.cumsum()), threshold)
 
 
 def near_vectors(
@@ -174,10 +261,12 @@ def near_vectors(
         .withColumn("high", F.greatest("salt", "other"))
         .drop("other", "salts", "members")
     )
+    sharing = partitions(embeddings)
     parts = stage(
         placed.join(coded, "rep")
-        .groupBy("n", "table", "key", "low", "high")
-        .applyInPandas(lambda rows: link_block(rows, threshold), PART),
+        .repartition(sharing, *GROUP)
+        .sortWithinPartitions(*GROUP)
+        .mapInPandas(_linked(threshold), PART),
         "links",
     )
     classes = components(parts.select("a", "b"))
