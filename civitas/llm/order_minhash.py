@@ -4,9 +4,10 @@ A text is its lower-case words; its grams of five words are labelled with their
 occurrence number.  A sketch takes the ``LENGTH`` labelled grams with the
 smallest hashes and keeps them in text order, so that it agrees for two texts
 about as often as they are close in edit distance.  Texts that share a sketch
-are candidates: each is compared with the first and the last of its bucket, by
+are candidates: each is compared with the first of its bucket and one by chance, by
 banded alignment of the words; those that neither leader's class took in form
-the next round's buckets, until a round finds no link.  Classes are connected
+the next round's buckets, where only texts of different classes are compared,
+until a round finds no link.  Classes are connected
 components.
 
 Equal texts are one text from the start.  Buckets are never gathered: leaders
@@ -39,6 +40,8 @@ SKETCHES = 48
 THRESHOLD = 0.8
 CACHED_WORDS = 400_000
 SLICE = 1 << 16
+#: Kinds of buckets, each with a second leader of its own.
+LEADERS = 4
 #: Edits up to which the band alone decides.
 NARROW = 24
 
@@ -239,17 +242,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     )
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node within two links, which is enough to tell
-    most texts that a leader's class took in; the rest are compared once more."""
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
-    )
-    near = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("near"))
-    further = near.select(F.col("node").alias("near"), F.col("near").alias("label"))
-    return near.join(further, "near").select("node", "label")
-
-
 def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id, kept`` per row; one document of each class is kept."""
     given = docs.select(
@@ -273,20 +265,28 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     members = stage(
-        buckets.join(shared.filter("low < high").select("key"), "key"), "members"
+        buckets.join(shared.filter("low < high").select("key"), "key").withColumn(
+            "component", F.col("node")
+        ),
+        "members",
     )
     least = int(round(threshold * 1_000_000))
     links = None
     while True:
+        # the smallest member, and one by a hash that varies over a few kinds of
+        # buckets: members that one leader misses meet others in other buckets
+        chance = F.xxhash64("node", F.pmod("key", F.lit(LEADERS)))
         leaders = members.groupBy("key").agg(
-            F.min(F.struct("node", "words")).alias("low"), F.max(F.struct("node", "words")).alias("high")
+            F.min(F.struct("node", "words", "component")).alias("low"),
+            F.min(F.struct(chance, "node", "words", "component")).alias("high"),
         )
-        met = members.join(leaders.filter("low.node < high.node"), "key")
+        met = members.join(leaders, "key")
         pairs = None
         for side in ("low", "high"):
             lead = F.col(f"{side}.words")
             close = F.least("words", lead) * 1_000_000 >= F.greatest("words", lead) * least
-            part = met.filter((F.col("node") != F.col(f"{side}.node")) & close).select(
+            apart = F.col("component") != F.col(f"{side}.component")
+            part = met.filter(apart & close).select(
                 F.greatest("node", f"{side}.node").alias("a"), F.least("node", f"{side}.node").alias("b")
             )
             pairs = part if pairs is None else pairs.unionByName(part)
@@ -302,16 +302,19 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if new.isEmpty():
             break
         links = new if links is None else links.unionByName(new)
-        named = members.join(_labels(links), "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
+        classes = stage(components(links), "classes").withColumnRenamed("component", "class")
+        named = members.join(classes, "node", "left").withColumn(
+            "component", F.coalesce("class", "node")
         )
         ends = named.groupBy("key").agg(
-            F.min(F.struct("node", "label")).alias("low"), F.max(F.struct("node", "label")).alias("high")
+            F.min(F.struct("node", "component")).alias("low"),
+            F.min(F.struct(chance, "node", "component")).alias("high"),
         )
         rest = named.join(ends, "key").filter(
-            (F.col("label") != F.col("low.label")) & (F.col("label") != F.col("high.label"))
+            (F.col("component") != F.col("low.component"))
+            & (F.col("component") != F.col("high.component"))
         )
-        members = stage(rest.select("node", "words", "key"), "members")
+        members = stage(rest.select("node", "words", "key", "component"), "members")
         if members.isEmpty():
             break
     edges = same if links is None else same.unionByName(links)
