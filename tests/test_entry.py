@@ -7,6 +7,8 @@ from compare import compare, connect
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from entry_oracles import ORACLES
+from entry_queries import QUERIES
 
 # One query per family on every run; CIVITAS_ALL=1 compares all of them.
 CHOSEN = (
@@ -15,7 +17,7 @@ CHOSEN = (
     "check_fk delta_gate publish_generation build_views refresh_views busca_estabelecimento "
     "by_full_id run_finish"
 ).split()
-KEYS = list(entry.queries()) if os.environ.get("CIVITAS_ALL") else CHOSEN
+KEYS = list(QUERIES) if os.environ.get("CIVITAS_ALL") else CHOSEN
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +26,8 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 146
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) >= 150
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
