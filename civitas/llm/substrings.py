@@ -416,32 +416,33 @@ def _span_row(block: int, first, last, rows, offsets) -> pa.RecordBatch:
 def trim(contexts: list[tuple[int, bytes]]) -> list[tuple[int, int]]:
     """Of each (anchor place, text) the part that another can share, as (from, to).
 
-    A window holds half of its further bytes left of the anchor or the other
-    half right of it, so contexts that share a window agree on one half.
+    Contexts of one anchor lie over each other at it.  What two share reaches
+    from it as far left and right as they agree, so sorted neighbours bound the
+    part for each side.  Where an anchor has several places in a context, nothing
+    is cut off.
     """
-    half = (WINDOW - GRAM) // 2
-    sides: list[tuple] = []
-    seen: dict[tuple[int, bytes], int] = {}
-    for anchor, text in contexts:
-        left = right = None
-        if anchor >= 0:
-            if anchor >= half:
-                left = (0, text[anchor - half : anchor + GRAM])
-                seen[left] = seen.get(left, 0) + 1
-            if len(text) - anchor - GRAM >= WINDOW - GRAM - half + 1:
-                right = (1, text[anchor : anchor + WINDOW - half + 1])
-                seen[right] = seen.get(right, 0) + 1
-        sides.append((left, right))
-    out = []
-    for (anchor, text), (left, right) in zip(contexts, sides, strict=True):
-        low, high = 0, len(text)
-        if anchor >= 0:
-            if left is None or seen[left] < 2:
-                low = max(0, anchor - half + 1)
-            if right is None or seen[right] < 2:
-                high = min(len(text), anchor - half + WINDOW)
-        out.append((low, high))
-    return out
+    if any(anchor < 0 for anchor, _ in contexts):
+        return [(0, len(text)) for _, text in contexts]
+    left = _agreed([text[:anchor][::-1] for anchor, text in contexts])
+    right = _agreed([text[anchor + GRAM :] for anchor, text in contexts])
+    return [
+        (anchor - before, anchor + GRAM + after)
+        for (anchor, _), before, after in zip(contexts, left, right, strict=True)
+    ]
+
+
+def _agreed(sides: list[bytes]) -> list[int]:
+    """For each string the longest prefix that another one has as well."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    longest = [0] * len(sides)
+    for one, other in zip(order, order[1:], strict=False):
+        a, b = sides[one], sides[other]
+        size = min(len(a), len(b))
+        differing = int.from_bytes(a[:size], "big") ^ int.from_bytes(b[:size], "big")
+        same = size - (differing.bit_length() + 7) // 8
+        longest[one] = max(longest[one], same)
+        longest[other] = max(longest[other], same)
+    return longest
 
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
