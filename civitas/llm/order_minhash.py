@@ -4,15 +4,21 @@ A text is its lower-case words; its grams of five words are labelled with their
 occurrence number.  A sketch takes the ``LENGTH`` labelled grams with the
 smallest hashes and keeps them in text order, so that it agrees for two texts
 about as often as they are close in edit distance.  Texts that share a sketch
-are candidates: each is compared with the first of its bucket and one by chance, by
-banded alignment of the words; those that neither leader's class took in form
-the next round's buckets, where only texts of different classes are compared,
-until a round finds no link.  Classes are connected
-components.
+are candidates, compared by banded alignment of the words.
+
+1. Rounds with leaders join most texts cheaply: each is compared with the first
+   of its bucket and one by chance; those that neither leader's class took in
+   form the next round's buckets, until a round links few of its pairs.
+2. Then all members of all buckets that hold several classes meet in full.  Bags
+   of hashed words bound the edit distance from below; every pair of two classes
+   that length and bags leave possible, and that no round compared, is aligned.
+
+So each pair that shares a sketch is in one class or was ruled out exactly.
+Classes are connected components.
 
 Equal texts are one text from the start.  Buckets are never gathered: leaders
-come from aggregates, and pairs are a join, so that a bucket with a third of all
-texts is spread by adaptive execution.
+come from aggregates, pairs are a join, and a large bucket meets as pairs of
+blocks of ``BLOCK`` members.
 
 Defined results: null text is empty; texts without words link only to equal
 texts; rows that share a ``doc_id`` are one document and one class; a null
@@ -44,8 +50,13 @@ SLICE = 1 << 16
 LEADERS = 4
 #: Edits up to which the band alone decides.
 NARROW = 24
+#: Counters in a bag of words, and members of a bucket that meet in one piece.
+BAG = 256
+BLOCK = 2048
+#: Rounds with leaders end when they link less than one in so many pairs.
+SPARSE = 20
 
-_SKETCHED = "doc_id long, text_key string, words long, keys array<long>"
+_SKETCHED = "doc_id long, text_key string, words long, keys array<long>, bag binary"
 _PRIMES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -209,18 +220,135 @@ def similar(a: str, b: str, threshold: float = THRESHOLD) -> bool:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        keys, counts = [], []
+        keys, counts, bags = [], [], []
         for text in batch.column(2):
             words = text.as_py().lower().split()
             values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
             keys.append(sketch(grams(values)))
             counts.append(len(words))
+            bags.append(bag(values).tobytes())
         yield pa.record_batch(
-            [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "text_key", "words", "keys"],
+            [
+                batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
+                pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.binary()),
+            ],
+            names=["doc_id", "text_key", "words", "keys", "bag"],
         )
 
 
+def bag(words: np.ndarray) -> np.ndarray:
+    """How often words fall on each counter.  Words that share one, and counters
+    that are full, only bring texts closer."""
+    counts = np.bincount((words % np.uint64(BAG)).astype(np.int64), minlength=BAG)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def possible_pairs(
+    words: np.ndarray, classes: np.ndarray, sides: np.ndarray, bags: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (places) of different classes that lengths and bags don't rule out.
+
+    An edit takes one word off and adds one at most, so the distance is at least
+    what either bag has more than the other.  ``sides``: the blocks of the
+    members; those of two blocks meet across only.
+    """
+    least = int(round(threshold * 1_000_000))
+    order = np.argsort(words, kind="stable")
+    words, classes, sides = words[order], classes[order], sides[order]
+    bags = bags[order].astype(np.float32)
+    ones, total = np.ones(bags.shape[1], np.float32), bags.sum(axis=1)
+    most = ((1 - threshold) * words + 1e-9).astype(np.int64)
+    stop = np.searchsorted(words * least, words * 1_000_000, side="right")
+    across = len(sides) > 0 and sides.min() != sides.max()
+    left, right = [], []
+    for i in range(len(words)):
+        open_ = classes[i + 1 : stop[i]] != classes[i]
+        if across:
+            open_ &= sides[i + 1 : stop[i]] != sides[i]
+        j = np.flatnonzero(open_) + i + 1
+        if not len(j):
+            continue
+        shared = np.minimum(bags[i], bags[j]) @ ones
+        j = j[np.maximum(total[i], total[j]) - shared <= most[j]]
+        left.append(np.full(len(j), i))
+        right.append(j)
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return order[np.concatenate(left)], order[np.concatenate(right)]
+
+
+GROUP = ["key", "low", "high"]
+
+
+def _possible(threshold: float):
+    """Takes rows sorted by block pair; whole block pairs are worked on."""
+
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, words, component, salt = (
+            rows.column(c).to_numpy() for c in ("node", "words", "component", "salt")
+        )
+        groups = np.stack([rows.column(c).to_numpy() for c in GROUP])
+        bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+        cuts = np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1
+        for start, stop in zip([0, *cuts], [*cuts, len(node)], strict=True):
+            part = slice(start, stop)
+            i, j = possible_pairs(words[part], component[part], salt[part], bags[part], threshold)
+            for at in range(0, len(i), SLICE):
+                x, y = node[part][i[at : at + SLICE]], node[part][j[at : at + SLICE]]
+                yield pa.record_batch([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            groups = np.stack([batch.column(c).to_numpy() for c in GROUP])
+            last = np.flatnonzero((groups != groups[:, -1:]).any(axis=0))
+            whole = int(last[-1]) + 1 if len(last) else 0
+            if held and (whole or tuple(groups[:, 0]) != tuple(held[-1].column(c)[0].as_py() for c in GROUP)):
+                if whole:
+                    held.append(batch.slice(0, whole))
+                yield from work(pa.Table.from_batches(held))
+                held = []
+            elif whole:
+                yield from work(pa.Table.from_batches([batch.slice(0, whole)]))
+            held.append(batch.slice(whole))
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    return possible
+
+
+def _left_pairs(members: DataFrame, bags: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a, b) of different classes in a bucket that may be similar, maybe repeated."""
+    sets = members.groupBy("key").agg(
+        F.count("*").alias("members"),
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+        F.bit_xor(F.xxhash64("node")).alias("set"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("set2"),
+    )
+    # buckets of the same texts meet once
+    several = (
+        sets.filter("least < most").groupBy("members", "set", "set2").agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.col("members") / block).cast("long").alias("salts"))
+    )
+    placed = (
+        members.join(several, "key")
+        .withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+        .withColumn("low", F.least("salt", "other"))
+        .withColumn("high", F.greatest("salt", "other"))
+        .select("node", "words", "component", "salt", *GROUP)
+    )
+    return (
+        placed.join(bags, "node")
+        .repartition(parts(members), *GROUP)
+        .sortWithinPartitions(*GROUP)
+        .mapInArrow(_possible(threshold), "a long, b long")
+    )
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The (a, b) pairs whose texts are similar."""
 
@@ -242,7 +370,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     )
 
 
-def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _texts_of(pairs: DataFrame, given: DataFrame) -> DataFrame:
+    """Texts of candidates only; one row per text, or its first where an id repeats."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    return stage(
+        given.join(wanted.distinct(), F.col("doc_id") == F.col("node"), "left_semi")
+        .groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")),
+        "texts",
+    )
+
+
+def near_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """``doc_id, class_id, kept`` per row; one document of each class is kept."""
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text")
@@ -254,7 +392,8 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     # equal texts: the smallest id stands for all, the others are tied to it
     units = sketched.groupBy("text_key").agg(
-        F.min("doc_id").alias("node"), F.first("words").alias("words"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("node"), F.first("words").alias("words"), F.first("keys").alias("keys"),
+        F.first("bag").alias("bag"),
     )
     same = (
         sketched.select("doc_id", "text_key").join(units.select("text_key", "node"), "text_key")
@@ -271,7 +410,7 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "members",
     )
     least = int(round(threshold * 1_000_000))
-    links = None
+    every, links, tried, classes = members, None, None, None
     while True:
         # the smallest member, and one by a hash that varies over a few kinds of
         # buckets: members that one leader misses meet others in other buckets
@@ -291,17 +430,13 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             )
             pairs = part if pairs is None else pairs.unionByName(part)
         pairs = stage(pairs.distinct(), "pairs")
-        # texts of candidates only; one row per text, or its first where an id repeats
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        texts = stage(
-            given.join(wanted.distinct(), F.col("doc_id") == F.col("node"), "left_semi")
-            .groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")),
-            "texts",
-        )
-        new = stage(_verified(pairs, texts, threshold), "links")
-        if new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = stage(_verified(pairs, _texts_of(pairs, given), threshold), "links")
+        linked = new.count()
+        if linked:
+            links = new if links is None else links.unionByName(new)
+        if not linked or linked * SPARSE < pairs.count():
+            break  # the full meeting below compares the rest
         classes = stage(components(links), "classes").withColumnRenamed("component", "class")
         named = members.join(classes, "node", "left").withColumn(
             "component", F.coalesce("class", "node")
@@ -317,8 +452,19 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         members = stage(rest.select("node", "words", "key", "component"), "members")
         if members.isEmpty():
             break
-    edges = same if links is None else same.unionByName(links)
-    final = components(edges)
+    # what the leaders left: classes that share a bucket meet in full
+    if classes is not None:
+        every = every.drop("component").join(
+            classes.withColumnRenamed("class", "component"), "node", "left"
+        ).withColumn("component", F.coalesce("component", "node"))
+    left = stage(
+        _left_pairs(every, units.select("node", "bag"), threshold, block)
+        .distinct().join(tried, ["a", "b"], "left_anti"),
+        "pairs",
+    )
+    new = stage(_verified(left, _texts_of(left, given), threshold), "links")
+    links = new if links is None else links.unionByName(new)
+    final = components(same.unionByName(links))
     return (
         given.select("doc_id")
         .join(final, F.col("doc_id") == F.col("node"), "left")

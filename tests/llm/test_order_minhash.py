@@ -2,7 +2,19 @@ import random
 
 import numpy as np
 
-from civitas.llm.order_minhash import GRAM, bit_distance, edit_distance, grams, near_texts, similar, sketch
+from civitas.llm.order_minhash import (
+    BAG,
+    GRAM,
+    WordHashes,
+    bag,
+    bit_distance,
+    edit_distance,
+    grams,
+    near_texts,
+    possible_pairs,
+    similar,
+    sketch,
+)
 from tests_llm_plain import classes, plain_distance
 
 
@@ -62,3 +74,56 @@ def test_edges(spark):
     assert sorted((r.doc_id, r.class_id) for r in near_texts(frame).collect()) == [(1, 1), (1, 1), (2, 2), (3, 2)]
     assert near_texts(frame.limit(0)).count() == 0
     assert similar("A b", "a B") and not similar("a", "b")
+
+
+def test_bags_rule_out_no_similar_pair():
+    chance, hashes = random.Random(5), WordHashes()
+    texts = [[f"w{chance.randrange(40)}" for _ in range(chance.randint(1, 60))] for _ in range(30)]
+    texts += [["of"] * 400, ["of"] * 350 + ["to"] * 50]
+    for words in list(texts):
+        copy = list(words)
+        for _ in range(chance.randint(0, len(copy) // 5)):
+            copy[chance.randrange(len(copy))] = "new"
+        texts.append(copy)
+    bags = np.stack([bag(np.array([hashes[w] for w in t], np.uint64)) for t in texts])
+    assert bags.shape[1] == BAG
+    size, n = np.array([len(t) for t in texts]), len(texts)
+    for sides in (np.zeros(n, int), np.arange(n) % 2):
+        got = possible_pairs(size, np.arange(n), sides, bags, 0.8)
+        got = {frozenset(p) for p in zip(*(x.tolist() for x in got), strict=True)}
+        for i in range(n):
+            for j in range(i):
+                if similar(" ".join(texts[i]), " ".join(texts[j])) and (sides[i] != sides[j] or not sides.any()):
+                    assert {i, j} in got
+        assert len(got) < n * n / 4
+
+
+def test_members_that_no_leader_reaches(spark):
+    chance = random.Random(7)
+    vocabulary = [f"w{n}" for n in range(5000)]
+    texts = []
+    # copies edited at different places; the original's id is not the smallest
+    for group in range(3):
+        words = chance.choices(vocabulary, k=100)
+        texts.append((100 * group + 50, " ".join(words)))
+        for c in range(24):
+            at = c * 85 // 23
+            copy = words[:at] + chance.choices(vocabulary, k=15) + words[at + 15 :]
+            texts.append((100 * group + c, " ".join(copy)))
+    # versions that drift, in no order of ids
+    words, ids = chance.choices(vocabulary, k=80), list(range(1000, 1030))
+    chance.shuffle(ids)
+    for number, at in zip(ids, [n * 37 % 70 for n in range(30)], strict=True):
+        words = words[:at] + chance.choices(vocabulary, k=10) + words[at + 10 :]
+        texts.append((number, " ".join(words)))
+    # a bucket crowded by a shared passage
+    passage = chance.choices(vocabulary, k=70)
+    for d in range(40):
+        own = chance.choices(vocabulary, k=30)
+        texts.append((2000 + d, " ".join(passage + own)))
+        if d % 4 == 3:
+            texts.append((2100 + d, " ".join(passage + own[:25] + chance.choices(vocabulary, k=5))))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    expected = classes(texts)
+    for block in (2048, 7):
+        assert {r.doc_id: r.class_id for r in near_texts(frame, block=block).collect()} == expected
