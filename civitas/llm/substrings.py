@@ -164,14 +164,18 @@ class Block:
         size = (last - first + WINDOW).astype(np.uint64)
         prints = mix((sums[last + WINDOW - 7] - sums[first]) * back[first] + mix(size))
         anchor = np.full(len(first), NO_ANCHOR, np.uint8)
-        open_ = np.arange(len(first))
-        for step in range(WINDOW - GRAM + 1):
-            at = last[open_] + step
-            inside = at <= first[open_] + WINDOW - GRAM
+        # none where the anchor has several places; one place is in all windows
+        open_ = np.flatnonzero(last - first <= WINDOW - GRAM)
+        seen = np.zeros(len(first), bool)
+        for step in range(2 * (WINDOW - GRAM) + 1):
+            at = first[open_] + step
+            inside = at <= last[open_] + WINDOW - GRAM
             open_, at = open_[inside], at[inside]
             found = self.hashed[at] == keys[open_]
-            anchor[open_[found]] = at[found] - first[open_[found]]
-            open_ = open_[~found]
+            hit, again = open_[found], found & seen[open_]
+            anchor[hit] = np.where(seen[hit], NO_ANCHOR, step)
+            seen[hit] = True
+            open_ = open_[~again]
         columns = [
             keys, prints, first.astype("<u4"), last.astype("<u4"), rows.astype("<u4"), anchor,
         ]

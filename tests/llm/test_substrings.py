@@ -81,3 +81,21 @@ def test_trim_keeps_every_shared_window():
             inside = {t[i : i + WINDOW] for i in range(low, high - WINDOW + 1)}
             shared = {w for w in has[n] if any(w in has[m] and contexts[m] != contexts[n] for m in range(len(contexts)) if m != n)}
             assert shared <= inside
+
+
+def test_passages_with_periodic_runs(spark):
+    chance = random.Random(11)
+    letters = lambda n: "".join(chance.choices("abcdefghijklmnop ", k=n))
+    rows = []
+    for n in range(400):
+        run = chance.choice(["0, ", "..", "- ", "no no ", "_", "ab"])
+        run = run * (chance.randint(17, 30) // len(run))
+        left = chance.randint(10, 30)
+        passage = letters(left) + run + letters(max(0, chance.randint(50, 80) - left - len(run)))
+        # one document goes on with the run's pattern or repeats it further off
+        for d in range(2):
+            tail = run if chance.random() < 0.3 else ""
+            rows.append((2 * n + d, letters(40) + passage + tail + letters(40)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text) for r in remove_repeats(frame).collect()]
+    assert sorted(got, key=str) == brute(rows)
