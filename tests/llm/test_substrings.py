@@ -89,13 +89,28 @@ def test_passages_with_periodic_runs(spark):
     rows = []
     for n in range(400):
         run = chance.choice(["0, ", "..", "- ", "no no ", "_", "ab"])
-        run = run * (chance.randint(17, 30) // len(run))
-        left = chance.randint(10, 30)
-        passage = letters(left) + run + letters(max(0, chance.randint(50, 80) - left - len(run)))
-        # one document goes on with the run's pattern or repeats it further off
+        run *= 40
+        # the passage ends inside the run, which one document carries further
+        passage = letters(chance.randint(34, 45)) + run[: chance.randint(16, 22)]
+        inside = len(passage) - passage.index(run[:16])
         for d in range(2):
-            tail = run if chance.random() < 0.3 else ""
-            rows.append((2 * n + d, letters(40) + passage + tail + letters(40)))
+            more = run[inside : inside + chance.randint(1, 12)] if d else ""
+            rows.append((2 * n + d, letters(40) + passage + more + letters(40)))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text) for r in remove_repeats(frame).collect()]
     assert sorted(got, key=str) == brute(rows)
+
+
+def test_anchor_has_one_place_in_its_context():
+    chance = random.Random(2)
+    letters = lambda n: "".join(chance.choices("abcdefghijklmnop ", k=n))
+    data = "".join(letters(30) + chance.choice(["0, ", "..", "no "]) * 9 + letters(30) for _ in range(500)).encode()
+    row = substrings.Block(np.array([1]), np.array([len(data)]), data)
+    made = row.contexts(0, np.arange(len(row.first))).to_pylist()[0]
+    places = np.frombuffer(made["anchors"], np.uint8)
+    assert (places != substrings.NO_ANCHOR).any()
+    for first, last, place in zip(row.first.tolist(), row.last.tolist(), places.tolist()):
+        if place != substrings.NO_ANCHOR:
+            text = data[first : last + WINDOW]
+            gram = text[place : place + substrings.GRAM]
+            assert sum(text.startswith(gram, n) for n in range(len(text))) == 1
