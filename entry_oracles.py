@@ -712,7 +712,9 @@ _add(
     f"""SELECT cnpj_basico,
     CASE WHEN {_FORM_BAD} THEN '2062' ELSE cod_natureza_juridica END AS cod_natureza_juridica,
     CASE WHEN {_CAPITAL_BAD} THEN 1234.56::DECIMAL(16,2)
-         ELSE replace(replace(capital_social, '.', ''), ',', '.')::DECIMAL(16,2) END AS capital_social
+         WHEN capital_social LIKE '%,%'
+         THEN replace(replace(capital_social, '.', ''), ',', '.')::DECIMAL(16,2)
+         ELSE capital_social::DECIMAL(16,2) END AS capital_social
     FROM empresa_file WHERE {_FORM_BAD} OR {_CAPITAL_BAD}""",
 )
 _add(

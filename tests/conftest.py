@@ -9,8 +9,6 @@ for folder in (ROOT, ROOT / "tools"):
     if str(folder) not in sys.path:
         sys.path.insert(0, str(folder))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,12 +27,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def values(frame, *columns):
-    """Rows as a sorted list of tuples, NULL first."""
-    chosen = frame.select(*columns) if columns else frame
-    return sorted(
-        (tuple(r) for r in chosen.collect()),
-        key=lambda row: tuple((v is not None, str(v)) for v in row),
-    )

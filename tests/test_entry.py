@@ -4,7 +4,7 @@ import os
 
 import pytest
 from compare import compare, connect
-from conftest import SMALL
+from frames import SMALL
 
 import __spark_entry__ as entry
 from entry_oracles import ORACLES

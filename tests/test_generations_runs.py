@@ -5,7 +5,7 @@ import hashlib
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from frames import values
 from pyspark.sql import functions as F
 
 from civitas.operators import generations as g

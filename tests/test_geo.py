@@ -3,7 +3,7 @@
 import itertools
 
 import pytest
-from conftest import values
+from frames import values
 from pyspark.sql import functions as F
 
 from civitas.model.specs import spec

@@ -8,7 +8,7 @@ import zipfile
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from frames import values
 from pyspark.sql import functions as F
 
 from civitas.functions.text import empty_to_null

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from frames import values
 from pyspark.sql import functions as F
 from test_ingest import make_zip
 

@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import values
+from frames import values
 from pyspark.sql import functions as F
 
 from civitas.model.source import FrameSource

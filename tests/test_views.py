@@ -12,7 +12,7 @@ import re
 import duckdb
 import pytest
 from compare import rows_of
-from conftest import values
+from frames import values
 from pyspark.sql import functions as F
 
 from civitas.model.source import FrameSource
