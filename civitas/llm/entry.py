@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civitas.llm import chat, warc
+from civitas.llm import chat, hard_negatives, license_scan, resampling, warc
 from civitas.llm.common import read, stage
 from civitas.llm.embeddings import near_vectors
 from civitas.llm.order_minhash import near_texts
@@ -103,3 +103,27 @@ def op9_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op11_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_digest(license_scan.scan(read(spark, sf_dir, "documents")))
+
+
+ORACLES["op11_license_diagonals"] = license_scan.ORACLE
+
+
+@query
+def op12_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_strassen_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op13_importance_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_importance_radix"] = resampling.ORACLE
