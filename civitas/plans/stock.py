@@ -45,6 +45,10 @@ def stats_estado(est: DataFrame, states: DataFrame, anchor: dt.date) -> DataFram
     counts = _territory_counts(
         est.filter(F.col("cod_estado_ibge").isNotNull()), ["cod_estado_ibge"], anchor
     )
+    return named_states(counts, states, anchor)
+
+
+def named_states(counts: DataFrame, states: DataFrame, anchor: dt.date) -> DataFrame:
     names = states.select("cod_estado_ibge", "sigla_uf", "nome_estado", "cod_regiao_ibge")
     return counts.join(names, "cod_estado_ibge").withColumn("mes_ancora", F.lit(anchor))
 
@@ -62,6 +66,12 @@ def stats_municipio(
         F.min(opened).alias("primeira_abertura"),
         F.max(opened).alias("ultima_abertura"),
     )
+    return named_cities(counts, cities, states, anchor)
+
+
+def named_cities(
+    counts: DataFrame, cities: DataFrame, states: DataFrame, anchor: dt.date
+) -> DataFrame:
     return (
         counts.join(cities.select("cod_cidade_ibge", "nome_cidade"), "cod_cidade_ibge")
         .join(states.select("cod_estado_ibge", "sigla_uf", "cod_regiao_ibge"), "cod_estado_ibge")

@@ -1222,6 +1222,13 @@ _add(
         for n in sorted(_VIEW_NAMES, key=lambda n: n not in _REFRESHED)
     ),
 )
+for _key, _view in (
+    ("refresh_changed_territory", "mv_stats_municipio"),
+    ("refresh_changed_series", "mv_abertura_periodo"),
+    ("refresh_changed_companies", "mv_regime_tributario_cidade"),
+    ("refresh_changed_ranking", "mv_top_cnaes_cidade"),
+):
+    _add(_key, f"SELECT * FROM {_view}")
 _BASE = (
     "cnae motivo municipio_rfb natureza_juridica pais qualificacao_socio ibge_regiao ibge_estado "
     "ibge_cidade empresa estabelecimento simples socio estabelecimento_cnae_sec"

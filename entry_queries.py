@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from civitas.functions import indicators, text, values
 from civitas.functions.text import empty_to_null
 from civitas.model.driver_tables import DriverTables
-from civitas.model.source import FrameSource, PathSource
+from civitas.model.source import FrameSource, OverlaySource, PathSource
 from civitas.model.specs import TABLES, spec
 from civitas.operators import generations, patches, quality, search
 from civitas.operators import runs as runs_
@@ -25,7 +25,7 @@ from civitas.operators.quarantine import (
     split_valid,
 )
 from civitas.operators.search import SEARCH_READS, build_search_table
-from civitas.plans import anchor, graph, lookups
+from civitas.plans import anchor, graph, incremental, lookups
 from civitas.plans.graph import VIEWS, Build
 from civitas.scratch import fresh_path
 from civitas.sources import files, sinks
@@ -895,6 +895,63 @@ def _(t):
     return report.drop("duration_seconds")
 
 
+def older_tables(t):
+    """The generation before: rows not there yet, rows since removed, others unlike."""
+    est = t.table("estabelecimento", ("cnpj_completo", *incremental.READS["estabelecimento"]))
+    number = F.col("cnpj_completo").cast("long")
+    removed = est.filter(number % 70 == 3).withColumn(
+        "data_inicio_atividade", F.lit(dt.date(1994, 1, 1))
+    )
+    unlike = number % 40 == 1
+    est = est.filter(number % 50 != 0).withColumns(
+        {
+            "cod_situacao_cadastral": F.when(unlike, "01").otherwise(F.col("cod_situacao_cadastral")),
+            "cod_cnae_principal": F.when(unlike, "0000011").otherwise(F.col("cod_cnae_principal")),
+        }
+    )
+    root = F.col("cnpj_basico").cast("int")
+    companies = t.table("empresa", incremental.READS["empresa"]).withColumn(
+        "cod_porte", F.when(root % 90 == 0, "05").otherwise(F.col("cod_porte"))
+    )
+    simples = t.table("simples", incremental.READS["simples"]).filter(root % 80 != 5)
+    return OverlaySource(
+        t,
+        FrameSource({"estabelecimento": est.unionByName(removed), "empresa": companies, "simples": simples}),
+    )
+
+
+def refreshed(t, name: str) -> DataFrame:
+    """One view of the tables, merged from that of the generation before."""
+    old, now = older_tables(t), graph.anchor_of(t)
+    stored, target = fresh_path(t.spark, "views"), fresh_path(t.spark, "views")
+    only = [graph.file_name(name)]
+    incremental.build_first(t.spark, old, stored, only, anchor.month_add(now, -1), FLOOR)
+    merged = incremental.refresh_changed(t.spark, old, t, stored, target, only, now, FLOOR)
+    if name not in merged:
+        raise RuntimeError(f"{name} was built in full")
+    return t.spark.read.parquet(f"{target}/{name}")
+
+
+@query("refresh_changed_territory")
+def _(t):
+    return refreshed(t, "mv_stats_municipio")
+
+
+@query("refresh_changed_series")
+def _(t):
+    return refreshed(t, "mv_abertura_periodo")
+
+
+@query("refresh_changed_companies")
+def _(t):
+    return refreshed(t, "mv_regime_tributario_cidade")
+
+
+@query("refresh_changed_ranking")
+def _(t):
+    return refreshed(t, "mv_top_cnaes_cidade")
+
+
 @query("table_stats")
 def _(t):
     return graph.table_stats(t, TABLES)
