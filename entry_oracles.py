@@ -1129,6 +1129,12 @@ _add(
 # -- generations -------------------------------------------------------------------
 
 _add("delta_counts", "SELECT * FROM delta")
+_add("delta_counts_stored", "SELECT * FROM delta")
+_add(
+    "bucket_digests",
+    """SELECT (total_vigente + novas - removidas)::BIGINT AS novas_linhas,
+    total_vigente::BIGINT AS vigentes, novas + removidas + alteradas > 0 AS diferem FROM delta""",
+)
 _add(
     "delta_gate",
     f"""SELECT *, round({_DELTA_PCT}, 3)::DECIMAL(9,3) AS delta_pct, {_DELTA_PCT} <= 25 AS aprovado

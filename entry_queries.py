@@ -13,7 +13,7 @@ from civitas.functions.text import empty_to_null
 from civitas.model.driver_tables import DriverTables
 from civitas.model.source import FrameSource, OverlaySource, PathSource
 from civitas.model.specs import TABLES, spec
-from civitas.operators import generations, patches, quality, search
+from civitas.operators import digests, generations, patches, quality, search
 from civitas.operators import runs as runs_
 from civitas.operators.geo import add_geo, geo_dimensions
 from civitas.operators.ingest import derive_establishment, explode_secondary, transform_table
@@ -730,6 +730,22 @@ def _(t):
     return generations.generation_delta(*two_generations(t))
 
 
+@query("delta_counts_stored")
+def _(t):
+    root = fresh_path(t.spark, "geracoes")
+    for name, frame in zip(("nova", "vigente"), two_generations(t), strict=True):
+        digests.write_digested(frame, f"{root}/{name}", "busca_estabelecimento", buckets=16)
+    return digests.stored_delta(t.spark, f"{root}/nova", f"{root}/vigente", "busca_estabelecimento")
+
+
+@query("bucket_digests")
+def _(t):
+    new, current = (digests.bucket_digests(f, "cnpj_completo", "row_hash", 64) for f in two_generations(t))
+    return new.agg(F.sum("linhas").alias("novas_linhas")).crossJoin(
+        current.agg(F.sum("linhas").alias("vigentes"))
+    ).withColumn("diferem", F.lit(len(digests.differing_buckets(new, current)) > 0))
+
+
 @query("delta_gate")
 def _(t):
     gate = generations.delta_gate(generations.generation_delta(*two_generations(t)))

@@ -175,3 +175,26 @@ def test_sanity_checks_find_planted_faults(spark):
         "cod_situacao_cadastral string, data_situacao_cadastral date")
     series = spark.range(1).select(F.lit(3).cast("bigint").alias("baixas"))
     assert quality.sanity_closings(series, base).first() == (3, 1, 2)
+
+
+def test_foreign_keys_read_each_child_once(spark):
+    from civitas.model.source import FrameSource
+    from civitas.model.specs import ForeignKey, TableSpec, text
+
+    part = TableSpec("part", "P", (text("id"),), ("id",))
+    child = TableSpec("child", "C", (text("a"), text("b")), (), (ForeignKey("a", "part", "id"), ForeignKey("b", "part", "id")))
+    rows = [("1", "1")] * 50 + [("2", None), ("9", "3"), (None, "3")]
+    frames = {
+        "part": spark.createDataFrame([("1",), ("1",), ("2",), (None,)], "id string"),
+        "child": spark.createDataFrame(rows, "a string, b string"),
+    }
+    loads = []
+
+    class Watched(FrameSource):
+        def load(self, name, columns):
+            loads.append(name)
+            return super().load(name, columns)
+
+    got = quality.check_fk(Watched(frames), {"part": part, "child": child})
+    assert values(got) == [("child", "a", "part", 1), ("child", "b", "part", 2)]
+    assert sorted(loads) == ["child", "part"]
