@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -46,45 +47,100 @@ _ARROW = pa.schema(
     + [("ids", pa.binary())]
 )
 
-# A blank between two white-space characters does not begin a pre-token.
-_BLANK_IN_RUN = re.compile(r"\s \s")
-_TOKENIZERS: dict[str, tuple] = {}
+# Letters, numbers and white space of Latin, Greek, Cyrillic and
+# general punctuation.  All of these were assigned long ago, so every version of
+# Unicode sorts them alike.
+_LETTERS = (
+    r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u0233\u0391-\u03a1\u03a3-\u03f5\u03f7-\u0481\u048a-\u04ff"
+)
+_NUMBERS = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACES = r"\t-\r \x85\xa0\u2000-\u200a"
+_SETTLED = re.compile(
+    rf"[\x00-\u0233{_LETTERS}\u03f6\u2000-\u2027\u2030-\u205e\u20ac\u2122]*"
+).fullmatch
+# Fixed value: the pre-token pattern of byte-level BPE, over these characters.
+_PRE_TOKENS = re.compile(
+    rf"'(?:[sdmt]|ll|ve|re)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
+    rf"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+).findall
+#: Characters of texts that are looked up together.
+TOGETHER = 1 << 20
+_ENCODERS: dict[str, Encoder] = {}
+
+
+class Encoder:
+    """Texts to their ids as little-endian bytes.
+
+    Byte-level BPE never merges across pre-tokens, so a text is looked up one by
+    one of these and only unseen ones reach the tokenizer, those of many texts in
+    one call.  Texts with characters outside ``_SETTLED`` or with an added token
+    go there as a whole.
+    """
 
+    def __init__(self, path: str):
+        import os
 
-def encoder(path: str):
-    """A function from texts to their ids as little-endian bytes.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    Byte-level BPE never merges across pre-tokens and a pre-token begins at
-    every blank that touches a non-blank, so a text is looked up blank by blank
-    and only unseen stretches reach the tokenizer.
-    """
-    import os
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.seen: dict[str, bytes] = {}
+
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        if len(self.seen) > CACHE_ENTRIES:
+            self.seen.clear()
+        get, out, late, new = self.seen.get, [], [], {}
+        for text in texts:
+            if any(a in text for a in self.added) or not (text.isascii() or _SETTLED(text)):
+                out.append(self._ids([text])[0])
+                continue
+            pieces = _PRE_TOKENS(text)
+            found = list(map(get, pieces))
+            if None in found:
+                # looked up again: the holes alone, not the whole text
+                holes = [(n, pieces[n]) for n, f in enumerate(found) if f is None]
+                new.update(dict.fromkeys(p for _, p in holes))
+                late.append((len(out), found, holes))
+                out.append(b"")
+            else:
+                out.append(b"".join(found))
+        if new:
+            self.seen.update(zip(new, self._ids(list(new)), strict=True))
+            for at, found, holes in late:
+                for n, piece in holes:
+                    found[n] = self.seen[piece]
+                out[at] = b"".join(found)
+        return out
 
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {})
-    tokenizer, seen = _TOKENIZERS[path]
 
-    def ids_of(encoding) -> bytes:
-        return np.asarray(encoding.ids, dtype="<u4").tobytes()
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker; its cache outlives the task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
-    def encode(text: str) -> bytes:
-        if _BLANK_IN_RUN.search(text):
-            return ids_of(tokenizer.encode(text, add_special_tokens=False))
-        stretches = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-        if len(seen) > CACHE_ENTRIES:
-            seen.clear()
-        found = list(map(seen.get, stretches))
-        if None in found:
-            new = list({s for s, f in zip(stretches, found, strict=True) if f is None})
-            encoded = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            seen.update(zip(new, map(ids_of, encoded), strict=True))
-            found = map(seen.__getitem__, stretches)
-        return b"".join(found)
 
-    return encode
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts in groups of about ``TOGETHER`` characters."""
+    for batch in batches:
+        docs, texts, size = [], [], 0
+        for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+            docs.append(doc.as_py())
+            texts.append(text.as_py())
+            size += len(texts[-1])
+            if size >= TOGETHER:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+        if docs:
+            yield docs, texts
 
 
 class Packer:
@@ -228,10 +284,9 @@ def pack(
         part = TaskContext.get().partitionId()
         encode = encoder(tokenizer)
         packer = Packer(window, open_windows, least_cut, part << 32)
-        for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
-                packer.add(doc.as_py(), 0, ids, len(ids) // 4)
+        for docs, texts in _together(batches):
+            for doc, ids in zip(docs, encode.many(texts), strict=True):
+                packer.add(doc, 0, ids + end, len(ids) // 4 + 1)
             yield _batch(packer.take(), None)
         yield _batch([r for rows in packer.held.values() for r in rows], part)
 
