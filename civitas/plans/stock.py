@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civitas.plans import distinct
 from civitas.plans.anchor import NEW_WINDOWS
 from civitas.plans.rollups import (
     BRANCH,
@@ -31,20 +32,37 @@ def _territory_counts(est: DataFrame, keys: list[str], anchor: dt.date, *extra)
     state with a third of all rows does not land in one task.
     """
     return est.groupBy(*keys).agg(
+        F.count_distinct("cnpj_basico").alias("total_empresas"), *_counts(anchor), *extra
+    )
+
+
+COUNTED = (
+    "total_estabelecimentos", "ativos", "matrizes_ativas", "filiais_ativas", *NEW_WINDOWS
+)
+
+
+def _counts(anchor: dt.date) -> list:
+    """The counts of a territory that add up."""
+    return [
         F.count("*").alias("total_estabelecimentos"),
         F.count_if(is_active()).alias("ativos"),
         F.count_if(is_active() & is_head_office()).alias("matrizes_ativas"),
         F.count_if(is_active() & (F.col("matriz_filial") == BRANCH)).alias("filiais_ativas"),
-        F.count_distinct("cnpj_basico").alias("total_empresas"),
-        *extra,
         *new_counts(anchor),
-    )
+    ]
 
 
-def stats_estado(est: DataFrame, states: DataFrame, anchor: dt.date) -> DataFrame:
-    counts = _territory_counts(
-        est.filter(F.col("cod_estado_ibge").isNotNull()), ["cod_estado_ibge"], anchor
-    )
+def stats_estado(
+    est: DataFrame, states: DataFrame, anchor: dt.date, by_bitmaps: bool = False
+) -> DataFrame:
+    """``by_bitmaps``: companies as merged bitmaps, for a base sorted by root."""
+    keys, located = ["cod_estado_ibge"], est.filter(F.col("cod_estado_ibge").isNotNull())
+    if by_bitmaps:
+        counts = distinct.companies_in(
+            distinct.company_bitmaps(located, keys, *_counts(anchor)), keys, *_sums(*COUNTED)
+        )
+    else:
+        counts = _territory_counts(located, keys, anchor)
     return named_states(counts, states, anchor)
 
 

@@ -1228,6 +1228,15 @@ _add(
         for n in sorted(_VIEW_NAMES, key=lambda n: n not in _REFRESHED)
     ),
 )
+_add(
+    "companies_by_territory",
+    """SELECT cod_regiao_ibge, cod_estado_ibge, 'estado' AS nivel,
+    count(DISTINCT cnpj_basico) AS total_empresas, count(*) AS total_estabelecimentos
+    FROM estabelecimento WHERE cod_regiao_ibge IS NOT NULL AND cod_estado_ibge IS NOT NULL GROUP BY 1, 2
+    UNION ALL SELECT cod_regiao_ibge, NULL, 'regiao', count(DISTINCT cnpj_basico), count(*)
+    FROM estabelecimento WHERE cod_regiao_ibge IS NOT NULL AND cod_estado_ibge IS NOT NULL GROUP BY 1""",
+)
+_add("stats_estado_bitmaps", "SELECT * FROM mv_stats_estado")
 for _key, _view in (
     ("refresh_changed_territory", "mv_stats_municipio"),
     ("refresh_changed_series", "mv_abertura_periodo"),

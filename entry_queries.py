@@ -25,7 +25,7 @@ from civitas.operators.quarantine import (
     split_valid,
 )
 from civitas.operators.search import SEARCH_READS, build_search_table
-from civitas.plans import anchor, graph, incremental, lookups
+from civitas.plans import anchor, distinct, graph, incremental, lookups, stock
 from civitas.plans.graph import VIEWS, Build
 from civitas.scratch import fresh_path
 from civitas.sources import files, sinks
@@ -1105,6 +1105,19 @@ def _(t):
     return lookups.per_state(t.table("estabelecimento", columns), t.table("ibge_estado"))
 
 
+@query("companies_by_territory")
+def _(t):
+    columns = ("cnpj_basico", "cod_regiao_ibge", "cod_estado_ibge")
+    return distinct.region_and_state(t.table("estabelecimento", columns))
+
+
+@query("stats_estado_bitmaps")
+def _(t):
+    build = build_of(t)
+    columns = ("cnpj_basico", "cod_estado_ibge", "cod_situacao_cadastral", "matriz_filial", "data_inicio_atividade")
+    return stock.stats_estado(build.est(*columns), build.dim("ibge_estado"), build.anchor, by_bitmaps=True)
+
+
 @query("per_city_geo")
 def _(t):
     columns = ("cod_cidade_ibge", "cod_situacao_cadastral")
