@@ -1275,6 +1275,33 @@ _add(
     AND cod_cnae_principal = '0000009' AND cod_situacao_cadastral = '02'
     ORDER BY cnpj_completo LIMIT 51 OFFSET 1""",
 )
+_add(
+    "search_stored_page",
+    """SELECT cnpj_completo, cod_cidade_ibge, cod_cnae_principal, cod_situacao_cadastral
+    FROM estabelecimento WHERE cod_cidade_ibge = 100
+    AND cod_cnae_principal = '0000009' AND cod_situacao_cadastral = '02'
+    ORDER BY cnpj_completo LIMIT 1 OFFSET 1""",
+)
+_add(
+    "page_directory",
+    """SELECT cod_cidade_ibge, cod_cnae_principal, (place - 1) // 5 AS pagina, cnpj_completo AS primeiro
+    FROM (SELECT *, row_number() OVER (
+            PARTITION BY cod_cidade_ibge, cod_cnae_principal ORDER BY cnpj_completo) AS place
+          FROM estabelecimento WHERE cod_cidade_ibge IS NOT NULL AND cod_cnae_principal IS NOT NULL) r
+    WHERE (place - 1) % 5 = 0""",
+)
+_add(
+    "name_prefix_counts",
+    """SELECT prefixo, count(*) AS total FROM (
+      SELECT razao_social, unnest(range(1, length(razao_social) + 1)) AS n,
+        substr(razao_social, 1, n) AS prefixo, substr(razao_social, 1, n - 1) AS parent FROM empresa
+      WHERE razao_social <> '') p
+    WHERE n = 1 OR parent IN (
+      SELECT substr(razao_social, 1, k) FROM (
+        SELECT razao_social, unnest(range(1, length(razao_social) + 1)) AS k FROM empresa) q
+      GROUP BY 1 HAVING count(*) > 20)
+    GROUP BY 1""",
+)
 _add(
     "search_keyset_page",
     """SELECT cnpj_completo, cod_estado_ibge, cod_situacao_cadastral FROM estabelecimento

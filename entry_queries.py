@@ -13,7 +13,7 @@ from civitas.functions.text import empty_to_null
 from civitas.model.driver_tables import DriverTables
 from civitas.model.source import FrameSource, OverlaySource, PathSource
 from civitas.model.specs import TABLES, spec
-from civitas.operators import digests, generations, patches, quality, search
+from civitas.operators import digests, generations, pages, patches, quality, search
 from civitas.operators import runs as runs_
 from civitas.operators.geo import add_geo, geo_dimensions
 from civitas.operators.ingest import derive_establishment, explode_secondary, transform_table
@@ -1007,6 +1007,27 @@ def _(t):
     )
 
 
+@query("search_stored_page")
+def _(t):
+    path = f"{fresh_path(t.spark, 'paginas')}/busca"
+    columns = ("cnpj_completo", "cod_cidade_ibge", "cod_cnae_principal", "cod_situacao_cadastral")
+    active = t.table("estabelecimento", columns).filter("cod_situacao_cadastral = '02'")
+    pages.write_pages(active, path, size=1)
+    return pages.read_page(t.spark, path, (100, "0000009"), 1)
+
+
+@query("page_directory")
+def _(t):
+    path = f"{fresh_path(t.spark, 'paginas')}/busca"
+    pages.write_pages(t.table("estabelecimento", ("cnpj_completo", *pages.LISTING)), path, size=5)
+    return t.spark.read.parquet(path + pages.DIRECTORY)
+
+
+@query("name_prefix_counts")
+def _(t):
+    return pages.prefix_counts(t.table("empresa", ("razao_social",)), "razao_social", crowded=20)
+
+
 @query("search_keyset_page")
 def _(t):
     est = t.table("estabelecimento", ("cnpj_completo", "cod_estado_ibge", "cod_situacao_cadastral"))
