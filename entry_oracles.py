@@ -921,6 +921,16 @@ _add(
     '24417449', '24539162', '30721933', '30728066', '30760363', '30847991', '30857441',
     '30886793', '30972017')""",
 )
+_add(
+    "patch_all_values",
+    f"""SELECT 'estabelecimento' AS "table", nullif({_PADDED}, '0') AS value, count(*) AS n
+    FROM estabelecimento GROUP BY 2
+    UNION ALL SELECT 'empresa', CASE WHEN cod_porte = '' THEN '00' ELSE cod_porte END,
+      count(DISTINCT cnpj_basico) FROM empresa GROUP BY 2
+    UNION ALL SELECT 'pais', cod_pais, count(*) FROM (
+      SELECT cod_pais FROM pais_completo UNION ALL SELECT cod_pais FROM paises_usados
+      WHERE cod_pais NOT IN (SELECT cod_pais FROM pais_completo)) p GROUP BY 2""",
+)
 _add(
     "patch_all",
     """SELECT * FROM (
@@ -1082,9 +1092,11 @@ _add(
 )
 _add(
     "check_views_present",
-    """SELECT 'mv_stats_estado' AS "view", count(*) = 0 AS empty FROM mv_stats_estado
-    UNION ALL SELECT 'mv_stats_cnae_estado', count(*) = 0 FROM mv_stats_cnae_estado
-    UNION ALL SELECT 'vazia', TRUE""",
+    " UNION ALL ".join(
+        f"""SELECT '{n}' AS "view", count(*) = 0 AS empty FROM {n}"""
+        for n in _CTES
+        if n.startswith("mv_") and not n.endswith("_2000")
+    ),
 )
 _add(
     "check_count_match",

@@ -598,6 +598,18 @@ def _(t):
     return patches.drop_keys(t.table("simples"), "cnpj_basico", listed)
 
 
+@query("patch_all_values")
+def _(t):
+    names = ("pais", "qualificacao_socio", "motivo", "estabelecimento", "empresa", "simples", "socio")
+    patched = patches.apply_patches({n: t.table(n) for n in names})
+    est = patched["estabelecimento"].groupBy("cod_pais").agg(F.count("*").alias("n"))
+    sizes = patched["empresa"].groupBy("cod_porte").agg(F.count("*").alias("n"))
+    known = patched["pais"].select("cod_pais", F.lit(1).cast("bigint").alias("n"))
+    rows = [("estabelecimento", est), ("empresa", sizes), ("pais", known)]
+    parts = [f.select(F.lit(n).alias("table"), F.col(f.columns[0]).alias("value"), "n") for n, f in rows]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("patch_all")
 def _(t):
     names = ("pais", "qualificacao_socio", "motivo", "estabelecimento", "empresa", "simples", "socio")
@@ -661,10 +673,9 @@ def _(t):
 
 @query("check_views_present")
 def _(t):
-    build = build_of(t)
-    views = {n: VIEWS[n].build(build) for n in ("mv_stats_estado", "mv_stats_cnae_estado")}
-    views["vazia"] = views["mv_stats_estado"].filter("total_estabelecimentos < 0")
-    return quality.check_views(views)
+    target = fresh_path(t.spark, "views")
+    graph.build_views(t.spark, t, target, floor=FLOOR)
+    return quality.check_views({n: t.spark.read.parquet(f"{target}/{n}") for n in VIEWS})
 
 
 @query("check_count_match")

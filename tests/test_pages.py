@@ -60,12 +60,12 @@ def test_a_deep_page_reads_one_range(spark, stored, tmp_path):
     assert "GreaterThanOrEqual(cnpj_completo" in plan and "LessThan(cnpj_completo" in plan
     ids = [r["cnpj_completo"] for r in page.collect()]
     holding = spark.read.parquet(f"{tmp_path}/copy").filter(F.col("cnpj_completo").isin(ids))
-    files = {r[0].removeprefix("file://") for r in holding.select("_metadata.file_path").distinct().collect()}
+    files = {r[0].rsplit("/", 1)[1] for r in holding.select("_metadata.file_path").distinct().collect()}
     every = list((tmp_path / "copy").glob("*.parquet"))
     assert len(files) <= 2 < len(every)
     want = values(page)
     for file in every:
-        if str(file) not in files:
+        if file.name not in files:
             file.unlink()
     assert values(pages.read_page(spark, f"{tmp_path}/copy", (1, "a"), 80)) == want and len(want) == 7
 
