@@ -19,6 +19,7 @@ from civitas.functions.values import is_distinct
 from civitas.operators.digests import stored_delta
 from civitas.operators.quality import MINIMUM_ESTABLISHMENTS, check_row_floor, check_views
 from civitas.plans.graph import VIEWS
+from civitas.sources.versions import Versions
 
 # Fixed value: highest share of changed rows that still publishes, in percent.
 MAX_DELTA_PCT = 25.0
@@ -216,42 +217,21 @@ class GenerationStore:
     """Pointer and cycle table of the generations under one root folder.
 
     ``<root>/_ciclos`` holds the cycles, ``<root>/_vigente`` one row naming the
-    served generation.  A change writes a new version, one file that appears by
-    one rename, and nothing is ever moved or removed: an interrupted change
-    leaves the version before it in force, and the history whole.
+    served generation.  Both are ``Versions``: a change is a new version that one
+    writer alone can claim, and nothing is ever moved or removed, so an
+    interrupted change leaves the version before it in force, and two writers
+    lose none of their changes.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _versions(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(
-                f"{self.root}/{name}"
-            )
-        except AnalysisException as failure:
-            # no folder yet, or no version that was completed
-            if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return None
-
-    @staticmethod
-    def _latest(versions: DataFrame | None) -> int:
-        found = None if versions is None else versions.agg(F.max("versao")).first()[0]
-        return -1 if found is None else found
+    def _table(self, name: str) -> Versions:
+        return Versions(self.spark, f"{self.root}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        versions = self._versions(name)
-        latest = self._latest(versions)
-        if latest < 0:
-            return self.spark.createDataFrame([], schema)
-        return versions.filter(F.col("versao") == latest).drop("versao")
-
-    def _put(self, name: str, frame: DataFrame) -> None:
-        """Write the next version; two writers of one version can't both succeed."""
-        number = self._latest(self._versions(name)) + 1
-        # a few rows at most: one per load, or one
-        frame.coalesce(1).write.parquet(f"{self.root}/{name}/versao={number}")
+        found = self._table(name).read()
+        return self.spark.createDataFrame([], schema) if found is None else found
 
     def cycles(self) -> DataFrame:
         return self._read("_ciclos", CYCLE_SCHEMA)
@@ -262,26 +242,32 @@ class GenerationStore:
 
     def record(self, load_id: str, stage: str, **fields) -> None:
         """Set the stage and extra fields of a load, on first sight as well."""
-        values = {
+        given = {
             "load_id": load_id,
             "schema_nome": generation_name(load_id),
             "etapa": stage,
             **fields,
         }
-        known = self.cycles()
-        if known.filter(F.col("load_id") == load_id).isEmpty():
-            values.setdefault("iniciado_em", dt.datetime.now())
-        names = [f for f in known.schema.fieldNames() if f in values]
-        schema = "load_id string, " + ", ".join(
-            f"{n} {known.schema[n].dataType.simpleString()}" for n in names if n != "load_id"
-        )
-        rows = [tuple(values[n] for n in ["load_id", *[n for n in names if n != "load_id"]])]
-        self._put("_ciclos", upsert_cycle(known, self.spark.createDataFrame(rows, schema)))
+
+        def change(known: DataFrame | None) -> DataFrame:
+            if known is None:
+                known = self.spark.createDataFrame([], CYCLE_SCHEMA)
+            values = dict(given)
+            if known.filter(F.col("load_id") == load_id).isEmpty():
+                values.setdefault("iniciado_em", dt.datetime.now())
+            names = [f for f in known.schema.fieldNames() if f in values]
+            schema = "load_id string, " + ", ".join(
+                f"{n} {known.schema[n].dataType.simpleString()}" for n in names if n != "load_id"
+            )
+            row = tuple(values[n] for n in ["load_id", *[n for n in names if n != "load_id"]])
+            # a few rows: one per load
+            return upsert_cycle(known, self.spark.createDataFrame([row], schema)).coalesce(1)
+
+        self._table("_ciclos").put(change)
 
     def point_to(self, generation: str) -> None:
-        self._put(
-            "_vigente", self.spark.createDataFrame([(generation,)], "schema_nome string")
-        )
+        named = self.spark.createDataFrame([(generation,)], "schema_nome string").coalesce(1)
+        self._table("_vigente").put(lambda _: named)
 
     def serve(self, database: str, names: Iterable[str]) -> None:
         """Views of a serving database over the tables of the current generation."""
@@ -312,7 +298,7 @@ class GenerationStore:
 
     def adopt(self, cycles: DataFrame, served: str) -> None:
         """Take over a history and the generation it serves."""
-        self._put("_ciclos", cycles)
+        self._table("_ciclos").put(lambda _: cycles.coalesce(1))  # one row per load
         self.point_to(served)
 
     def publish(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civitas.model.specs import TABLES, spec
+from civitas.sources.versions import Versions
 
 
 def write_table(
@@ -89,6 +90,29 @@ def build_and_swap(df: DataFrame, target: str, expect_rows: int | None = None) -
     return spark.read.parquet(target)
 
 
+def build_version(df: DataFrame, target: str, expect_rows: int | None = None) -> DataFrame:
+    """The next version of the table under ``target``, checked before it counts.
+
+    Unlike the switch of folders there is no moment without a table, and of two
+    writers at once both versions are kept, the later in force; readers open
+    ``read_version``.
+    """
+
+    def check(stored: DataFrame) -> None:
+        if expect_rows is not None and (found := stored.count()) != expect_rows:
+            raise CountMismatch(f"{target}: {found} rows built, {expect_rows} expected")
+
+    Versions(df.sparkSession, target).put(lambda _: df, check)
+    return read_version(df.sparkSession, target)
+
+
+def read_version(spark: SparkSession, target: str) -> DataFrame:
+    found = Versions(spark, target).read()
+    if found is None:
+        raise FileNotFoundError(f"{target} has no version")
+    return found
+
+
 def _hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)

@@ -734,6 +734,7 @@ _add(
     FROM estabelecimento_cnae_sec""",
 )
 _add("sink_build_and_swap", "SELECT * FROM busca_estabelecimento")
+_add("sink_version", "SELECT * FROM busca_estabelecimento")
 _add(
     "manifest_diff",
     """SELECT coalesce(l.filename, r.filename) AS filename, l.size_bytes AS local_bytes,

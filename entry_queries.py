@@ -262,6 +262,13 @@ def _(t):
     )
 
 
+@query("sink_version")
+def _(t):
+    target, table = f"{fresh_path(t.spark, 'versoes')}/busca", search_table(t)
+    sinks.build_version(table.limit(3), target, 3)
+    return sinks.build_version(table, target)
+
+
 @query("sink_build_and_swap")
 def _(t):
     target = fresh_path(t.spark, "busca")
