@@ -1288,6 +1288,12 @@ _add(
     AND cod_cnae_principal = '0000009' AND cod_situacao_cadastral = '02'
     ORDER BY cnpj_completo LIMIT 51 OFFSET 1""",
 )
+_add(
+    "search_curve_layout",
+    """SELECT cnpj_completo, cod_cidade_ibge, cod_cnae_principal, cod_situacao_cadastral,
+    data_inicio_atividade FROM estabelecimento WHERE cod_cnae_principal = '0000009'
+    AND cod_situacao_cadastral = '02' AND data_inicio_atividade >= DATE '1996-03-01'""",
+)
 _add(
     "search_stored_page",
     """SELECT cnpj_completo, cod_cidade_ibge, cod_cnae_principal, cod_situacao_cadastral

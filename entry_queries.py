@@ -13,7 +13,7 @@ from civitas.functions.text import empty_to_null
 from civitas.model.driver_tables import DriverTables
 from civitas.model.source import FrameSource, OverlaySource, PathSource
 from civitas.model.specs import TABLES, spec
-from civitas.operators import digests, generations, pages, patches, quality, search
+from civitas.operators import digests, generations, layout, pages, patches, quality, search
 from civitas.operators import runs as runs_
 from civitas.operators.geo import add_geo, geo_dimensions
 from civitas.operators.ingest import derive_establishment, explode_secondary, transform_table
@@ -1025,6 +1025,16 @@ def _(t):
     )
 
 
+@query("search_curve_layout")
+def _(t):
+    path = f"{fresh_path(t.spark, 'curva')}/busca"
+    columns = ("cod_cidade_ibge", "cod_cnae_principal", "cod_situacao_cadastral", "data_inicio_atividade")
+    layout.write_curve(t.table("estabelecimento", ("cnpj_completo", *columns)), path, columns, files=16)
+    return search.search(
+        t.spark.read.parquet(path), cnae="0000009", status="02", opened_from=dt.date(1996, 3, 1)
+    )
+
+
 @query("search_stored_page")
 def _(t):
     path = f"{fresh_path(t.spark, 'paginas')}/busca"
