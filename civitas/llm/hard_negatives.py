@@ -5,9 +5,9 @@ of its candidates with tiles of the block by Strassen's recursion on int64,
 padded with zeros to even sides, so every score is exact.  Each anchor keeps a
 heap of its best positives; heaps of tiles are merged inside a task and those of
 tasks by rank.  With the positives known, a second pass fills one heap of
-negatives for each (anchor, positive) window in the same way.  Candidates are
-never shuffled and pairs never leave a task: per task and anchor at most
-``k`` rows do, and ``k * k`` in the second pass.
+negatives for each (anchor, positive) window in the same way.  Candidates move
+once, to find rows of one id, and pairs never leave a task: per task and anchor
+at most ``k`` rows do, and ``k * k`` in the second pass.
 
 Defined results: rows with a null id, label or vector, or a null or non-finite
 component, take no part.  Of several rows with one id, that with the smallest
