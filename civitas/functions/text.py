@@ -67,6 +67,53 @@ SPECIAL_LETTERS = {
 }
 
 
+# Signs and what they are spelled as.
+SPECIAL_SIGNS = {
+    "¡": "!",
+    "©": "(C)",
+    "ª": "a",
+    "«": "<<",
+    "®": "(R)",
+    "±": "+/-",
+    "º": "o",
+    "»": ">>",
+    "¼": " 1/4",
+    "½": " 1/2",
+    "¾": " 3/4",
+    "¿": "?",
+    "×": "*",
+    "÷": "/",
+    "‐": "-",
+    "‑": "-",
+    "‒": "-",
+    "–": "-",
+    "—": "-",
+    "―": "-",
+    "‘": "'",
+    "’": "'",
+    "‚": ",",
+    "‛": "'",
+    "“": '"',
+    "”": '"',
+    "„": ",,",
+    "‥": "..",
+    "…": "...",
+    "‹": "<",
+    "›": ">",
+    "⁄": "/",
+    "№": "No",
+    "℃": "°C",
+    "℉": "°F",
+    "ﬀ": "ff",
+    "ﬁ": "fi",
+    "ﬂ": "fl",
+    "ﬃ": "ffi",
+    "ﬄ": "ffl",
+    "ﬅ": "st",
+    "ﬆ": "st",
+}
+
+
 def _marked_letters() -> dict[str, str]:
     """Accented capitals of the Latin-1, Extended-A and Vietnamese blocks."""
     found = {}
@@ -78,17 +125,22 @@ def _marked_letters() -> dict[str, str]:
     return found
 
 
-_MARKED = _marked_letters()
-_ONE_TO_ONE = {**_MARKED, **{k: v for k, v in SPECIAL_LETTERS.items() if len(v) == 1}}
-_ONE_TO_MANY = {k: v for k, v in SPECIAL_LETTERS.items() if len(v) > 1}
+FOLDED = {**_marked_letters(), **SPECIAL_LETTERS, **SPECIAL_SIGNS}
+_ONE_TO_ONE = {k: v for k, v in FOLDED.items() if len(v) == 1}
+_ONE_TO_MANY = {k: v for k, v in FOLDED.items() if len(v) > 1}
 
 
 def normalize_name(col: Column) -> Column:
-    """Upper case without accents; the form names are stored and searched in."""
+    """Upper case without accents, signs spelled out; names are stored and searched so.
+
+    One letter for another is one pass for all of them.  Texts holding a character
+    that becomes several are taken apart once and every character is looked up.
+    """
     out = F.translate(F.upper(col), "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
-    for letter, spelled in _ONE_TO_MANY.items():
-        out = F.replace(out, F.lit(letter), F.lit(spelled))
-    return out
+    spelled = F.create_map(*[F.lit(x) for pair in _ONE_TO_MANY.items() for x in pair])
+    chars = F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(spelled, c), c))
+    rare = "[" + "".join(_ONE_TO_MANY) + "]"
+    return F.when(F.rlike(out, F.lit(rare)), F.array_join(chars, "")).otherwise(out)
 
 
 def pad_code(col: Column, width: int, only_len: int) -> Column:

@@ -72,8 +72,8 @@ def load_month(
 
     Returns the load metrics and the archives of unknown stems.  Raw rows are
     first written as Parquet to the shared folder: each archive is unpacked
-    once however many tables it feeds, and one long single-task member is read
-    back in even splits.
+    once however many tables it feeds.  The task that inflates a member only cuts
+    it into blocks; ``spread`` tasks (all cores by default) parse them.
     """
     routes, unknown = _routes(spark, folder)
     quarantine = quarantine or f"{root}/{QUARANTINE}"
@@ -83,7 +83,8 @@ def load_month(
         layout_table = "estabelecimento" if "estabelecimento" in targets else next(iter(targets))
         staged = fresh_path(spark, f"raw-{stem}")
         layout = spec(layout_table).file_schema
-        read_zip_csv(spark, sorted(paths), layout, spread=spread, on_error=on_error).write.parquet(
+        tasks = spread or spark.sparkContext.defaultParallelism
+        read_zip_csv(spark, sorted(paths), layout, spread=tasks, on_error=on_error).write.parquet(
             staged
         )
         raw = spark.read.parquet(staged)

@@ -134,6 +134,25 @@ def test_normalize_name(spark):
     ]
 
 
+def test_normalize_name_folds_every_mapped_character(spark):
+    """Alone, between letters, and all in one text, against a reading of the table."""
+    mapped = text.FOLDED
+    items = [*mapped, *[f"x{c}y{c}" for c in mapped], "".join(mapped), "1ª LOJA «½ m²» – S…", "", " "]
+
+    def plain(value):
+        upper = "".join(c if c in mapped else c.upper() for c in value)
+        return "".join(mapped.get(c, c) for c in upper)
+
+    # the capital of these is a letter of its own or several letters
+    changed = [c for c in mapped if c.upper() != c]
+    assert changed == ["ı", "ﬀ", "ﬁ", "ﬂ", "ﬃ", "ﬄ", "ﬅ", "ﬆ"]
+    for c in changed:
+        items = [i for i in items if c not in i]
+    assert apply(spark, items, text.normalize_name) == [plain(i) for i in items]
+    assert apply(spark, changed, text.normalize_name) == ["I", "FF", "FI", "FL", "FFI", "FFL", "ST", "ST"]
+    assert apply(spark, ["1ª LOJA «½ m²»"], text.normalize_name) == ["1a LOJA << 1/2 M²>>"]
+
+
 def test_pad_code(spark):
     items = ["23", " 3", "105", "0", None, "7 "]
     assert apply(spark, items, lambda c: text.pad_code(c, 3, 2)) == [

@@ -63,6 +63,46 @@ def test_large_member_is_streamed_in_batches(spark, tmp_path):
     )
 
 
+# quoted line breaks, doubled quotes, empty and missing cells, quotes inside cells
+AWKWARD = (
+    '"1";"a\nb"\n"2";"c ""d"" e"\n\n3;\n;\n"";""\n4;5" tube;x\n"5";"f"g;h"\n \n"6"\r\n'
+    '7; "i"\n"8";"j;k\r\nl"\n"9";"""m"""\n10;"ção"\n""""""\n"11";"\n\n;"";\n"\n'
+)
+
+
+@pytest.mark.parametrize("block_chars", [1, 7, 40, 1 << 20])
+@pytest.mark.parametrize("tail", ["", "last;one", '12;"left open\n13;x'])
+def test_blocks_parse_like_the_csv_module(spark, tmp_path, block_chars, tail):
+    """Wherever the borders of blocks fall, also within quotes."""
+    content = AWKWARD * 3 + tail
+    with zipfile.ZipFile(tmp_path / "Cnaes.zip", "w") as archive:
+        archive.writestr("a", content.encode("latin1"))
+    frame = read_zip_csv(
+        spark, f"{tmp_path}/Cnaes.zip", spec("cnae").file_schema, spread=3, block_chars=block_chars
+    )
+    got = [tuple(r) for r in frame.orderBy("_line").drop("_source_file", "_member").collect()]
+    rows = csv.reader(io.StringIO(content, newline=None), delimiter=";")
+    assert got == [
+        ((*row, None, None)[0], (*row, None, None)[1], number, len(row))
+        for number, row in enumerate(rows, 1)
+    ]
+
+
+def test_blocks_are_parsed_after_they_are_dealt_out(spark, tmp_path):
+    """One member, several parsing tasks; no cell passes through Python on the way."""
+    rows = [(f"{i:07d}", "nome; com\nquebra" if i % 3 == 0 else f"nome {i}") for i in range(20_000)]
+    make_zip(tmp_path / "Cnaes.zip", {"a": rows})
+    frame = read_zip_csv(
+        spark, f"{tmp_path}/Cnaes.zip", spec("cnae").file_schema, spread=4, block_chars=20_000
+    )
+    sizes = frame.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and sum(r[1] for r in sizes) == 20_000
+    assert sorted(tuple(r) for r in frame.select("cod_cnae", "nome_cnae").collect()) == rows
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") + plan.count("csvtostructs") == 1
+    assert plan.index("csv") < plan.index("Repartition 4")
+
+
 def test_spread_keeps_rows(spark, tmp_path):
     make_zip(tmp_path / "Cnaes.zip", {"a": HEALTHY})
     frame = read_zip_csv(spark, f"{tmp_path}/Cnaes.zip", spec("cnae").file_schema, spread=5)
