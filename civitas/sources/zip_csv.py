@@ -31,15 +31,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 FORMAT = "zip_csv"
 BLOCK_CHARS = 1 << 20
 CSV_ROWS = 200
-NO_RECORDS = pa.array([], pa.string())
-NO_CELLS = pa.array([], pa.list_(pa.string()))
 BLOCK = T.StructType(
     [
         T.StructField("_source_file", T.StringType()),
         T.StructField("_member", T.StringType()),
         T.StructField("first", T.LongType()),
         T.StructField("records", T.ArrayType(T.StringType())),
-        T.StructField("cells", T.ArrayType(T.ArrayType(T.StringType()))),
     ]
 )
 PROVENANCE = T.StructType(
@@ -83,7 +80,7 @@ class ZipCsvReader(DataSourceReader):
     A block starts outside quotes.  Where each quote opens or closes a cell, the
     parity of the quotes before a line break tells whether it ends a record, so
     borders come from a scan of bytes.  Records with quotes elsewhere (``5" x``)
-    go through the csv module, cell by cell.
+    are read by the csv module and written again with all their cells quoted.
     """
 
     def __init__(self, schema: T.StructType, options: dict):
@@ -109,18 +106,17 @@ class ZipCsvReader(DataSourceReader):
         name = partition.archive.rsplit("/", 1)[-1]
         first = 1
         try:
-            for records, cells in self._blocks(partition):
-                yield self._batch(name, partition.member, first, records, cells)
-                first += len(records) + len(cells)
+            for records in self._blocks(partition):
+                yield self._batch(name, partition.member, first, records)
+                first += len(records)
         except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, csv.Error):
             if self.on_error != "quarantine":
                 raise
-            # neither a record nor cells: marks the file
-            damaged = pa.array([None], pa.string())
-            yield self._batch(name, partition.member, first, damaged, NO_CELLS)
+            # a record that is NULL marks the file
+            yield self._batch(name, partition.member, first, pa.array([None], pa.string()))
 
-    def _blocks(self, partition: Member) -> Iterator[tuple[pa.Array, pa.Array]]:
-        """Records as text, or records as lists of cells, in the order of the file."""
+    def _blocks(self, partition: Member) -> Iterator[pa.Array]:
+        """Records in the order of the file."""
         system, path = _open_fs(partition.archive)
         with (
             system.open_input_file(path) as handle,
@@ -136,14 +132,15 @@ class ZipCsvReader(DataSourceReader):
                     data += chunk.encode()
                 ends = record_ends(data, self.sep, ended)
                 if len(ends):
-                    yield _text_records(data, ends), NO_CELLS
+                    yield _text_records(data, ends)
                     data = data[ends[-1] :]
                 elif data:
                     rows, data = self._through_csv(data, text)
-                    yield NO_RECORDS, pa.array(rows, NO_CELLS.type)
+                    yield pa.array(rows, pa.string())
 
-    def _through_csv(self, data: bytes, text: io.TextIOWrapper) -> tuple[list[list[str]], bytes]:
-        """Up to ``CSV_ROWS`` records from the start of ``data``, and what is left.
+    def _through_csv(self, data: bytes, text: io.TextIOWrapper) -> tuple[list[str], bytes]:
+        """Up to ``CSV_ROWS`` records from the start of ``data``, all cells quoted,
+        and what is left.
 
         The csv module asks for a line at a time, so once it has given a record
         everything it was not handed still lies ahead.
@@ -163,18 +160,17 @@ class ZipCsvReader(DataSourceReader):
 
         rows = []
         for row in csv.reader(lines(), delimiter=self.sep):
-            rows.append(row)
+            rows.append(self.sep.join('"' + cell.replace('"', '""') + '"' for cell in row))
             if len(rows) == CSV_ROWS or at >= len(data):
                 break
         return rows, data[at:]
 
-    def _batch(self, archive, member, first, records, cells) -> pa.RecordBatch:
+    def _batch(self, archive, member, first, records) -> pa.RecordBatch:
         arrays = [
             pa.array([archive], pa.string()),
             pa.array([member], pa.string()),
             pa.array([first], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records),
-            pa.ListArray.from_arrays(pa.array([0, len(cells)], pa.int32()), cells),
         ]
         return pa.RecordBatch.from_arrays(arrays, names=BLOCK.fieldNames())
 
@@ -258,33 +254,25 @@ def read_zip_csv(
 def _parsed(blocks: DataFrame, names: list[str], sep: str) -> DataFrame:
     """One row per record of the blocks."""
     records = blocks.select(
-        "_source_file", "_member", "first", F.posexplode(F.arrays_zip("records", "cells"))
+        "_source_file", "_member", "first", F.posexplode("records").alias("pos", "record")
     ).select(
         "_source_file",
         "_member",
         (F.col("first") + F.col("pos")).alias("_line"),
-        F.rtrim(F.col("col.records"), F.lit("\n")).alias("record"),
-        F.col("col.cells").alias("cells"),
+        F.rtrim("record", F.lit("\n")).alias("record"),
     )
     layout = ", ".join(f"c{i} string" for i in range(len(names)))
-    options = {"sep": sep, "quote": '"', "escape": '"'}
-    counted = records.select(
+    parsed = records.select(
         "*",
-        F.from_csv("record", layout, options).alias("parsed"),
-        F.when(F.col("record").isNotNull(), _field_count(F.col("record"), sep))
-        .when(F.col("cells").isNotNull(), F.size("cells"))
-        .otherwise(-1)
-        .alias("_fields"),
+        F.from_csv("record", layout, {"sep": sep, "quote": '"', "escape": '"'}).alias("cells"),
+        F.coalesce(_field_count(F.col("record"), sep), F.lit(-1)).alias("_fields"),
     )
     # unquoted empty cells are NULL to from_csv, like those that are not there
     values = [
-        F.when(
-            F.col("_fields") > i,
-            F.coalesce(F.get("cells", F.lit(i)), F.col("parsed")[f"c{i}"], F.lit("")),
-        ).alias(name)
+        F.coalesce(f"cells.c{i}", F.when(F.col("_fields") > i, "")).alias(name)
         for i, name in enumerate(names)
     ]
-    return counted.select(*values, *PROVENANCE.fieldNames())
+    return parsed.select(*values, *PROVENANCE.fieldNames())
 
 
 def _field_count(record: Column, sep: str) -> Column:
