@@ -129,14 +129,19 @@ def _features(text: str) -> tuple[np.ndarray, tuple[float, float, float]]:
     words = text.lower().split()
     distinct = set(words)
     ids = [f for w in sorted(distinct) for f in word_features(w)]
-    return np.asarray(ids, np.int64), shape(text, len(words), len(distinct))
+    return np.asarray(ids, np.int32), shape(text, len(words), len(distinct))
 
 
 def fit_chain(texts: list[str], labels: np.ndarray, folds: int = FOLDS) -> list[Link]:
     """Links for the columns of ``labels`` (NaN: not labelled) in order."""
     made = [_features(t) for t in texts]
-    ids = [m[0] for m in made]
     dense = np.asarray([m[1] for m in made], float).reshape(len(made), SHAPES)
+    return _fit_features([m[0] for m in made], dense, labels, folds)
+
+
+def _fit_features(
+    ids: list[np.ndarray], dense: np.ndarray, labels: np.ndarray, folds: int = FOLDS
+) -> list[Link]:
     links = []
     for target in labels.T:
         known = np.flatnonzero(~np.isnan(target))
@@ -148,8 +153,8 @@ def fit_chain(texts: list[str], labels: np.ndarray, folds: int = FOLDS) -> list[
         links.append(fitted(known))
         if len(links) == labels.shape[1]:
             break
-        outside = np.zeros(len(texts))
-        fold = np.arange(len(texts)) % folds
+        outside = np.zeros(len(ids))
+        fold = np.arange(len(ids)) % folds
         for f in range(folds):
             rows = np.flatnonzero(fold == f)
             link = fitted(known[fold[known] != f])
@@ -176,7 +181,10 @@ class _Weights(dict):
 def train(
     docs: DataFrame, labels: DataFrame, categories: Sequence[str], sample: int = SAMPLE
 ) -> list[Link]:
-    """Fit the chain on at most ``sample`` labelled documents."""
+    """Fit the chain on at most ``sample`` labelled documents.
+
+    Texts stay in the tasks; the driver gets four bytes a feature.
+    """
     wanted = [F.max(F.col(c).cast("double")).alias(c) for c in categories]
     chosen = (
         labels.filter("doc_id is not null")
@@ -187,19 +195,37 @@ def train(
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text"))
     # broadcast: ``chosen`` has ``sample`` short rows at most
-    rows = (
+    joined = (
         texts.join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", *categories)
         .agg(F.max("text").alias("text"))
-        .collect()
+        .select("text", "doc_id", F.array(*categories).alias("labels"))
     )
+    found = "doc_id long, labels array<double>, ids binary, dense array<double>"
+    rows = joined.mapInArrow(_feature_rows, found).collect()
     rows.sort(key=lambda r: r.doc_id)
-    values = [[np.nan if r[c] is None else r[c] for c in categories] for r in rows]
-    return fit_chain(
-        [r.text for r in rows], np.asarray(values, float).reshape(len(rows), len(categories))
+    labels = [[np.nan if v is None else v for v in r.labels] for r in rows]
+    return _fit_features(
+        [np.frombuffer(r.ids, np.int32) for r in rows],
+        np.asarray([r.dense for r in rows], float).reshape(len(rows), SHAPES),
+        np.asarray(labels, float).reshape(len(rows), len(categories)),
     )
 
 
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [_features(t.as_py()) for t in batch.column("text")]
+        yield pa.record_batch(
+            [
+                batch.column("doc_id"),
+                batch.column("labels"),
+                pa.array([m[0].tobytes() for m in made], pa.binary()),
+                pa.array([m[1] for m in made], pa.list_(pa.float64())),
+            ],
+            names=["doc_id", "labels", "ids", "dense"],
+        )
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
