@@ -10,15 +10,17 @@ are candidates, compared by banded alignment of the words.
    of its bucket and one by chance; those that neither leader's class took in
    form the next round's buckets, until a round links few of its pairs.
 2. Then all members of all buckets that hold several classes meet in full.  Bags
-   of hashed words bound the edit distance from below; every pair of two classes
-   that length and bags leave possible, and that no round compared, is aligned.
+   of hashed words bound the edit distance from below; members with a partner that
+   length and bags leave possible meet again with their texts, inside tasks.  A
+   pair is aligned in one of the buckets it shares, unless links found there have
+   joined its classes, and only links leave the task.
 
 So each pair that shares a sketch is in one class or was ruled out exactly.
 Classes are connected components.
 
 Equal texts are one text from the start.  Buckets are never gathered: leaders
-come from aggregates, pairs are a join, and a large bucket meets as pairs of
-blocks of ``BLOCK`` members.
+come from aggregates, their pairs are a join salted by leader, and a large bucket
+meets as pairs of blocks of about ``BLOCK`` members and ``BLOCK_WORDS`` words.
 
 Defined results: null text is empty; texts without words link only to equal
 texts; rows that share a ``doc_id`` are one document and one class; a null
@@ -52,11 +54,14 @@ LEADERS = 4
 NARROW = 24
 #: Counters in a bag of words, and members of a bucket that meet in one piece.
 BAG = 256
-BLOCK = 2048
+BLOCK = 1024
+BLOCK_WORDS = 1 << 20
+#: Pairs of a leader that are aligned in one piece.
+MET = 64
 #: Rounds with leaders end when they link less than one in so many pairs.
 SPARSE = 20
 
-_SKETCHED = "doc_id long, text_key string, words long, keys array<long>, bag binary"
+_SKETCHED = "doc_id long, text_key binary, words long, keys array<long>, bag binary"
 _PRIMES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -206,11 +211,20 @@ def similar(a: str, b: str, threshold: float = THRESHOLD) -> bool:
     longest = max(len(x), len(y))
     if not longest:
         return a == b
-    most = int((1 - threshold) * longest + 1e-9)
-    if abs(len(x) - len(y)) > most:
-        return False
     shared = sum((Counter(x) & Counter(y)).values())
-    if longest - shared > most:  # the words alone, in any order, are too few
+    # the words alone, in any order, may be too few
+    return longest - shared <= _most(longest, threshold) and alike(x, y, threshold)
+
+
+def _most(longest: int, threshold: float) -> int:
+    """Edits that the threshold allows."""
+    return int((1 - threshold) * longest + 1e-9)
+
+
+def alike(x: Sequence, y: Sequence, threshold: float) -> bool:
+    """The same for words."""
+    most = _most(max(len(x), len(y)), threshold)
+    if abs(len(x) - len(y)) > most:
         return False
     if most <= NARROW:
         return edit_distance(x, y, most) is not None
@@ -224,7 +238,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(2):
             words = text.as_py().lower().split()
             values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-            keys.append(sketch(grams(values)))
+            keys.append(np.unique(sketch(grams(values))))
             counts.append(len(words))
             bags.append(bag(values).tobytes())
         yield pa.record_batch(
@@ -278,79 +292,128 @@ def possible_pairs(
 
 
 GROUP = ["key", "low", "high"]
+_PLACED = "node long, words long, component long, salt long, key long, low long, high long"
 
 
-def _possible(threshold: float):
-    """Takes rows sorted by block pair; whole block pairs are worked on."""
+def _by_group(work):
+    """Applies work to the whole groups of rows that come sorted by group."""
 
-    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, words, component, salt = (
-            rows.column(c).to_numpy() for c in ("node", "words", "component", "salt")
-        )
-        groups = np.stack([rows.column(c).to_numpy() for c in GROUP])
-        bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
-        cuts = np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1
-        for start, stop in zip([0, *cuts], [*cuts, len(node)], strict=True):
-            part = slice(start, stop)
-            i, j = possible_pairs(words[part], component[part], salt[part], bags[part], threshold)
-            for at in range(0, len(i), SLICE):
-                x, y = node[part][i[at : at + SLICE]], node[part][j[at : at + SLICE]]
-                yield pa.record_batch([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
-
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            groups = np.stack([batch.column(c).to_numpy() for c in GROUP])
-            last = np.flatnonzero((groups != groups[:, -1:]).any(axis=0))
-            whole = int(last[-1]) + 1 if len(last) else 0
-            if held and (whole or tuple(groups[:, 0]) != tuple(held[-1].column(c)[0].as_py() for c in GROUP)):
-                if whole:
-                    held.append(batch.slice(0, whole))
+            keys = np.stack([batch.column(c).to_numpy() for c in GROUP])
+            cuts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()
+            if held and any(keys[n, 0] != held[-1].column(c)[0].as_py() for n, c in enumerate(GROUP)):
                 yield from work(pa.Table.from_batches(held))
                 held = []
-            elif whole:
-                yield from work(pa.Table.from_batches([batch.slice(0, whole)]))
-            held.append(batch.slice(whole))
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if start:
+                    yield from work(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(start, end - start))
         if held:
             yield from work(pa.Table.from_batches(held))
 
-    return possible
+    return groups
+
+
+def _pairs_in(rows: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    words, component, salt = (rows.column(c).to_numpy() for c in ("words", "component", "salt"))
+    bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+    return possible_pairs(words, component, salt, bags, threshold)
+
+
+def _with_partner(threshold: float):
+    """Keeps the members of a group that have a possible partner in it."""
+
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if rows.num_rows > 1:
+            some = np.unique(np.concatenate(_pairs_in(rows, threshold)))
+            if len(some):
+                yield from rows.take(pa.array(some)).combine_chunks().to_batches()
+
+    return work
+
 
+def _linked(threshold: float):
+    """The links in a group of members with texts, as far as they join classes."""
 
-def _left_pairs(members: DataFrame, bags: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(a, b) of different classes in a bucket that may be similar, maybe repeated."""
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, key = rows.column("node").to_pylist(), rows.column("key")[0].as_py()
+        component = rows.column("component").to_pylist()
+        texts = [t.lower().split() for t in rows.column("text").to_pylist()]
+        keys = [frozenset(k) for k in rows.column("keys").to_pylist()]
+        joined: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while label in joined:
+                label = joined[label]
+            return label
+
+        a, b = [], []
+        for i, j in zip(*(side.tolist() for side in _pairs_in(rows, threshold)), strict=True):
+            # a pair is aligned in one of the buckets that it shares, by chance
+            both = sorted(keys[i] & keys[j])
+            if both[(node[i] ^ node[j]) % len(both)] != key:
+                continue
+            x, y = root(component[i]), root(component[j])
+            if x != y and alike(texts[i], texts[j], threshold):
+                joined[max(x, y)] = min(x, y)
+                a.append(max(node[i], node[j]))
+                b.append(min(node[i], node[j]))
+        if a:
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return work
+
+
+def _grouped(frame: DataFrame, work, schema: str) -> DataFrame:
+    return (
+        frame.repartition(parts(frame), *GROUP).sortWithinPartitions(*GROUP).mapInArrow(_by_group(work), schema)
+    )
+
+
+def _full_meeting(
+    members: DataFrame, bags: DataFrame, given: DataFrame, threshold: float, block: int
+) -> DataFrame:
+    """(a, b) that links classes sharing a bucket."""
+    hashed = F.xxhash64("node")
     sets = members.groupBy("key").agg(
         F.count("*").alias("members"),
+        F.sum("words").alias("size"),
         F.min("component").alias("least"),
         F.max("component").alias("most"),
-        F.bit_xor(F.xxhash64("node")).alias("set"),
-        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("set2"),
+        F.bit_xor(hashed).alias("set"),
+        F.sum(F.shiftrightunsigned(hashed, 32)).alias("set2"),
     )
     # buckets of the same texts meet once
     several = (
-        sets.filter("least < most").groupBy("members", "set", "set2").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("members") / block).cast("long").alias("salts"))
+        sets.filter("least < most").groupBy("members", "size", "set", "set2").agg(F.min("key").alias("key"))
+        .select(
+            "key",
+            F.ceil(F.greatest(F.col("members") / block, F.col("size") / BLOCK_WORDS)).cast("long").alias("salts"),
+        )
     )
     placed = (
         members.join(several, "key")
-        .withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")))
+        .withColumn("salt", F.pmod(hashed, F.col("salts")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
         .withColumn("low", F.least("salt", "other"))
         .withColumn("high", F.greatest("salt", "other"))
         .select("node", "words", "component", "salt", *GROUP)
     )
-    return (
-        placed.join(bags, "node")
-        .repartition(parts(members), *GROUP)
-        .sortWithinPartitions(*GROUP)
-        .mapInArrow(_possible(threshold), "a long, b long")
+    open_ = stage(
+        _grouped(placed.join(bags, "node"), _with_partner(threshold), f"{_PLACED}, bag binary"), "meetings"
     )
+    keys = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    texts = _texts_of(keys.select("node"), given).join(keys, "node")
+    return _grouped(open_.join(texts, "node"), _linked(threshold), "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) pairs whose texts are similar."""
+    """The (a, b) pairs whose texts are similar; b may be in very many."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,19 +423,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
+    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / MET).cast("long").alias("salts"))
+    own = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    lead = (
+        salts.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        .select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "text_b")
+    )
     return (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.join(salts, "b")
+        .select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"))
+        .join(own, "a")
+        .repartition(parts(pairs), "b", "salt")
+        .join(lead, ["b", "salt"])
         .select("a", "b", "text_a", "text_b")
-        # the pairs of one leader are aligned by many tasks
-        .repartition(parts(pairs), "a", "b")
         .mapInArrow(align, "a long, b long")
     )
 
 
-def _texts_of(pairs: DataFrame, given: DataFrame) -> DataFrame:
+def _texts_of(wanted: DataFrame, given: DataFrame) -> DataFrame:
     """Texts of candidates only; one row per text, or its first where an id repeats."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     return stage(
         given.join(wanted.distinct(), F.col("doc_id") == F.col("node"), "left_semi")
         .groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")),
@@ -380,37 +449,39 @@ def _texts_of(pairs: DataFrame, given: DataFrame) -> DataFrame:
     )
 
 
+def _links(classes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Links with those that the classes so far stand for."""
+    if classes is None:
+        return links
+    return links.unionByName(classes.select(F.col("node").alias("a"), F.col("class").alias("b")))
+
+
 def near_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """``doc_id, class_id, kept`` per row; one document of each class is kept."""
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text")
-    ).withColumn("text_key", F.md5(F.col("text").cast("binary")))
+    ).withColumn("text_key", F.unhex(F.md5(F.col("text").cast("binary"))))
     sketched = stage(
         given.filter("doc_id is not null").select("doc_id", "text_key", "text")
         .mapInArrow(_sketches, _SKETCHED),
         "sketches",
     )
     # equal texts: the smallest id stands for all, the others are tied to it
-    units = sketched.groupBy("text_key").agg(
-        F.min("doc_id").alias("node"), F.first("words").alias("words"), F.first("keys").alias("keys"),
-        F.first("bag").alias("bag"),
-    )
-    same = (
-        sketched.select("doc_id", "text_key").join(units.select("text_key", "node"), "text_key")
-        .select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    firsts = sketched.groupBy("text_key").agg(F.min("doc_id").alias("b"))
+    same = stage(
+        sketched.select(F.col("doc_id").alias("a"), "text_key").join(firsts, "text_key").filter("a != b"),
+        "same",
     )
-    buckets = units.select(
-        "node", "words", F.explode("keys").alias("key")
+    units = sketched.withColumnRenamed("doc_id", "node").join(
+        same.select(F.col("a").alias("node"), "text_key"), ["node", "text_key"], "left_anti"
     )
-    shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = stage(
-        buckets.join(shared.filter("low < high").select("key"), "key").withColumn(
-            "component", F.col("node")
-        ),
-        "members",
+    buckets = units.select("node", "words", F.explode("keys").alias("key"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    every = stage(
+        buckets.join(shared.select("key"), "key").withColumn("component", F.col("node")), "members"
     )
     least = int(round(threshold * 1_000_000))
-    every, links, tried, classes = members, None, None, None
+    members, classes = every, None
     while True:
         # the smallest member, and one by a hash that varies over a few kinds of
         # buckets: members that one leader misses meet others in other buckets
@@ -426,18 +497,24 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
             close = F.least("words", lead) * 1_000_000 >= F.greatest("words", lead) * least
             apart = F.col("component") != F.col(f"{side}.component")
             part = met.filter(apart & close).select(
-                F.greatest("node", f"{side}.node").alias("a"), F.least("node", f"{side}.node").alias("b")
+                F.greatest("node", f"{side}.node").alias("x"), F.least("node", f"{side}.node").alias("y"),
+                F.col(f"{side}.node").alias("b"),
             )
             pairs = part if pairs is None else pairs.unionByName(part)
-        pairs = stage(pairs.distinct(), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = stage(_verified(pairs, _texts_of(pairs, given), threshold), "links")
+        # b: the leader, or either of two
+        pairs = stage(
+            pairs.groupBy("x", "y").agg(F.max("b").alias("b"))
+            .select(F.when(F.col("b") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("a"), "b"),
+            "pairs",
+        )
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        new = stage(_verified(pairs, _texts_of(wanted, given), threshold), "links")
         linked = new.count()
         if linked:
-            links = new if links is None else links.unionByName(new)
+            # classes so far count as one link per member
+            classes = stage(components(_links(classes, new)), "classes").withColumnRenamed("component", "class")
         if not linked or linked * SPARSE < pairs.count():
             break  # the full meeting below compares the rest
-        classes = stage(components(links), "classes").withColumnRenamed("component", "class")
         named = members.join(classes, "node", "left").withColumn(
             "component", F.coalesce("class", "node")
         )
@@ -457,14 +534,8 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
         every = every.drop("component").join(
             classes.withColumnRenamed("class", "component"), "node", "left"
         ).withColumn("component", F.coalesce("component", "node"))
-    left = stage(
-        _left_pairs(every, units.select("node", "bag"), threshold, block)
-        .distinct().join(tried, ["a", "b"], "left_anti"),
-        "pairs",
-    )
-    new = stage(_verified(left, _texts_of(left, given), threshold), "links")
-    links = new if links is None else links.unionByName(new)
-    final = components(same.unionByName(links))
+    new = stage(_full_meeting(every, units.select("node", "bag"), given, threshold, block), "links")
+    final = components(_links(classes, same.select("a", "b").unionByName(new)))
     return (
         given.select("doc_id")
         .join(final, F.col("doc_id") == F.col("node"), "left")
