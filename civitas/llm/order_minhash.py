@@ -208,24 +208,17 @@ def _run(a: Sequence, b: Sequence, i: int, j: int) -> int:
 def similar(a: str, b: str, threshold: float = THRESHOLD) -> bool:
     """Whether 1 - word edit distance / longer length reaches the threshold."""
     x, y = a.lower().split(), b.lower().split()
-    longest = max(len(x), len(y))
-    if not longest:
-        return a == b
-    shared = sum((Counter(x) & Counter(y)).values())
-    # the words alone, in any order, may be too few
-    return longest - shared <= _most(longest, threshold) and alike(x, y, threshold)
-
-
-def _most(longest: int, threshold: float) -> int:
-    """Edits that the threshold allows."""
-    return int((1 - threshold) * longest + 1e-9)
+    return alike(x, y, Counter(x), Counter(y), threshold) if x or y else a == b
 
 
-def alike(x: Sequence, y: Sequence, threshold: float) -> bool:
-    """The same for words."""
-    most = _most(max(len(x), len(y)), threshold)
+def alike(x: Sequence, y: Sequence, counts_x: Counter, counts_y: Counter, threshold: float) -> bool:
+    """The same for words and their counts."""
+    longest = max(len(x), len(y))
+    most = int((1 - threshold) * longest + 1e-9)
     if abs(len(x) - len(y)) > most:
         return False
+    if longest - sum((counts_x & counts_y).values()) > most:  # the words alone, in any order, are too few
+        return False
     if most <= NARROW:
         return edit_distance(x, y, most) is not None
     return edit_distance(x, y, NARROW) is not None or bit_distance(x, y, most) is not None
@@ -341,10 +334,20 @@ def _linked(threshold: float):
     """The links in a group of members with texts, as far as they join classes."""
 
     def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, key = rows.column("node").to_pylist(), rows.column("key")[0].as_py()
-        component = rows.column("component").to_pylist()
+        left, right = _pairs_in(rows, threshold)
+        if not len(left):
+            return
+        nodes = rows.column("node").to_numpy()
+        node, component = nodes.tolist(), rows.column("component").to_pylist()
         texts = [t.lower().split() for t in rows.column("text").to_pylist()]
-        keys = [frozenset(k) for k in rows.column("keys").to_pylist()]
+        counts = [Counter(t) for t in texts]
+        # the buckets of a member as bits, in order of their keys
+        listed = rows.column("keys").to_pylist()
+        every = np.unique(np.concatenate(listed))
+        bits = [sum(1 << at for at in np.searchsorted(every, own).tolist()) for own in listed]
+        here = 1 << int(np.searchsorted(every, rows.column("key")[0].as_py()))
+        # a pair is aligned in the first bucket it shares from a place of its own on
+        chance = mix(nodes[left].view(np.uint64) ^ nodes[right].view(np.uint64)).view(np.int64)
         joined: dict[int, int] = {}
 
         def root(label: int) -> int:
@@ -353,13 +356,15 @@ def _linked(threshold: float):
             return label
 
         a, b = [], []
-        for i, j in zip(*(side.tolist() for side in _pairs_in(rows, threshold)), strict=True):
-            # a pair is aligned in one of the buckets that it shares, by chance
-            both = sorted(keys[i] & keys[j])
-            if both[(node[i] ^ node[j]) % len(both)] != key:
+        for i, j, place in zip(
+            left.tolist(), right.tolist(), np.searchsorted(every, chance).tolist(), strict=True
+        ):
+            shared = bits[i] & bits[j]
+            later = shared >> place
+            if ((later & -later) << place if later else shared & -shared) != here:
                 continue
             x, y = root(component[i]), root(component[j])
-            if x != y and alike(texts[i], texts[j], threshold):
+            if x != y and alike(texts[i], texts[j], counts[i], counts[j], threshold):
                 joined[max(x, y)] = min(x, y)
                 a.append(max(node[i], node[j]))
                 b.append(min(node[i], node[j]))
