@@ -446,9 +446,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _texts_of(wanted: DataFrame, given: DataFrame) -> DataFrame:
-    """Texts of candidates only; one row per text, or its first where an id repeats."""
+    """Texts of candidates only; one row per text, or its first where an id repeats.
+
+    The ids are written first: their size is then known, and only where it is too
+    large for a broadcast do all texts move.
+    """
+    listed = stage(wanted.distinct(), "wanted")
     return stage(
-        given.join(wanted.distinct(), F.col("doc_id") == F.col("node"), "left_semi")
+        given.join(listed, F.col("doc_id") == F.col("node"), "left_semi")
         .groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")),
         "texts",
     )
