@@ -15,16 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civitas.llm.common import stage
+from civitas.llm.common import parts as partitions
+from civitas.llm.common import stage_bucketed
 
 SENT = "block long, bucket long, entries long, blob binary"
 ANSWER = "block long, bucket long, blob binary, total long"
 
 
-def order_of(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order in which distinct keys are sent, and their buckets in it."""
+def order_of(keys: np.ndarray, buckets: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which distinct keys, of which ``bits`` are sent, are sent, and their buckets in it."""
     bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
-    order = np.lexsort((keys, bucket))
+    order = np.lexsort((keys & np.uint64((1 << bits) - 1), bucket))
     return order, bucket[order].astype(np.int64)
 
 
@@ -82,7 +83,7 @@ def answered(
     answer: Callable[[list[np.ndarray]], tuple[list[np.ndarray], int]],
     label: str,
 ) -> DataFrame:
-    """(block, answers, total): what the buckets answer, written to the shared folder."""
+    """(block, answers, total): what the buckets answer, written as a table bucketed by block."""
 
     def reduce(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
@@ -99,7 +100,7 @@ def answered(
             }
         )
 
-    return stage(
+    return stage_bucketed(
         sent.groupBy("bucket")
         .applyInArrow(lambda _, t: reduce(t), ANSWER)
         .groupBy("block")
@@ -107,6 +108,8 @@ def answered(
             F.collect_list(F.struct("bucket", "blob")).alias(label), F.sum("total").alias("total")
         ),
         label,
+        "block",
+        partitions(sent),
     )
 
 

@@ -43,6 +43,9 @@ FOLDS = 10
 SMOOTHING = 0.1
 BLOCK_TOKENS = 300_000
 BUCKET_ENTRIES = 1_000_000
+#: Bits of a pair's key inside its bucket: of a million keys, 32 bits would take some
+#: hundred pairs for others and give a context more successors than it has occurrences.
+PAIR_BITS = 48
 
 BLOCKS = (
     "block long, tokens long, trained long, docs array<long>, sizes array<int>, held array<boolean>, "
@@ -160,20 +163,29 @@ class Tree:
         self.context[1:] = context[:-1]
         self.count = np.zeros(len(self.hashes), np.int64)
         self.count[1:] = count[:-1]
+        # a pair is as frequent as its last word, or its last two, at most
+        often = self.known if self.level == 1 else np.zeros(len(self.hashes), np.int64)
+        if self.level > 1:
+            often[self.at] = self.pairs
         self.at = np.flatnonzero((self.place >= self.level) & (self.count >= LEAST_CONTEXT))
-        pair = mix(self.context[self.at] ^ mix(self.hashes[self.at] + np.uint64(self.level)))
+        self.asked = np.flatnonzero(often[self.at] >= LEAST_PAIR)
+        ends = self.at[self.asked]
+        pair = mix(self.context[ends] ^ mix(self.hashes[ends] + np.uint64(self.level)))
         self.distinct, self.of = np.unique(pair, return_inverse=True)
-        self.pair_order, self.pair_bucket = order_of(self.distinct, self.buckets)
+        self.pair_order, self.pair_bucket = order_of(self.distinct, self.buckets, PAIR_BITS)
 
     def pair_counts(self) -> pa.RecordBatch:
-        counts = np.bincount(self.of, self.trained[self.at], len(self.distinct)).astype("<u4")
-        low = (self.distinct & np.uint64(0xFFFFFFFF)).astype("<u4")
-        return send(self.block, self.pair_bucket, [low[self.pair_order], counts[self.pair_order]])
+        trained = self.trained[self.at[self.asked]]
+        counts = np.bincount(self.of, trained, len(self.distinct)).astype("<u4")
+        keys = self.distinct[self.pair_order]
+        low, high = keys.astype("<u4"), (keys >> np.uint64(32)).astype("<u2")
+        return send(self.block, self.pair_bucket, [low, high, counts[self.pair_order]])
 
     def counted(self, counts: np.ndarray, owned: np.ndarray) -> None:
         known, own = np.empty(len(self.distinct), np.int64), np.empty(len(self.distinct), bool)
         known[self.pair_order], own[self.pair_order] = counts, owned
-        self.pairs, self.owned = known[self.of], own
+        self.pairs, self.owned = np.zeros(len(self.at), np.int64), own
+        self.pairs[self.asked] = known[self.of]
         contexts, self.context_of = np.unique(self.context[self.at], return_inverse=True)
         self.contexts = contexts
         self.context_order, self.context_bucket = order_of(contexts, self.buckets)
@@ -181,7 +193,7 @@ class Tree:
     def divergences(self) -> pa.RecordBatch:
         """Partial sums, over the pairs that this block answers for, per context."""
         first = np.full(len(self.distinct), len(self.at), np.int64)
-        np.minimum.at(first, self.of, np.arange(len(self.at)))
+        np.minimum.at(first, self.of, self.asked)
         mine = first[self.owned]
         n, c = self.pairs[mine].astype(float), self.count[self.at][mine]
         log, context = self.log[self.at][mine], self.context_of[mine]
@@ -235,7 +247,8 @@ def _sum_words(columns: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
 
 def _sum_pairs(columns: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
     """Counts of pairs seen often enough; the first block that asks answers for a pair."""
-    keys, counts = columns
+    low, high, counts = columns
+    keys = low | high.astype(np.uint64) << np.uint64(32)
     _, first, of = np.unique(keys, return_index=True, return_inverse=True)
     sums = np.bincount(of, counts)
     sums[sums < LEAST_PAIR] = 0
@@ -262,7 +275,7 @@ def _judge_states(total: int):
 
 
 WORD_KINDS = ("<u8", "<u4")
-PAIR_KINDS = ("<u4", "<u4")
+PAIR_KINDS = ("<u4", "<u2", "<u4")
 SUM_KINDS = ("<u8", "<u4", "<u4", "<u4", "<f8", "<f8")
 
 

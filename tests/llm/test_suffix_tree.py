@@ -109,3 +109,56 @@ def test_edges(spark):
     assert suffix_tree_scores(frame).count() == 0
     only = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
     assert [tuple(r) for r in suffix_tree_scores(only).collect()] == [(None, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_pairs_of_equal_low_bits_are_told_apart(spark, monkeypatch):
+    """Keys that agree in 32 bits and the bucket would count one pair for the other."""
+    plain = suffix_tree.mix
+    # the lower half of every key is nearly constant
+    monkeypatch.setattr(
+        suffix_tree, "mix", lambda keys: (plain(keys) & suffix_tree.np.uint64(0xFFFFFFFF00000007))
+    )
+    tree = suffix_tree.Tree(
+        {
+            "block": 0, "sizes": [400, 400], "held": [False, False],
+            "numbers": suffix_tree.np.random.default_rng(1).integers(0, 20, 800).astype("<u4").tobytes(),
+            "words": suffix_tree.np.sort(
+                suffix_tree.np.random.default_rng(2).integers(1, 2**63, 20).astype("<u8")
+            ).tobytes(),
+        },
+        1,
+    )
+    counts = suffix_tree.np.bincount(tree.numbers, minlength=20)
+    tree.root(counts[tree.order], 800, 20)
+    tree.candidates()
+    sent = suffix_tree.received(
+        [{"bucket": 0, "blob": tree.pair_counts().column("blob")[0].as_py()}], suffix_tree.PAIR_KINDS
+    )
+    answers, _ = suffix_tree._sum_pairs(sent)
+    tree.counted(answers[0].astype(int), answers[1].astype(bool))
+    places = [(int(tree.numbers[p - 1]), int(tree.numbers[p])) for p in tree.at]
+    true = Counter(places)
+    assert [n or 0 for n in tree.pairs] == [true[p] if true[p] >= LEAST_PAIR else 0 for p in places]
+
+
+def test_only_pairs_that_can_be_frequent_are_asked_for():
+    """A pair is not asked for where its last word is too rare; it still has the context's rest."""
+    numbers = [0, 1] * 20 + [0, 2, 3]
+    words = [10 << 40, 20 << 40, 30 << 40, 40 << 40]
+    tree = suffix_tree.Tree(
+        {
+            "block": 0, "sizes": [len(numbers)], "held": [False],
+            "numbers": suffix_tree.np.asarray(numbers, "<u4").tobytes(),
+            "words": suffix_tree.np.asarray(words, "<u8").tobytes(),
+        },
+        1,
+    )
+    tree.root(suffix_tree.np.bincount(numbers)[tree.order], len(numbers), 4)
+    tree.candidates()
+    assert len(tree.distinct) == 2 and 41 in tree.at and 41 not in tree.at[tree.asked]
+
+
+def test_blocks_and_answers_join_without_an_exchange(spark):
+    frame = spark.createDataFrame([(d, f"a b c {d}") for d in range(40)], "doc_id long, text string")
+    plan = suffix_tree_scores(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
