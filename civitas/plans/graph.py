@@ -10,10 +10,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civitas.model.source import OverlaySource, PathSource, TableSource
+from civitas.model.source import FrameSource, OverlaySource, PathSource, TableSource
 from civitas.plans import comparison, rollups, series, stock
 from civitas.plans.anchor import anchor_month
 from civitas.plans.rollups import SERIES_FLOOR
+from civitas.scratch import fresh_path
 from civitas.sources.sinks import build_and_swap
 
 
@@ -295,6 +296,30 @@ def anchor_of(source: TableSource) -> dt.date:
     return anchor_month(runs, opened)
 
 
+#: What the views and rollups read of the establishments.
+EST_READS = tuple(
+    dict.fromkeys(
+        (
+            *rollups.STOCK_READS,
+            *rollups.ROOT_PLACE_READS,
+            *rollups.HEADS_READS,
+            *rollups.ROOT_MOVEMENT_READS,
+        )
+    )
+)
+
+
+def establishments_once(spark: SparkSession, source: TableSource, *extra: str) -> TableSource:
+    """``source`` with the establishments that views read written once.
+
+    For a source that derives them by joins: every view and rollup then scans a
+    written table instead of running these joins again.
+    """
+    path = fresh_path(spark, "estabelecimento")
+    source.table("estabelecimento", (*extra, *EST_READS)).write.parquet(path)
+    return OverlaySource(source, FrameSource({"estabelecimento": spark.read.parquet(path)}))
+
+
 def _write(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 

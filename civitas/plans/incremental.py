@@ -34,12 +34,17 @@ from civitas.functions.text import has_email, is_prospect_email
 from civitas.model.source import FrameSource, OverlaySource, PathSource, TableSource
 from civitas.plans import stock
 from civitas.plans.anchor import month_of, window_end, window_starts
-from civitas.plans.graph import ROLLUPS, VIEWS, Build, anchor_of, build_views, select_views
+from civitas.plans.graph import (
+    EST_READS,
+    ROLLUPS,
+    VIEWS,
+    Build,
+    anchor_of,
+    build_views,
+    select_views,
+)
 from civitas.plans.rollups import (
     BRANCH,
-    HEADS_READS,
-    ROOT_MOVEMENT_READS,
-    ROOT_PLACE_READS,
     SERIES_FLOOR,
     STOCK_KEYS,
     STOCK_READS,
@@ -54,9 +59,7 @@ STATE_SUMS = ("total", "matrizes", "filiais", "com_email", "com_telefone", "emai
 
 #: The columns whose change makes a company one that changed.
 READS = {
-    "estabelecimento": tuple(
-        dict.fromkeys((*STOCK_READS, *ROOT_PLACE_READS, *HEADS_READS, *ROOT_MOVEMENT_READS))
-    ),
+    "estabelecimento": EST_READS,
     "empresa": ("cnpj_basico", "cod_natureza_juridica", "cod_porte"),
     "simples": ("cnpj_basico", "opcao_simples", "opcao_mei"),
 }

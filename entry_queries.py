@@ -681,7 +681,7 @@ def _(t):
 @query("check_views_present")
 def _(t):
     target = fresh_path(t.spark, "views")
-    graph.build_views(t.spark, t, target, floor=FLOOR)
+    graph.build_views(t.spark, graph.establishments_once(t.spark, t), target, floor=FLOOR)
     return quality.check_views({n: t.spark.read.parquet(f"{target}/{n}") for n in VIEWS})
 
 
@@ -915,8 +915,9 @@ def _(t):
 @query("build_views")
 def _(t):
     target = fresh_path(t.spark, "views")
+    source = graph.establishments_once(t.spark, t)
     names = graph.build_views(
-        t.spark, t, target, only=["05_", "stats_estado", "porte_cidade"], floor=FLOOR
+        t.spark, source, target, only=["05_", "stats_estado", "porte_cidade"], floor=FLOOR
     )
     return graph.table_stats(PathSource(t.spark, target), names)
 
@@ -925,7 +926,8 @@ def _(t):
 def _(t):
     target = fresh_path(t.spark, "views")
     present = ("mv_stats_estado", "mv_abertura_periodo", "mv_comparativo_territorio")
-    report = graph.refresh_views(t.spark, t, target, present, floor=FLOOR)
+    source = graph.establishments_once(t.spark, t)
+    report = graph.refresh_views(t.spark, source, target, present, floor=FLOOR)
     return report.drop("duration_seconds")
 
 
@@ -956,11 +958,12 @@ def older_tables(t):
 
 def refreshed(t, name: str) -> DataFrame:
     """One view of the tables, merged from that of the generation before."""
-    old, now = older_tables(t), graph.anchor_of(t)
+    new = graph.establishments_once(t.spark, t, "cnpj_completo")
+    old, now = older_tables(new), graph.anchor_of(new)
     stored, target = fresh_path(t.spark, "views"), fresh_path(t.spark, "views")
     only = [graph.file_name(name)]
     incremental.build_first(t.spark, old, stored, only, anchor.month_add(now, -1), FLOOR)
-    merged = incremental.refresh_changed(t.spark, old, t, stored, target, only, now, FLOOR)
+    merged = incremental.refresh_changed(t.spark, old, new, stored, target, only, now, FLOOR)
     if name not in merged:
         raise RuntimeError(f"{name} was built in full")
     return t.spark.read.parquet(f"{target}/{name}")

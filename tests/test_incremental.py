@@ -141,3 +141,27 @@ def test_full_build_where_merging_is_not_possible(spark, generations, tmp_path):
         assert values(spark.read.parquet(f"{tmp_path}/{target}/mv_stats_cnae_estado")) == want
     with pytest.raises(ValueError):
         incremental.refresh_changed(spark, old, new, f"{root}/v0", f"{root}/v0/", only, NEXT, FLOOR)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "refresh_changed_territory", "refresh_changed_series", "refresh_changed_companies",
+        "refresh_changed_ranking", "check_views_present", "build_views", "refresh_views",
+    ],
+)
+def test_establishments_are_derived_once(spark, monkeypatch, name):
+    """The joins that the test tables need run once a query, not once a view and rollup."""
+    import entry_queries
+    from civitas.model.driver_tables import DriverTables
+
+    derived, plain = [], DriverTables._estabelecimento
+
+    def counted(self, wanted):
+        derived.append(wanted)
+        return plain(self, wanted)
+
+    monkeypatch.setattr(DriverTables, "_estabelecimento", counted)
+    assert entry_queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    # the anchor reads one column of it as well
+    assert len([w for w in derived if w != {"data_inicio_atividade"}]) == 1
