@@ -18,8 +18,10 @@ are candidates, compared by banded alignment of the words.
 So each pair that shares a sketch is in one class or was ruled out exactly.
 Classes are connected components.
 
-Equal texts are one text from the start.  Buckets are never gathered: leaders
-come from aggregates, their pairs are a join salted by leader, and a large bucket
+Equal texts are one text from the start.  Sketches stay where they were made, in
+blocks of texts written once as a bucketed table: a block asks the other blocks
+which of its keys they have too (:mod:`blocks`), and only the members of such
+buckets leave it.  Buckets are never gathered: leaders come from aggregates, their pairs are a join salted by leader, and a large bucket
 meets as pairs of blocks of about ``BLOCK`` members and ``BLOCK_WORDS`` words.
 
 Defined results: null text is empty; texts without words link only to equal
@@ -30,6 +32,7 @@ no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -39,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civitas.llm.common import clean_text, parts, stage
+from civitas.llm.blocks import SENT, answered, order_of, received, send
+from civitas.llm.common import clean_text, parts, passing, stage, stage_bucketed
 from civitas.llm.components import components
 
 GRAM = 5
@@ -61,7 +65,17 @@ MET = 64
 #: Rounds with leaders end when they link less than one in so many pairs.
 SPARSE = 20
 
-_SKETCHED = "doc_id long, text_key binary, words long, keys array<long>, bag binary"
+#: Texts in a block of sketches, and keys that a bucket of questions meets.
+BLOCK_TEXTS = 2048
+BUCKET_ENTRIES = 1_000_000
+_SKETCHED = (
+    "block long, entries long, docs array<long>, texts array<binary>, words array<long>, "
+    "sizes array<int>, keys binary, bags binary"
+)
+_MEMBERS = "node long, words long, key long"
+#: The lower half of a key and whether several texts of the block have it.  Keys that
+#: agree in it and in the bucket are taken for shared; they are told apart as members.
+ASKED_KINDS = ("<u4", "<u1")
 _PRIMES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -225,22 +239,101 @@ def alike(x: Sequence, y: Sequence, counts_x: Counter, counts_y: Counter, thresh
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        keys, counts, bags = [], [], []
-        for text in batch.column(2):
-            words = text.as_py().lower().split()
-            values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-            keys.append(np.unique(sketch(grams(values))))
-            counts.append(len(words))
-            bags.append(bag(values).tobytes())
-        yield pa.record_batch(
-            [
-                batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.binary()),
-            ],
-            names=["doc_id", "text_key", "words", "keys", "bag"],
+    """Texts to blocks of sketches."""
+    from pyspark import TaskContext
+
+    number, hashes = TaskContext.get().partitionId() << 32, WordHashes()
+    for given in batches:
+        for at in range(0, given.num_rows, BLOCK_TEXTS):
+            batch = given.slice(at, BLOCK_TEXTS)
+            keys, counts, bags = [], [], []
+            for text in batch.column(2):
+                words = text.as_py().lower().split()
+                values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                keys.append(np.unique(sketch(grams(values))))
+                counts.append(len(words))
+                bags.append(bag(values).tobytes())
+            sizes = [len(k) for k in keys]
+            yield pa.record_batch(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([sum(sizes)], pa.int64()),
+                    pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([batch.column(1).to_pylist()], pa.list_(pa.binary())),
+                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int32())),
+                    pa.array([np.concatenate(keys).astype("<i8").tobytes()], pa.binary()),
+                    pa.array([b"".join(bags)], pa.binary()),
+                ],
+                names=["block", "entries", "docs", "texts", "words", "sizes", "keys", "bags"],
+            )
+            number += 1
+
+
+class Sketched:
+    """A block of sketches without the copies of texts that others stand for."""
+
+    def __init__(self, row: dict, buckets: int):
+        copies = {(c["a"], bytes(c["text_key"])) for c in row["copies"] or ()}
+        alone = np.asarray(
+            [pair not in copies for pair in zip(row["docs"], map(bytes, row["texts"]), strict=True)], bool
         )
+        sizes = np.asarray(row["sizes"], np.int64)
+        self.block, self.alone = row["block"], alone
+        self.docs, self.words = np.asarray(row["docs"], np.int64), np.asarray(row["words"], np.int64)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        taken = alone[owner]
+        self.owner = owner[taken]
+        self.keys = np.frombuffer(row["keys"], "<u8")[taken]
+        self.distinct, self.of, self.counts = np.unique(
+            self.keys, return_inverse=True, return_counts=True
+        )
+        self.order, self.bucket = order_of(self.distinct, buckets, 32)
+
+    def asks(self) -> pa.RecordBatch:
+        low = self.distinct[self.order].astype("<u4")
+        return send(self.block, self.bucket, [low, (self.counts[self.order] > 1).astype("<u1")])
+
+    def shared(self, row: dict) -> np.ndarray:
+        """Which of the keys others have too, per key of a text."""
+        found = np.empty(len(self.distinct), bool)
+        found[self.order] = received(row["shared"], ("<u1",))[0]
+        return found[self.of]
+
+    def members(self, row: dict) -> pa.RecordBatch:
+        at = np.flatnonzero(self.shared(row))
+        owner = self.owner[at]
+        columns = [self.docs[owner], self.words[owner], self.keys[at].view(np.int64)]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["node", "words", "key"])
+
+    def bags(self, row: dict) -> pa.RecordBatch:
+        """The bags of the members."""
+        some = np.unique(self.owner[self.shared(row)]).tolist()
+        bags = [row["bags"][n * BAG : (n + 1) * BAG] for n in some]
+        return pa.record_batch(
+            [pa.array(self.docs[some], pa.int64()), pa.array(bags, pa.binary())], names=["node", "bag"]
+        )
+
+
+def _of_blocks(rows: DataFrame, buckets: int, work, schema: str) -> DataFrame:
+    """Applies work to each block of sketches and its row."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {n: batch.column(n)[at].as_py() for n in batch.schema.names}
+                yield work(Sketched(row, buckets), row)
+
+    return rows.mapInArrow(each, schema)
+
+
+def _judge_keys(columns: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Whether several texts have a key."""
+    keys, several = columns
+    _, of, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    found = counts > 1
+    np.logical_or.at(found, of, several.astype(bool))
+    return [found[of].astype("<u1")], 0
 
 
 def bag(words: np.ndarray) -> np.ndarray:
@@ -452,10 +545,10 @@ def _texts_of(wanted: DataFrame, given: DataFrame) -> DataFrame:
     large for a broadcast do all texts move.
     """
     listed = stage(wanted.distinct(), "wanted")
-    return stage(
+    return stage_bucketed(
         given.join(listed, F.col("doc_id") == F.col("node"), "left_semi")
         .groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")),
-        "texts",
+        "texts", "node", parts(given),
     )
 
 
@@ -471,24 +564,47 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text")
     ).withColumn("text_key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    sketched = stage(
+    with passing(docs.sparkSession):
+        final = _classes(given, threshold, block)
+    return (
+        given.select("doc_id")
+        .join(final, F.col("doc_id") == F.col("node"), "left")
+        .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    )
+
+
+def _classes(given: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(node, component) of the documents in classes of several."""
+    sketched = stage_bucketed(
         given.filter("doc_id is not null").select("doc_id", "text_key", "text")
         .mapInArrow(_sketches, _SKETCHED),
-        "sketches",
+        "sketches", "block", parts(given),
     )
     # equal texts: the smallest id stands for all, the others are tied to it
-    firsts = sketched.groupBy("text_key").agg(F.min("doc_id").alias("b"))
-    same = stage(
-        sketched.select(F.col("doc_id").alias("a"), "text_key").join(firsts, "text_key").filter("a != b"),
-        "same",
+    named = sketched.select("block", F.explode(F.arrays_zip("docs", "texts")).alias("text")).select(
+        "block", F.col("text.docs").alias("a"), F.col("text.texts").alias("text_key")
     )
-    units = sketched.withColumnRenamed("doc_id", "node").join(
-        same.select(F.col("a").alias("node"), "text_key"), ["node", "text_key"], "left_anti"
+    firsts = named.groupBy("text_key").agg(F.min("a").alias("b"))
+    same = stage(named.join(firsts, "text_key").filter("a != b"), "same")
+    copies = stage_bucketed(
+        same.groupBy("block").agg(F.collect_list(F.struct("a", "text_key")).alias("copies")),
+        "copies", "block", parts(given),
     )
-    buckets = units.select("node", "words", F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    entries = sketched.agg(F.sum("entries")).first()[0] or 0
+    buckets = max(parts(given), math.ceil(entries / BUCKET_ENTRIES))
+    units = sketched.join(copies, "block", "left")
+    asked = units.select("block", "docs", "texts", "words", "sizes", "keys", "copies")
+    shared = answered(
+        _of_blocks(asked, buckets, lambda own, _: own.asks(), SENT), ASKED_KINDS, _judge_keys, "shared"
+    ).select("block", "shared")
     every = stage(
-        buckets.join(shared.select("key"), "key").withColumn("component", F.col("node")), "members"
+        _of_blocks(asked.join(shared, "block"), buckets, Sketched.members, _MEMBERS)
+        .withColumn("component", F.col("node")),
+        "members",
+    )
+    bags = _of_blocks(
+        units.drop("entries").join(shared, "block"), buckets, Sketched.bags, "node long, bag binary"
     )
     least = int(round(threshold * 1_000_000))
     members, classes = every, None
@@ -544,11 +660,5 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
         every = every.drop("component").join(
             classes.withColumnRenamed("class", "component"), "node", "left"
         ).withColumn("component", F.coalesce("component", "node"))
-    new = stage(_full_meeting(every, units.select("node", "bag"), given, threshold, block), "links")
-    final = components(_links(classes, same.select("a", "b").unionByName(new)))
-    return (
-        given.select("doc_id")
-        .join(final, F.col("doc_id") == F.col("node"), "left")
-        .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
-    )
+    new = stage(_full_meeting(every, bags, given, threshold, block), "links")
+    return stage(components(_links(classes, same.select("a", "b").unionByName(new))), "classes", keep=True)

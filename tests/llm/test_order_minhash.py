@@ -127,3 +127,40 @@ def test_members_that_no_leader_reaches(spark):
     expected = classes(texts)
     for block in (2048, 7):
         assert {r.doc_id: r.class_id for r in near_texts(frame, block=block).collect()} == expected
+
+
+def test_texts_and_sketches_stay_in_place_without_broadcasts(spark, monkeypatch):
+    """Where lists of ids are too large for a broadcast, sketches and bags moved with every row."""
+    from civitas.llm import order_minhash
+    from civitas.llm.common import stage as plain
+
+    plans = []
+
+    def noted(frame, label, *more, **named):
+        plans.append((label, frame._jdf.queryExecution().executedPlan().toString()))
+        return plain(frame, label, *more, **named)
+
+    monkeypatch.setattr(order_minhash, "stage", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = [f"w{n}" for n in range(90)]
+        texts = [(d, " ".join(words[: 80 + d % 7])) for d in range(21)] + [(50, "other text here")]
+        found = {r.doc_id: r.class_id for r in near_texts(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == classes(texts)
+    members = next(plan for label, plan in plans if label == "members")
+    assert "Exchange" not in members
+
+
+def test_intermediate_tables_are_deleted(spark):
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir()), {t.name for t in spark.catalog.listTables()}
+    texts = [(d, f"a b c d e f g {d // 2}") for d in range(8)]
+    got = near_texts(spark.createDataFrame(texts, "doc_id long, text string"))
+    left = {p.name.rsplit("-", 5)[0] for p in set(root.iterdir()) - before[0]}
+    assert left == {"classes"} and {t.name for t in spark.catalog.listTables()} == before[1]
+    assert {r.doc_id: r.class_id for r in got.collect()} == classes(texts)
