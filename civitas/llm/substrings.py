@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civitas.llm.blocks import SENT, answered, received, send
-from civitas.llm.common import parts, stage
+from civitas.llm.common import parts, passing, stage
 from civitas.llm.order_minhash import mix
 from civitas.llm.suffix_groups import shared_windows
 
@@ -586,30 +586,32 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     # an anchor for about every (WINDOW - GRAM + 2) / 2 bytes, four bytes each
     buckets = max(parts(docs), math.ceil(total * 8 / (WINDOW - GRAM + 2) / BUCKET_BYTES))
-    answers = stage(
-        blocks.select("block", "docs", "sizes", "data")
-        .mapInArrow(_anchors(buckets), "block long, bucket long, anchors binary, several binary")
-        .groupBy("bucket")
-        .applyInArrow(lambda _, t: _repeated(t), "block long, bucket long, bits binary")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")),
-        "anchors",
-    )
-    contexts = stage(
-        blocks.join(answers, "block")
-        .select("block", "docs", "sizes", "data", "answers")
-        .mapInArrow(_contexts(buckets), CONTEXTS),
-        "contexts",
-    )
-    numbered = contexts.join(blocks.select("block", "docs"), "block")
-    codes = answered(numbered.mapInArrow(_sends(buckets), SENT), SENT_KINDS, _judge_contexts, "codes")
-    cut = stage(
-        blocks.select("block", "docs", "sizes", "data")
-        .join(contexts, "block")
-        .join(codes.select("block", "codes"), "block")
-        .mapInArrow(_cut(buckets), CUT),
-        "cut",
-    )
+    with passing(spark):  # the cut has all that is asked later
+        answers = stage(
+            blocks.select("block", "docs", "sizes", "data")
+            .mapInArrow(_anchors(buckets), "block long, bucket long, anchors binary, several binary")
+            .groupBy("bucket")
+            .applyInArrow(lambda _, t: _repeated(t), "block long, bucket long, bits binary")
+            .groupBy("block")
+            .agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")),
+            "anchors",
+        )
+        contexts = stage(
+            blocks.join(answers, "block")
+            .select("block", "docs", "sizes", "data", "answers")
+            .mapInArrow(_contexts(buckets), CONTEXTS),
+            "contexts",
+        )
+        numbered = contexts.join(blocks.select("block", "docs"), "block")
+        codes = answered(numbered.mapInArrow(_sends(buckets), SENT), SENT_KINDS, _judge_contexts, "codes")
+        cut = stage(
+            blocks.select("block", "docs", "sizes", "data")
+            .join(contexts, "block")
+            .join(codes.select("block", "codes"), "block")
+            .mapInArrow(_cut(buckets), CUT),
+            "cut",
+            keep=True,
+        )
     partial = stage(
         cut.filter("spans is null")
         .drop("spans")

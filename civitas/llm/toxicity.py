@@ -103,10 +103,10 @@ class Link:
     @staticmethod
     def _scale(ids: list[np.ndarray], target: np.ndarray) -> np.ndarray:
         """Size of each feature's log-odds, drawn to 0 for features of few documents."""
-        counts = [
-            np.bincount(np.concatenate([np.unique(i) for i, t in zip(ids, target, strict=True) if t == k]), minlength=DIMENSIONS)
-            for k in (0, 1)
-        ]
+        counts = np.zeros((2, DIMENSIONS))
+        for own, label in zip(ids, target, strict=True):  # no copy of all ids on the driver
+            if label in (0, 1):
+                counts[int(label), np.unique(own)] += 1
         rate = target.mean()
         odds = (counts[1] + PRIOR_DOCUMENTS * rate) / (counts[0] + PRIOR_DOCUMENTS * (1 - rate))
         return np.abs(np.log(odds * (1 - rate) / rate))
