@@ -162,3 +162,50 @@ def test_blocks_and_answers_join_without_an_exchange(spark):
     frame = spark.createDataFrame([(d, f"a b c {d}") for d in range(40)], "doc_id long, text string")
     plan = suffix_tree_scores(frame)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_pairs_are_asked_for_by_numbers_without_collisions():
+    """Pairs of dense numbers take fewer bytes than 48-bit hashes (5.5 a pair and more)."""
+    np = suffix_tree.np
+    grid = np.arange(700 * 300, dtype=np.uint64)
+    keys, bits = suffix_tree.pair_keys(grid // np.uint64(300), grid % np.uint64(300), 700, 300)
+    assert len(np.unique(keys)) == len(grid) and int(keys.max()) < 2**bits
+    words = np.unique(np.random.default_rng(4).integers(0, 2**63, 3000).astype("<u8"))
+    numbers = np.random.default_rng(5).integers(0, len(words), 90_000)
+    tree = suffix_tree.Tree(
+        {
+            "block": 0, "sizes": [len(numbers)], "held": [False],
+            "numbers": numbers.astype("<u4").tobytes(), "words": words.tobytes(),
+        },
+        20,
+    )
+    tree.root(np.bincount(numbers, minlength=len(words)), len(numbers), len(words))
+    tree.candidates()
+    sent = tree.pair_counts()
+    assert sum(map(len, sent.column("blob").to_pylist())) < 3 * len(tree.distinct)
+    low, counts = suffix_tree.received(
+        [{"bucket": b, "blob": x} for b, x in zip(sent.column("bucket").to_pylist(), sent.column("blob").to_pylist())],
+        suffix_tree.PAIR_KINDS,
+    )
+    assert len(low) == len(tree.distinct) and counts.sum() == len(tree.asked)
+
+
+def test_rising_columns_come_back():
+    from civitas.llm.blocks import packed, unpacked
+
+    np = suffix_tree.np
+    keys = np.unique(np.random.default_rng(6).integers(0, 2**62, 500).astype("<u8"))
+    some = np.where(np.arange(len(keys)) % 3 == 0, np.arange(1, len(keys) + 1), 0).astype("<u4")
+    for rising in (keys, keys[:1], keys[:0], np.array([0, 5, 2**64 - 1], "<u8")):
+        columns = [rising, np.full(len(rising), 7, "<u4"), some[: len(rising)]]
+        kinds = ("+<u8", "<u4", "+<u4")
+        for got, given in zip(unpacked(packed(columns, kinds), kinds), columns, strict=True):
+            assert (got == given).all() and got.dtype == given.dtype and len(got) == len(given)
+
+
+def test_hashes_of_words_go_once_the_words_are_counted(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    frame = spark.createDataFrame([(d, f"a b c {d}") for d in range(40)], "doc_id long, text string")
+    assert suffix_tree_scores(frame).count() == 40
+    made = {t.name for t in spark.catalog.listTables()} - before
+    assert made and not [t for t in made if "words" in spark.table(t).columns]
