@@ -12,14 +12,19 @@ into contexts, maximal stretches whose windows have one anchor.
 3. Contexts with such anchors go, as fingerprints and with the block's smallest
    document, to the anchors' buckets as well.  A context that a smaller document
    has whole is removed whole.
-4. Where an anchor has several different contexts, their bytes (one document's
-   for each) are brought together and sorted by suffix groups
-   (:mod:`suffix_groups`); windows that are equal get the smallest document
+4. Where an anchor has several different contexts, windows of two of them can be
+   equal only if what all windows with the anchor at about the same place have
+   around it is equal; blocks ask for that like for anchors.  Words that are
+   frequent make ever more anchors common by chance as a corpus grows, but
+   hardly any of these longer strings.
+5. The bytes of what is left (one document's for each context) are brought
+   together; where they differ they are sorted by suffix groups
+   (:mod:`suffix_groups`), and windows that are equal get the smallest document
    that has them.
-5. Back at the blocks, the spans of each document are merged and cut out.
+6. Back at the blocks, the spans of each document are merged and cut out.
 
-An anchor with very many contexts is not one group: its contexts are sent as
-single windows keyed by their own hash.
+An anchor with very many contexts is not one group: what is left of its contexts
+is sent as single windows keyed by their own hash.
 
 Defined results: null text is empty; documents shorter than the window are kept;
 rows with equal ``doc_id`` do not remove from each other; a null ``doc_id``
@@ -32,7 +37,7 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +54,7 @@ GRAM = 16
 BLOCK_BYTES = 2_000_000
 BUCKET_BYTES = 8_000_000
 BATCH_BYTES = 1_000_000
+BATCH_SPANS = 50_000
 HOT_CONTEXTS = 20_000
 CHUNK = 1 << 17
 LAST = (1 << 63) - 1
@@ -139,16 +145,7 @@ class Block:
         self.keys = value[heads]
 
     def codes(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (bucket, low bits) codes in order, inverse, and whether two documents have it."""
-        high = (self.keys >> np.uint64(32)) % np.uint64(buckets)
-        code = (high << np.uint64(32)) | (self.keys & np.uint64(0xFFFFFFFF))
-        distinct, inverse = np.unique(code, return_inverse=True)
-        docs = self.docs[self.rows]
-        low = np.full(len(distinct), LAST, np.int64)
-        high_doc = np.full(len(distinct), -LAST, np.int64)
-        np.minimum.at(low, inverse, docs)
-        np.maximum.at(high_doc, inverse, docs)
-        return distinct, inverse, low != high_doc
+        return _codes(self.keys, self.docs[self.rows], buckets)
 
     def contexts(self, block: int, chosen: np.ndarray) -> pa.RecordBatch:
         """The chosen contexts: one row of arrays."""
@@ -267,6 +264,18 @@ def _eights(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _codes(keys: np.ndarray, docs: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (bucket, low bits) codes in order, inverse, and whether two documents have it."""
+    high = (keys >> np.uint64(32)) % np.uint64(buckets)
+    code = (high << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+    distinct, inverse = np.unique(code, return_inverse=True)
+    low = np.full(len(distinct), LAST, np.int64)
+    high_doc = np.full(len(distinct), -LAST, np.int64)
+    np.minimum.at(low, inverse, docs)
+    np.maximum.at(high_doc, inverse, docs)
+    return distinct, inverse, low != high_doc
+
+
 def _of(batch: pa.RecordBatch, at: int) -> Block:
     docs = batch.column("docs")[at].values.to_numpy(zero_copy_only=False)
     sizes = batch.column("sizes")[at].values.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -276,24 +285,32 @@ def _of(batch: pa.RecordBatch, at: int) -> Block:
 # -- which anchors do several documents have -------------------------------------
 
 
+ASKED = "block long, bucket long, anchors binary, several binary"
+
+
+def _asked(block: int, codes: np.ndarray, several: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket that is asked."""
+    owner = (codes >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(owner)) + 1
+    low = (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
+    numbers = owner[np.append(0, cuts)] if len(owner) else []
+    return pa.record_batch(
+        [
+            pa.array([block] * len(numbers), pa.int64()),
+            pa.array(numbers, pa.int64()),
+            pa.array([p.tobytes() for p in np.split(low, cuts)][: len(numbers)], pa.binary()),
+            pa.array([np.packbits(p).tobytes() for p in np.split(several, cuts)][: len(numbers)], pa.binary()),
+        ],
+        names=["block", "bucket", "anchors", "several"],
+    )
+
+
 def _anchors(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 codes, _, several = _of(batch, at).codes(buckets)
-                owner = (codes >> np.uint64(32)).astype(np.int64)
-                cuts = np.flatnonzero(np.diff(owner)) + 1
-                low = (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
-                numbers = owner[np.append(0, cuts)] if len(owner) else []
-                yield pa.record_batch(
-                    [
-                        pa.array([batch.column("block")[at].as_py()] * len(numbers), pa.int64()),
-                        pa.array(numbers, pa.int64()),
-                        pa.array([p.tobytes() for p in np.split(low, cuts)][: len(numbers)], pa.binary()),
-                        pa.array([np.packbits(p).tobytes() for p in np.split(several, cuts)][: len(numbers)], pa.binary()),
-                    ],
-                    names=["block", "bucket", "anchors", "several"],
-                )
+                yield _asked(batch.column("block")[at].as_py(), codes, several)
 
     return send
 
@@ -318,23 +335,40 @@ def _repeated(table: pa.Table) -> pa.Table:
     )
 
 
+def _answers(asked: DataFrame, label: str) -> DataFrame:
+    """(block, answers): the bits for what each block asked."""
+    return stage(
+        asked.groupBy("bucket")
+        .applyInArrow(lambda _, t: _repeated(t), "block long, bucket long, bits binary")
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("bucket", "bits")).alias(label)),
+        label,
+    )
+
+
+def _found(codes: np.ndarray, answers: list[dict]) -> np.ndarray:
+    """Which of the codes another document has."""
+    bits = {a["bucket"]: a["bits"] for a in answers}
+    numbers, counts = np.unique((codes >> np.uint64(32)).astype(np.int64), return_counts=True)
+    return np.concatenate(
+        [np.zeros(0, np.uint8)]
+        + [
+            np.unpackbits(np.frombuffer(bits[n], np.uint8), count=c)
+            for n, c in zip(numbers.tolist(), counts.tolist(), strict=True)
+        ]
+    ).astype(bool)
+
+
 def _contexts(buckets: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                answers = {a["bucket"]: a["bits"] for a in batch.column("answers")[at].as_py() or ()}
+                answers = batch.column("answers")[at].as_py()
                 if not answers:
                     continue
                 block = _of(batch, at)
                 codes, inverse, _ = block.codes(buckets)
-                owner = (codes >> np.uint64(32)).astype(np.int64)
-                numbers, counts = np.unique(owner, return_counts=True)
-                found = np.concatenate(
-                    [
-                        np.unpackbits(np.frombuffer(answers[n], np.uint8), count=c)
-                        for n, c in zip(numbers.tolist(), counts.tolist(), strict=True)
-                    ]
-                ).astype(bool)
+                found = _found(codes, answers)
                 yield block.contexts(batch.column("block")[at].as_py(), np.flatnonzero(found[inverse]))
 
     return emit
@@ -363,45 +397,112 @@ def _sends(buckets: int):
     return ask
 
 
+class Compared:
+    """The contexts of a block that no document has whole, but whose anchor others have as well.
+
+    Of each, the windows are taken by the place of the anchor in them, within ``SPREADS``:
+    from ``start`` to ``stop``, with a hash of the bytes that these places have in common.
+    """
+
+    def __init__(self, row: dict, data: pa.Buffer, buckets: int):
+        self.own = own = Contexts(row, np.asarray(row["docs"], np.int64), buckets)
+        self.whole, self.code = own.verdicts(received(row["codes"], ("<u1",))[0])
+        self.wanted = np.flatnonzero(~self.whole & (self.code >= SEVERAL))
+        self.first, self.last = (c[self.wanted].astype(np.int64) for c in (own.first, own.last))
+        self.place = own.anchors[self.wanted].astype(np.int64)
+        keys = own.keys[self.wanted]
+        eights = _eights(np.frombuffer(data, np.uint8)) if len(keys) else np.zeros(0, np.uint64)
+        one = np.flatnonzero(self.place != NO_ANCHOR)
+        several = np.flatnonzero(self.place == NO_ANCHOR)
+        grams = (self.last - self.first)[several] + WINDOW - GRAM + 1
+        of = np.repeat(several, grams)
+        at = np.arange(len(of)) + np.repeat(self.first[several] - (np.cumsum(grams) - grams), grams)
+        hit = mix(eights[at] ^ mix(eights[at + 8])) == keys[of]
+        of = np.concatenate([one, of[hit]])
+        at = np.concatenate([self.first[one] + self.place[one], at[hit]])
+        parts = []
+        for number, (least, most) in enumerate(SPREADS):
+            start = np.maximum(at - most, self.first[of])
+            stop = np.minimum(at - least, self.last[of])
+            has = start <= stop
+            common, size = at[has] - least, WINDOW - most + least
+            hashed = np.full(len(common), number, np.uint64)
+            for step in (*range(0, size - 8, 8), size - 8):
+                hashed = mix(hashed ^ eights[common + step])
+            parts.append((of[has], start[has], stop[has], hashed))
+        self.of, self.start, self.stop, hashes = map(np.concatenate, zip(*parts, strict=True))
+        self.codes, self.inverse, self.several = _codes(hashes, own.docs[self.wanted[self.of]], buckets)
+
+    def left(self, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context, first, last) of the windows that another document can have."""
+        found = _found(self.codes, answers)[self.inverse]
+        return self.of[found], self.start[found], self.stop[found]
+
+
+#: Places of the anchor in a window, from and to.
+SPREADS = ((0, 8), (9, 17), (18, 26), (27, WINDOW - GRAM))
+
+
+def _compared(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[dict, pa.Buffer, Compared]]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = {n: batch.column(n)[at].as_py() for n in batch.schema.names if n != "data"}
+            data = batch.column("data")[at].as_buffer()
+            yield row, data, Compared(row, data, buckets)
+
+
+def _surroundings(buckets: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, _, compared in _compared(batches, buckets):
+            yield _asked(row["block"], compared.codes, compared.several)
+
+    return ask
+
+
 def _cut(buckets: int):
     """Spans of what a smaller document has whole; bytes of contexts to compare."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = {n: batch.column(n)[at].as_py() for n in batch.schema.names if n != "data"}
-                sizes = np.asarray(row["sizes"], np.int64)
-                offsets = np.cumsum(sizes) - sizes
-                own = Contexts(row, np.asarray(row["docs"], np.int64), buckets)
-                whole, code = own.verdicts(received(row["codes"], ("<u1",))[0])
-                first, last = own.first.astype(np.int64), own.last.astype(np.int64) + WINDOW
-                yield _span_row(row["block"], first[whole], last[whole], own.rows[whole], offsets)
-                wanted = np.flatnonzero(~whole & (code >= SEVERAL))
-                view = memoryview(batch.column("data")[at].as_buffer())
-                rows = []
-                places = (first - offsets[own.rows])[wanted].tolist()
-                for n, a, b, place in zip(
-                    wanted.tolist(), first[wanted].tolist(), last[wanted].tolist(), places, strict=True
-                ):
-                    text, key, doc = bytes(view[a:b]), int(own.keys[n]), int(own.docs[n])
-                    key -= 1 << 64 if key >= 1 << 63 else 0
-                    anchor = int(own.anchors[n])
-                    if code[n] == SEVERAL:
-                        anchor = -1 if anchor == NO_ANCHOR else anchor
-                        rows.append((key, int(own.rows[n]), place, doc, anchor, text))
-                        continue
-                    for o in range(len(text) - WINDOW + 1):
-                        window = text[o : o + WINDOW]
-                        digest = hashlib.blake2b(window, digest_size=8).digest()
-                        key = int.from_bytes(digest, "little", signed=True)
-                        rows.append((key, int(own.rows[n]), place + o, doc, -1, window))
-                if rows:
-                    columns = list(zip(*rows, strict=True))
-                    fixed = [[row["block"]] * len(rows), [None] * len(rows)]
-                    yield pa.record_batch(
-                        [pa.array(c, f.type) for c, f in zip([*fixed, *columns], _CUT, strict=True)],
-                        schema=_CUT,
-                    )
+        for row, data, compared in _compared(batches, buckets):
+            own, whole = compared.own, compared.whole
+            sizes = np.asarray(row["sizes"], np.int64)
+            offsets = np.cumsum(sizes) - sizes
+            first, last = own.first.astype(np.int64), own.last.astype(np.int64) + WINDOW
+            yield _span_row(row["block"], first[whole], last[whole], own.rows[whole], offsets)
+            of, start, stop = compared.left(row["surroundings"] or ())
+            least = np.full(len(compared.wanted), len(data), np.int64)
+            most = np.full(len(compared.wanted), -1, np.int64)
+            np.minimum.at(least, of, start)
+            np.maximum.at(most, of, stop)
+            crowded = compared.code[compared.wanted] == CROWDED
+            windows: dict[int, set[int]] = {}
+            for n, a, b in zip(*(c[crowded[of]].tolist() for c in (of, start, stop)), strict=True):
+                windows.setdefault(n, set()).update(range(a, b + 1))
+            left = np.flatnonzero(most >= 0)
+            numbers = compared.wanted[left]
+            anchors = compared.first + compared.place - least
+            anchors[compared.place == NO_ANCHOR] = -1
+            columns = (
+                left, least[left], most[left], anchors[left], own.keys[numbers].view(np.int64),
+                own.rows[numbers], own.docs[numbers], offsets[own.rows[numbers]],
+            )
+            view, rows = memoryview(data), []
+            for n, a, b, anchor, key, number, doc, offset in zip(*(c.tolist() for c in columns), strict=True):
+                if n not in windows:
+                    rows.append((key, number, a - offset, doc, anchor, bytes(view[a : b + WINDOW])))
+                    continue
+                for o in sorted(windows[n]):
+                    window = bytes(view[o : o + WINDOW])
+                    digest = hashlib.blake2b(window, digest_size=8).digest()
+                    key = int.from_bytes(digest, "little", signed=True)
+                    rows.append((key, number, o - offset, doc, -1, window))
+            if rows:
+                columns = list(zip(*rows, strict=True))
+                fixed = [[row["block"]] * len(rows), [None] * len(rows)]
+                yield pa.record_batch(
+                    [pa.array(c, f.type) for c, f in zip([*fixed, *columns], _CUT, strict=True)],
+                    schema=_CUT,
+                )
 
     return cut
 
@@ -454,6 +555,7 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     texts: list[bytes] = []
     owners: list[int] = []  # the smallest document of each different text
     places: list[tuple[int, int, int, int, int]] = []  # with document and text number
+    equal: list[tuple[int, int, int, int]] = []  # spans that need no sorting
     held = 0
 
     def finish() -> pa.RecordBatch:
@@ -477,16 +579,30 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             (runs + WINDOW - 1).astype(np.int32),
         ]
         texts.clear(), owners.clear(), places.clear()
-        return pa.record_batch([pa.array(c) for c in columns], names=["block", "row", "start", "size"])
+        return runs_of(columns)
+
+    def runs_of(columns: Iterable) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        return pa.record_batch(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["block", "row", "start", "size"]
+        )
 
     def take(group: list[dict]) -> int:
         added = 0
         numbers: dict[bytes, int] = {}
         spans = trim([(g["anchor"], g["text"]) for g in group])
-        for g, (low, high) in zip(group, spans, strict=True):
-            if high - low < WINDOW:
-                continue
-            text = g["text"][low:high]
+        parts = [
+            (g, low, g["text"][low:high])
+            for g, (low, high) in zip(group, spans, strict=True)
+            if high - low >= WINDOW
+        ]
+        if len({text for _, _, text in parts}) == 1:  # what is left of the contexts is equal as a whole
+            least = min(g["doc"] for g, _, _ in parts)
+            equal.extend(
+                (g["block"], g["row"], g["start"] + low, len(text)) for g, low, text in parts if g["doc"] > least
+            )
+            return 0
+        for g, low, text in parts:
             number = numbers.get(text)
             if number is None:
                 number = numbers[text] = len(texts)
@@ -507,11 +623,16 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 if held >= BATCH_BYTES:
                     yield finish()
                     held = 0
+                if len(equal) >= BATCH_SPANS:
+                    yield runs_of(zip(*equal, strict=True))
+                    equal.clear()
             group.append(row)
     if group:
         take(group)
     if texts:
         yield finish()
+    if equal:
+        yield runs_of(zip(*equal, strict=True))
 
 
 # -- cutting out -------------------------------------------------------------------
@@ -587,30 +708,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # an anchor for about every (WINDOW - GRAM + 2) / 2 bytes, four bytes each
     buckets = max(parts(docs), math.ceil(total * 8 / (WINDOW - GRAM + 2) / BUCKET_BYTES))
     with passing(spark):  # the cut has all that is asked later
-        answers = stage(
-            blocks.select("block", "docs", "sizes", "data")
-            .mapInArrow(_anchors(buckets), "block long, bucket long, anchors binary, several binary")
-            .groupBy("bucket")
-            .applyInArrow(lambda _, t: _repeated(t), "block long, bucket long, bits binary")
-            .groupBy("block")
-            .agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")),
-            "anchors",
-        )
-        contexts = stage(
-            blocks.join(answers, "block")
-            .select("block", "docs", "sizes", "data", "answers")
-            .mapInArrow(_contexts(buckets), CONTEXTS),
-            "contexts",
-        )
+        texts = blocks.select("block", "docs", "sizes", "data")
+        answers = _answers(texts.mapInArrow(_anchors(buckets), ASKED), "answers")
+        contexts = stage(texts.join(answers, "block").mapInArrow(_contexts(buckets), CONTEXTS), "contexts")
         numbered = contexts.join(blocks.select("block", "docs"), "block")
         codes = answered(numbered.mapInArrow(_sends(buckets), SENT), SENT_KINDS, _judge_contexts, "codes")
+        known = texts.join(contexts, "block").join(codes.select("block", "codes"), "block")
+        surroundings = _answers(known.mapInArrow(_surroundings(buckets), ASKED), "surroundings")
         cut = stage(
-            blocks.select("block", "docs", "sizes", "data")
-            .join(contexts, "block")
-            .join(codes.select("block", "codes"), "block")
-            .mapInArrow(_cut(buckets), CUT),
-            "cut",
-            keep=True,
+            known.join(surroundings, "block", "left").mapInArrow(_cut(buckets), CUT), "cut", keep=True
         )
     partial = stage(
         cut.filter("spans is null")

@@ -114,3 +114,43 @@ def test_anchor_has_one_place_in_its_context():
             text = data[first : last + WINDOW]
             gram = text[place : place + substrings.GRAM]
             assert sum(text.startswith(gram, n) for n in range(len(text))) == 1
+
+
+def test_frequent_words_against_brute_force(spark):
+    """Many anchors are common by chance, some windows by chance as well."""
+    chance = random.Random(21)
+    words = ["the", "of", "and", "in", "to", "that", "is", "for", "with", "on"]
+    rows = [(n * 37 % 300, " ".join(chance.choices(words, k=chance.randint(5, 300)))) for n in range(300)]
+    rows += [(300 + n, f"{chance.random()} {rows[n][1][40:99]} {chance.random()}") for n in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text) for r in remove_repeats(frame).collect()]
+    assert sorted(got, key=str) == brute(rows)
+
+
+def test_anchors_common_by_chance_are_not_compared(spark, monkeypatch):
+    """Contexts that share an anchor, but no window, stay where they are."""
+
+    def refuse(batches):
+        for batch in batches:
+            assert not batch.num_rows
+        yield from ()
+
+    monkeypatch.setattr(substrings, "_sorted_windows", refuse)
+    chance = random.Random(5)
+    letters = lambda n: "".join(chance.choices("abcdefghijklmnop ", k=n))
+    rows = [(n, letters(60) + "of the and in that to" + letters(60)) for n in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.n_removed, r.n_spans) for r in remove_repeats(frame).collect()} == {(0, 0)}
+
+
+def test_equal_rests_are_not_sorted(monkeypatch):
+    """Only different rests of contexts go to the suffix groups."""
+    monkeypatch.setattr(substrings, "shared_windows", None)
+    same = b"x" * 20 + b"0123456789abcdef" + b"y" * 20
+    rows = [
+        {"block": 0, "key": 1, "row": n, "start": 0, "doc": 9 - n, "anchor": 25, "text": b"%05d" % n + same}
+        for n in range(3)
+    ]
+    batch = substrings.pa.RecordBatch.from_pylist(rows)
+    found = [tuple(r.values()) for b in substrings._sorted_windows(iter([batch])) for r in b.to_pylist()]
+    assert sorted(found) == [(0, 0, 5, 56), (0, 1, 5, 56)]
