@@ -113,3 +113,54 @@ def test_containers_of_cards_stay_boilerplate():
     bare = cards.format("<p>More to read</p>")
     assert read(bare, cards.format(two)) == "B"
     assert read(bare, "<article>A</article>" + cards.format(one)) == "B"
+
+
+def texts(spark, pages):
+    rows = [(n, "http://h.example/" + str(n), p) for n, p in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return [r.text for r in sorted(extract(frame).collect())]
+
+
+def test_hosts_whose_boilerplate_has_no_telling_names(spark):
+    """Texts that the pages of a host share are its template; the rest is read, whatever its length."""
+    import random
+
+    chance = random.Random(3)
+    words = lambda n: " ".join(chance.choice("abcdefgh") * chance.randint(2, 6) + str(chance.randint(0, 999)) for _ in range(n))
+    pages, bodies = [], []
+    for n in range(30):
+        body = [words(chance.randint(1, 12)) for _ in range(chance.randint(1, 5))]
+        aside = "<div>Only now: <b>half</b> price</div>" if n % 3 else ""
+        paragraphs = "".join(f"<p>{p}</p>" for p in body)
+        pages.append(
+            f"<body><ul><li>Home</li><li>News</li><li>Contact us</li></ul>{aside}<div>{paragraphs}</div>"
+            f"<div>All texts &copy;  their authors</div></body>"
+        )
+        bodies.append(" ".join(body))
+    assert texts(spark, pages) == bodies
+
+
+def test_only_the_template_is_left_out(spark):
+    page = "<body><h2>{}</h2><div>{}</div><p>{}</p></body>"
+    # at the heading's place two pages have another text: it is a slot
+    heads = ["Welcome", "Welcome", "Welcome", "Other", "Third"]
+    pages = [page.format(h, "Notice", f"Text {n}") for n, h in enumerate(heads)]
+    assert texts(spark, pages) == [f"{h} Text {n}" for n, h in enumerate(heads)]
+    # two pages tell nothing, nor do copies of one
+    assert texts(spark, pages[:1] * 4 + pages[1:2]) == ["Welcome Notice Text 0"] * 4 + ["Welcome Notice Text 1"]
+    # what a few of many pages share stays
+    few = [page.format(f"H {n}", "Shared" if n < 4 else f"D {n}", f"T {n}") for n in range(12)]
+    assert texts(spark, few)[0] == "H 0 Shared T 0"
+    # an article has what it has
+    articles = [f"<p>Top</p><article><p>Same</p><p>Text {n}</p></article>" for n in range(4)]
+    assert texts(spark, articles) == [f"Same Text {n}" for n in range(4)]
+    # a page without any other text keeps those of the template
+    assert texts(spark, [*pages, "<body><div>Notice</div></body>"])[-1] == "Notice"
+
+
+def test_different_texts_at_one_place_become_a_slot():
+    assert align(["<p", "=a", "/p"], ["<p", "=b", "/p"]) == ["<p", "#", "/p"]
+    assert align(["<p", "=a", "/p"], ["<p", "#", "/p"]) == ["<p", "#", "/p"]
+    assert align(["<p", "=a", "/p"], ["<p", "=a", "/p"]) == ["<p", "=a", "/p"]
+    assert align(["<p", ("?", ("=a",)), "/p"], ["<p", "=b", "/p"]) == ["<p", ("?", ("#",)), "/p"]
+    assert align(["<p", "=a", "/p"], ["<p", "/p"]) == ["<p", ("?", ("=a",)), "/p"]
